@@ -51,3 +51,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     """
     counted = df.limit(limit + 1).count()
     return F.broadcast(df) if counted <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a costly per-row step one task per core when the input has fewer partitions.
+
+    A scan of many files already has more partitions than cores and comes back unchanged.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
