@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill.functions import url as U
+from pagemill.functions.arrays import let
 from pagemill.functions.text import strip
 
 HEX = r"(0x[a-fA-F0-9]+)"
@@ -51,62 +52,87 @@ def _texts(*values: str) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
+def _first_branch(found: Column, branches, notes: Column) -> tuple[Column, ...]:
+    """Entity, address, identity and notes of the first branch whose value is not empty."""
+    entity, canonical = F.lit("unknown"), F.lit("")
+    key, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, kind, field, address, note in reversed(branches):
+        hit = found[name] != ""
+        entity = F.when(hit, F.lit(kind)).otherwise(entity)
+        canonical = F.when(hit, address(found[name])).otherwise(canonical)
+        key = F.when(hit, F.lit(field)).otherwise(key)
+        value = F.when(hit, found[name]).otherwise(value)
+        notes = F.when(hit, note).otherwise(notes)
+    return entity, canonical, key, value, notes
+
+
+def _network_address(prefix: str, encode: bool = False):
+    def build(value: Column) -> Column:
+        shown = U.percent_encode(value, "") if encode else value
+        return F.concat(F.lit("https://www.linkedin.com" + prefix), shown, F.lit("/"))
+
+    return build
+
+
 def normalize_network(url: Column) -> Column:
     """Professional-network address -> profile, company, job, post or unknown."""
-    raw = strip(F.coalesce(url, F.lit("")))
+    return let(strip(F.coalesce(url, F.lit(""))), _network_from_raw)
+
+
+def _network_from_raw(raw: Column) -> Column:
     full = F.when(U.scheme(raw) == "", F.concat(F.lit("https://"), raw)).otherwise(raw)
-    host = F.substring_index(F.lower(U.authority(full)), ":", 1)
-    good_host = (host == "linkedin.com") | host.endswith(".linkedin.com")
-    decoded = F.concat(F.lit("/"), F.ltrim(U.percent_decode(U.path(full)), F.lit("/")))
-    place = F.when(decoded.endswith("/"), decoded).otherwise(F.concat(decoded, F.lit("/")))
-    base_notes = F.when(U.query(full) != "", _texts("stripped_query")).otherwise(_texts())
+    parts = F.struct(
+        U.scheme(full).alias("scheme"),
+        F.substring_index(F.lower(U.authority(full)), ":", 1).alias("host"),
+        F.concat(F.lit("/"), F.ltrim(U.percent_decode(U.path(full)), F.lit("/")), F.lit("/")).alias("path"),
+        (U.query(full) != "").alias("asked"),
+    )
+    return let(parts, lambda p: let(_network_ids(p), lambda found: _network_result(raw, p, found)))
+
+
+def _network_ids(parts: Column) -> Column:
+    place = F.regexp_replace(parts["path"], "/+$", "/")
+    low = F.lower(place)
 
     def segment(pattern: str) -> Column:
         return F.regexp_extract(place, pattern, 1)
 
-    profile = strip(U.percent_decode(segment(r"(?i)^/in/([^/]+)/")))
-    company = strip(U.percent_decode(segment(r"(?i)^/company/([^/]+)/")))
-    job = segment(r"(?i)^/jobs/view/(\d+)/?")
-    activity = segment(r"(?i)^/feed/update/urn:li:activity:(\d+)/?$")
-    low = F.lower(place)
-    embedded = F.when(
-        low.contains("feed") & low.contains("activity"),
-        segment(r"(?i)feed/update/.*?activity[:%3A]+(\d+)"),
-    ).otherwise(F.lit(""))
-    posted = F.when(place.contains("/posts/"), segment(r"(?i)activity-(\d+)(?:$|[-_/])")).otherwise(F.lit(""))
+    return F.struct(
+        strip(U.percent_decode(segment(r"(?i)^/in/([^/]+)/"))).alias("profile"),
+        strip(U.percent_decode(segment(r"(?i)^/company/([^/]+)/"))).alias("company"),
+        segment(r"(?i)^/jobs/view/(\d+)/?").alias("job"),
+        segment(r"(?i)^/feed/update/urn:li:activity:(\d+)/?$").alias("activity"),
+        F.when(
+            low.contains("feed") & low.contains("activity"), segment(r"(?i)feed/update/.*?activity[:%3A]+(\d+)")
+        ).otherwise(F.lit("")).alias("embedded"),
+        F.when(place.contains("/posts/"), segment(r"(?i)activity-(\d+)(?:$|[-_/])")).otherwise(F.lit("")).alias("posted"),
+    )
 
-    def address(prefix: str, value: Column) -> Column:
-        return F.concat(F.lit("https://www.linkedin.com" + prefix), value, F.lit("/"))
 
+def _network_result(raw: Column, parts: Column, found: Column) -> Column:
+    host = parts["host"]
     invalid = (
         F.when(raw == "", F.lit("empty_input"))
-        .when(~U.scheme(full).isin("http", "https"), F.lit("unsupported_scheme"))
-        .when(~good_host, F.lit("not_linkedin_host"))
+        .when(~parts["scheme"].isin("http", "https"), F.lit("unsupported_scheme"))
+        .when((host != "linkedin.com") & ~host.endswith(".linkedin.com"), F.lit("not_linkedin_host"))
     )
+    base = F.when(parts["asked"], _texts("stripped_query")).otherwise(_texts())
+
+    def noted(text: str) -> Column:
+        return F.concat(base, _texts(text))
+
+    activity = _network_address("/feed/update/urn:li:activity:")
     branches = (
-        (profile, "profile", "vanity", address("/in/", U.percent_encode(profile, "")), None),
-        (company, "company", "vanity", address("/company/", U.percent_encode(company, "")), None),
-        (job, "job", "job_id", address("/jobs/view/", job), None),
-        (activity, "post", "activity_id", address("/feed/update/urn:li:activity:", activity), None),
-        (embedded, "post", "activity_id", address("/feed/update/urn:li:activity:", embedded),
-         "decoded_embedded_activity_path"),
-        (posted, "post", "activity_id", address("/feed/update/urn:li:activity:", posted),
-         "normalized_from_posts_path"),
+        ("profile", "profile", "vanity", _network_address("/in/", True), base),
+        ("company", "company", "vanity", _network_address("/company/", True), base),
+        ("job", "job", "job_id", _network_address("/jobs/view/"), base),
+        ("activity", "post", "activity_id", activity, base),
+        ("embedded", "post", "activity_id", activity, noted("decoded_embedded_activity_path")),
+        ("posted", "post", "activity_id", activity, noted("normalized_from_posts_path")),
     )
-    entity, canonical = F.lit("unknown"), F.lit("")
-    key, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    notes = F.concat(base_notes, _texts("unrecognized_path"))
-    for found, kind, name, target, note in reversed(branches):
-        hit = found != ""
-        entity = F.when(hit, F.lit(kind)).otherwise(entity)
-        canonical = F.when(hit, target).otherwise(canonical)
-        key = F.when(hit, F.lit(name)).otherwise(key)
-        value = F.when(hit, found).otherwise(value)
-        own = F.concat(base_notes, _texts(note)) if note else base_notes
-        notes = F.when(hit, own).otherwise(notes)
+    entity, canonical, key, value, notes = _first_branch(found, branches, noted("unrecognized_path"))
     return _result(
-        F.when(invalid.isNotNull(), F.lit("unknown")).otherwise(entity),
-        canonical, key, value, raw,
+        F.when(invalid.isNotNull(), F.lit("unknown")).otherwise(entity), canonical, key, value, raw,
         F.when(invalid.isNotNull(), F.array(invalid)).otherwise(notes),
     )
 
@@ -160,28 +186,32 @@ def normalize_chain(url: Column) -> Column:
 
     Both ``/#code`` and ``#code`` mark a contract page, so template addresses round-trip.
     """
-    raw = strip(F.coalesce(url, F.lit("")))
 
-    def at(tail: str) -> Column:
+    def at(raw: Column, tail: str) -> Column:
         return F.regexp_extract(raw, r"(?i)^https?://(?:www\.)?basescan\.org/" + tail, 1)
 
+    def address(place: str, tail: str = ""):
+        return lambda value: F.concat(F.lit("https://basescan.org/" + place), value, F.lit(tail))
+
     branches = (
-        (at(f"address/{HEX}/?#code"), "contract", "contract_address", "address/", "/#code"),
-        (at(f"token/{HEX}"), "token", "contract_address", "token/", ""),
-        (at(f"tx/{HEX}"), "transaction", "tx_hash", "tx/", ""),
-        (at(f"address/{HEX}"), "address", "address", "address/", ""),
+        ("contract", "contract", "contract_address", address("address/", "/#code"), _texts()),
+        ("token", "token", "contract_address", address("token/"), _texts()),
+        ("transaction", "transaction", "tx_hash", address("tx/"), _texts()),
+        ("address", "address", "address", address("address/"), _texts()),
     )
-    entity, canonical = F.lit("unknown"), F.lit("")
-    key, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for found, kind, name, place, tail in reversed(branches):
-        hit = found != ""
-        entity = F.when(hit, F.lit(kind)).otherwise(entity)
-        canonical = F.when(
-            hit, F.concat(F.lit("https://basescan.org/" + place), found, F.lit(tail))
-        ).otherwise(canonical)
-        key = F.when(hit, F.lit(name)).otherwise(key)
-        value = F.when(hit, found).otherwise(value)
-    return _result(entity, canonical, key, value, raw, _texts())
+
+    def from_raw(raw: Column) -> Column:
+        ids = F.struct(
+            at(raw, f"address/{HEX}/?#code").alias("contract"), at(raw, f"token/{HEX}").alias("token"),
+            at(raw, f"tx/{HEX}").alias("transaction"), at(raw, f"address/{HEX}").alias("address"),
+        )
+        return let(ids, lambda found: result(raw, found))
+
+    def result(raw: Column, found: Column) -> Column:
+        entity, canonical, key, value, notes = _first_branch(found, branches, _texts())
+        return _result(entity, canonical, key, value, raw, notes)
+
+    return let(strip(F.coalesce(url, F.lit(""))), from_raw)
 
 
 def normalize(platform: str, url: Column) -> Column:
@@ -206,15 +236,20 @@ def normalize(platform: str, url: Column) -> Column:
 
 def network_bucket(url: Column) -> Column:
     """One of nine buckets for a professional-network address."""
-    place = U.percent_decode(U.path(url))
-    low = F.lower(place)
-    parts = F.filter(F.split(strip(place), "/", -1), lambda x: x != "")
+    return let(
+        F.struct(U.scheme(url).alias("scheme"), U.percent_decode(U.path(url)).alias("path")),
+        lambda u: let(F.filter(F.split(strip(u["path"]), "/", -1), lambda x: x != ""), lambda parts: _bucket(u, parts)),
+    )
+
+
+def _bucket(url: Column, parts: Column) -> Column:
+    low = F.lower(url["path"])
     first = F.lower(F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")))
     third = F.lower(F.coalesce(F.try_element_at(parts, F.lit(3)), F.lit("")))
     tab = (first == "company") & third.isin("jobs", "people", "posts", "life")
     profile = (F.size(parts) >= 2) & (first == "in")
     return (
-        F.when(~U.scheme(url).isin("http", "https"), F.lit("other"))
+        F.when(~url["scheme"].isin("http", "https"), F.lit("other"))
         .when(low.contains("/jobs/search"), F.lit("jobs_search"))
         .when(low.contains("/jobs/view/") | low.contains("/jobs/collections/"), F.lit("job"))
         .when(low.contains("/company/") & tab, F.lit("company_tab"))
@@ -245,8 +280,11 @@ def is_network_nav(url: Column) -> Column:
 
 def infer_task(url: Column) -> Column:
     """Address -> struct(platform, resource_type, field, value); anything else is a generic page."""
-    host = F.lower(U.authority(url))
-    place = U.path(url)
+    parts = F.struct(F.lower(U.authority(url)).alias("host"), U.path(url).alias("path"), url.alias("url"))
+    return let(parts, lambda p: _task(p["host"], p["path"], p["url"]))
+
+
+def _task(host: Column, place: Column, url: Column) -> Column:
     title = F.replace(U.percent_decode(F.regexp_extract(place, r"(?s)^/wiki/(.*)$", 1)), F.lit("_"), F.lit(" "))
     slash = F.lit("/")
 

@@ -17,6 +17,8 @@ LOOP = re.compile(
     r"\{%\s*for\s+(\w+)\s*,\s*(\w+)\s+in\s+source_fields\.items\(\)\s*%\}(.*?)\{%\s*endfor\s*%\}", re.S
 )
 REFERENCE = re.compile(r"\{\{\s*source_fields\.get\([\"'](\w+)[\"']\)\s*\}\}")
+#: Fixed value: shortest overlap that counts as a prefix match.
+SHORTEST_PREFIX = 4
 SKIP_VISION = "requires_vision=True but model lacks vision capability"
 
 
@@ -85,17 +87,34 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
         F.coalesce("_exact", "_near").alias("match_key"),
         F.when(F.col("_exact").isNotNull(), F.lit(1.0)).otherwise(F.lit(0.85)).alias("confidence"),
     )
-    open_values = known.filter(F.col("_exact").isNull() & F.col("_near").isNull() & (F.length("_q") >= 4))
-    best = open_values.select("_value", "_q", F.left("_q", F.lit(4)).alias("_head")).join(_prefixes(normal), "_head")
-    longer = F.col("_norm").startswith(F.col("_q"))
-    related = best.filter(longer | F.col("_q").startswith(F.col("_norm")))
-    overlap = F.least(F.length("_q"), F.length("_norm"))
+    open_values = known.filter(F.col("_exact").isNull() & F.col("_near").isNull()).select("_value", "_q")
+    heads = open_values.filter(F.length("_q") >= SHORTEST_PREFIX)
+    # The value begins with a key: spell out its prefixes, never longer than the longest key.
+    longest = normal.agg(F.max(F.length("_norm"))).first()[0] or 0
+    stops = F.least(F.length("_q"), F.lit(longest))
+    spelled = heads.filter(stops >= SHORTEST_PREFIX).select(
+        "_value", "_q", F.explode(F.sequence(F.lit(SHORTEST_PREFIX), stops)).alias("_n")
+    )
+    begins = spelled.select("_value", "_q", "_n", F.expr("left(_q, _n)").alias("_norm")).join(
+        broadcast_if_small(normal), "_norm"
+    )
+    begins = begins.groupBy("_value", "_q").agg(F.max_by("match_key", "_n").alias("match_key"), F.max("_n").alias("_n"))
+    # A key begins with the value: one entry per spelled-out key prefix, the earliest key.
+    spelled_keys = normal.filter(F.length("_norm") >= SHORTEST_PREFIX).select(
+        "match_key", "_ord", "_norm",
+        F.explode(F.sequence(F.lit(SHORTEST_PREFIX), F.length("_norm"))).alias("_n"),
+    )
+    first_keys = spelled_keys.groupBy(F.expr("left(_norm, _n)").alias("_q")).agg(
+        F.min_by("match_key", "_ord").alias("match_key")
+    )
+    inside = heads.join(broadcast_if_small(first_keys), "_q").withColumn("_n", F.length("_q"))
+    both = inside.select("_value", "_q", "match_key", "_n").unionByName(begins)
     picked = (
-        related.groupBy("_value", "_q")
-        .agg(F.max(F.struct(overlap.alias("n"), (-F.col("_ord")).alias("o"), F.col("match_key").alias("k"))).alias("b"))
+        both.groupBy("_value", "_q")
+        .agg(F.max_by("match_key", "_n").alias("match_key"), F.max("_n").alias("_n"))
         .select(
-            "_value", F.col("b.k").alias("match_key"),
-            F.least(F.col("b.n") / F.greatest(F.length("_q"), F.lit(1)) * 0.8, F.lit(0.75)).alias("confidence"),
+            "_value", "match_key",
+            F.least(F.col("_n") / F.greatest(F.length("_q"), F.lit(1)) * 0.8, F.lit(0.75)).alias("confidence"),
         )
     )
     resolved = broadcast_if_small(settled.unionByName(picked))
@@ -103,12 +122,6 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
     return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
-def _prefixes(normal: DataFrame) -> DataFrame:
-    """Dictionary keys with the four characters every prefix match must share."""
-    heads = normal.filter(F.length("_norm") >= 4).withColumn("_head", F.left("_norm", F.lit(4)))
-    return broadcast_if_small(heads)
-
-
 # --- field groups -------------------------------------------------------------------------------
 
 SPEC_SCHEMA = (
