@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagemill.functions.arrays import let
+
 # The characters that count as white space, and the ideograph ranges
 # that count as one token per character.
 WHITESPACE = (
@@ -124,13 +126,14 @@ def drop_page_furniture(markdown: Column, title: Column | None = None) -> Column
         F.transform(lines(text), rstrip), lambda x: ~strip(x).rlike(r"^Page\s+\d+$")
     )
     if title is not None:
-        bare = F.transform(kept, strip)
-        first = F.when(F.coalesce(title, F.lit("")) == "", F.lit(0)).otherwise(
-            F.array_position(bare, title)
-        )
-        kept = F.filter(
-            kept,
-            lambda x, i: (first == 0) | (i + 1 <= first) | (strip(x) != F.coalesce(title, F.lit(""))),
+        shown = F.coalesce(title, F.lit(""))
+        first = F.when(shown == "", F.lit(0)).otherwise(F.array_position(F.transform(kept, strip), shown))
+        kept = let(
+            F.struct(kept.alias("lines"), first.alias("first"), shown.alias("title")),
+            lambda k: F.filter(
+                k["lines"],
+                lambda x, i: (k["first"] == 0) | (i + 1 <= k["first"]) | (strip(x) != k["title"]),
+            ),
         )
     return strip(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"))
 
@@ -138,7 +141,8 @@ def drop_page_furniture(markdown: Column, title: Column | None = None) -> Column
 def markdown_sections(markdown: Column) -> Column:
     """ATX headings as ``array<struct<heading, content_summary, section_type>>``."""
     marked = F.regexp_replace(markdown, r"(?md)^(#{1,6})\s+(.+)$", "\u0001$2\u0002")
-    parts = F.slice(F.split(marked, "\u0001", -1), 2, 2147483647)
+    pieces = F.split(marked, "\u0001", -1)
+    parts = F.slice(pieces, 2, F.size(pieces))
 
     def section(part: Column) -> Column:
         heading = strip(F.substring_index(part, "\u0002", 1))

@@ -69,7 +69,7 @@ def _place_parts(own: Column, parts: Column, marks: Column, max_tokens: int, ove
     shared = let(
         spans,
         lambda ranges: F.transform(
-            F.arrays_zip(ranges.alias("own"), F.slice(ranges, 2, 2147483647).alias("next")),
+            F.arrays_zip(ranges.alias("own"), F.slice(ranges, 2, F.size(ranges)).alias("next")),
             lambda p: F.struct(
                 p["own"]["first"].alias("first"),
                 p["own"]["stop"].alias("stop"),
