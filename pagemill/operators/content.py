@@ -25,7 +25,7 @@ def unwanted_blocks(nodes: Column, span: Column) -> Column:
     blocks = F.filter(
         nodes,
         lambda n: n["tag"].isin(*LEAF_BLOCKS) & ~n["dropped"] & _within(n, span)
-        & ~F.exists(H.subtree(nodes, n), lambda x: x["tag"].isin(*NOT_LEAF)),
+        & ~F.exists(H.subtree(nodes, n), lambda x: F.coalesce(x["tag"].isin(*NOT_LEAF), F.lit(False))),
     )
     read = F.transform(
         blocks,
