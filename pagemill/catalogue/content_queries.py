@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.catalogue import query, table
+from pagemill.catalogue.text_queries import noise_sql
 from pagemill.functions import html as H
 from pagemill.functions import page_fields as P
 from pagemill.functions import policy
@@ -103,8 +104,8 @@ def html_text(spark, sf_dir):
 
 @query(
     f"""WITH {ARTICLE}, p AS (SELECT page_id, b, lower(string_agg(s, ' ' ORDER BY i)) AS k FROM kept GROUP BY page_id, b),
-        firsts AS (SELECT page_id, b, b = 0 OR length(k) < 24
-          OR row_number() OVER (PARTITION BY page_id, b = 0, k ORDER BY b) = 1 AS ok FROM p)
+        firsts AS (SELECT page_id, b, b = 0 OR (NOT {noise_sql('k')} AND (length(k) < 24
+          OR row_number() OVER (PARTITION BY page_id, b = 0, k ORDER BY b) = 1)) AS ok FROM p)
         SELECT page_id, max(s) FILTER (WHERE b = 0) AS heading_text, 1 AS heading_level,
           string_agg(s, chr(10) ORDER BY b, i) FILTER (WHERE b > 0 AND ok) AS text,
           '# ' || max(s) FILTER (WHERE b = 0) AS markdown_head

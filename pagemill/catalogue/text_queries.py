@@ -39,7 +39,7 @@ def noise_sql(text: str) -> str:
 LINES = """lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
   unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)"""
 PARAS = f"""{LINES}, filled AS (SELECT doc_id, i, {strip_sql('line')} AS p FROM lines),
-  paras AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, p, {tokens_sql('p')} AS tok
+  paras AS MATERIALIZED (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, p, {tokens_sql('p')} AS tok
     FROM filled WHERE p <> '')"""
 
 
@@ -114,7 +114,7 @@ def pack_sql(limit: int, overlap: int) -> str:
         else "0"
     )
     return f"""WITH RECURSIVE {PARAS},
-      cum AS (SELECT *, sum(tok) OVER (PARTITION BY doc_id ORDER BY n) - tok AS before FROM paras),
+      cum AS MATERIALIZED (SELECT *, sum(tok) OVER (PARTITION BY doc_id ORDER BY n) - tok AS before FROM paras),
       steps AS (
         SELECT doc_id, n, n AS first, CAST(tok AS HUGEINT) AS total, CAST(NULL AS BIGINT) AS closed FROM cum WHERE n = 1
         UNION ALL

@@ -53,7 +53,14 @@ def kept_strings(nodes: Column, span: Column, unwanted: Column | None = None) ->
     inside = F.slice(nodes, span["pre"] + 2, F.greatest(span["stop"] - span["pre"] - 1, F.lit(0)))
     kept = F.filter(inside, lambda n: n["text"].isNotNull() & ~n["dropped"] & (strip(n["text"]) != ""))
     if unwanted is not None:
-        kept = F.filter(kept, lambda n: ~F.exists(unwanted, lambda u: (u["pre"] < n["pre"]) & (n["pre"] < u["stop"])))
+        # Bound once: the optimizer inlines a column into a lambda that reads it a single time.
+        everything = kept
+        kept = let(
+            unwanted,
+            lambda drop: F.filter(
+                everything, lambda n: ~F.exists(drop, lambda u: (u["pre"] < n["pre"]) & (n["pre"] < u["stop"]))
+            ),
+        )
     return F.transform(
         kept,
         lambda n: F.struct(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagemill.functions import html as H
 from pagemill.functions import platform_urls as P
 from pagemill.functions import url as U
-from pagemill.functions.arrays import first_occurrences
+from pagemill.functions.arrays import first_occurrences, let
 from pagemill.operators.chunk import explode_once
 
 # Candidate score per platform, links taken from one page.
@@ -27,7 +27,17 @@ def page_links(
     exclude_paths: str | None = None,
 ) -> Column:
     """Anchors ``array<struct<href, text>>`` as distinct absolute links, first anchor wins."""
-    host = U.hostname(base)
+    return let(
+        F.struct(base.alias("url"), U.hostname(base).alias("host")),
+        lambda b: _links_from(
+            b["url"], b["host"], anchors, limit, include_subdomains, allow_external, ignore_query, include_paths, exclude_paths
+        ),
+    )
+
+
+def _links_from(
+    base, host, anchors, limit, include_subdomains, allow_external, ignore_query, include_paths, exclude_paths
+) -> Column:
     full = F.transform(anchors, lambda a: F.struct(U.join(base, a["href"]).alias("url"), a["text"].alias("text")))
 
     def wanted(link: Column) -> Column:
