@@ -39,14 +39,6 @@ def pick(mapping: Column, names: Iterable[str]) -> Column:
     return first_text(*[F.try_element_at(mapping, F.lit(n)) for n in names])
 
 
-def set_default(mapping: Column, target: str, names: Iterable[str]) -> Column:
-    """Add ``target`` from the first filled alias unless the map already has it filled."""
-    found = pick(mapping, names)
-    missing = F.coalesce(F.try_element_at(mapping, F.lit(target)), F.lit("")) == ""
-    addition = F.create_map(F.lit(target), found)
-    return F.when(missing & found.isNotNull(), overlay(mapping, addition)).otherwise(mapping)
-
-
 def ordered_distinct(values: Column) -> Column:
     """Distinct elements in order of first appearance."""
     return F.array_distinct(values)

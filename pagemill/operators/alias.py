@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pagemill import specs
 from pagemill.functions import url as U
 from pagemill.functions.text import doc_id, strip
-from pagemill.functions.values import first_text, overlay, pick, set_default
+from pagemill.functions.values import first_text, overlay, pick
 
 
 def _search_path(value: Column) -> Column:
@@ -140,18 +141,40 @@ def enrichment_input(record: Column, structured: Column, metadata: Column) -> Co
     return fields
 
 
-def apply_aliases(df: DataFrame, fields: str = "fields") -> DataFrame:
-    """Common aliases, then those of the row's (platform, type)."""
-    out = df
-    for target, names in specs.COMMON_ALIASES:
-        out = out.withColumn(fields, set_default(F.col(fields), target, names))
-    platform = F.try_element_at(F.col(fields), F.lit("platform"))
-    kind = F.try_element_at(F.col(fields), F.lit("resource_type"))
-    for (name, type_name), rules in specs.PLATFORM_ALIASES.items():
-        mine = F.coalesce((platform == name) & (kind == type_name), F.lit(False))
-        for target, names in rules:
-            out = out.withColumn(fields, F.when(mine, set_default(F.col(fields), target, names)).otherwise(F.col(fields)))
-    return out
+RULE = "struct<platform:string,resource_type:string,target:string,names:array<string>>"
+
+
+def _alias_rules() -> Column:
+    """Common rules, then platform rules, as one constant array."""
+    rules = [
+        {"platform": None, "resource_type": None, "target": target, "names": list(names)}
+        for target, names in specs.COMMON_ALIASES
+    ]
+    for (platform, kind), own in specs.PLATFORM_ALIASES.items():
+        rules += [
+            {"platform": platform, "resource_type": kind, "target": target, "names": list(names)} for target, names in own
+        ]
+    return F.from_json(F.lit(json.dumps(rules)), f"array<{RULE}>")
+
+
+def apply_aliases(fields: Column) -> Column:
+    """Fill fields from their aliases: common rules, then those of the row's (platform, type).
+
+    One fold over the rules, because a later rule sees what an earlier one has filled.
+    """
+
+    def step(held: Column, rule: Column) -> Column:
+        mine = rule["platform"].isNull() | (
+            (rule["platform"] == F.try_element_at(held, F.lit("platform")))
+            & (rule["resource_type"] == F.try_element_at(held, F.lit("resource_type")))
+        )
+        empty = F.coalesce(F.try_element_at(held, rule["target"]), F.lit("")) == ""
+        values = F.filter(F.transform(rule["names"], lambda n: F.try_element_at(held, n)), lambda v: v != "")
+        wanted = F.coalesce(mine & empty & (F.size(values) > 0), F.lit(False))
+        rest = F.map_filter(held, lambda k, _: k != rule["target"])
+        return F.when(wanted, F.map_concat(rest, F.create_map(rule["target"], F.element_at(values, 1)))).otherwise(held)
+
+    return F.aggregate(_alias_rules(), fields, step)
 
 
 def canonical_record(platform: Column, entity_type: Column, url: Column) -> Column:

@@ -271,12 +271,12 @@ def run_groups(
         .when((strategy == "passthrough") & (F.size(passed) == 0), F.concat(F.lit("no routable source fields for "), F.col("field_group")))
         .when((strategy == "extractive_only") & ~F.col("_matched"), F.lit("no extractive match found"))
     )
-    done = rows.withColumns({"status": status, "error": error, "_passed": F.element_at(passed, 1)})
+    done = rows.withColumns({"status": status, "error": error, "_passed": F.try_element_at(passed, F.lit(1))})
     shown = F.array_join(F.col("_patterns.items"), ",")
     kinds = F.array_join(F.col("_patterns.categories"), ",")
 
     def output(name: Column) -> Column:
-        from_dictionary = F.coalesce(F.try_element_at("_entry", name), F.try_element_at("_entry", F.lit("value")), F.map_values("_entry")[0])
+        from_dictionary = F.coalesce(F.try_element_at("_entry", name), F.try_element_at("_entry", F.lit("value")), F.try_element_at(F.map_values("_entry"), F.lit(1)))
         # A category output takes the categories, any other output the items.
         from_patterns = F.when(F.contains(name, F.lit("categor")), kinds).otherwise(shown)
         value = (

@@ -22,6 +22,8 @@ def build_session(app: str = "pagemill", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture costs more than building the large expressions themselves.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
