@@ -9,6 +9,7 @@ from pagemill.catalogue.text_queries import tokens_sql
 from pagemill.functions import policy
 from pagemill.functions import text as T
 from pagemill.operators import replay as R
+from pagemill.session import spread
 
 # Every event as a request outcome. User groups stand for platforms; one of them is hot.
 OUTCOMES = """outcomes AS (SELECT event_id, epoch_us(ts) AS t, CASE WHEN user_id < 50 THEN -1 ELSE user_id END AS k,
@@ -155,5 +156,7 @@ BUDGET = 60_000
         SELECT doc_id, ok AS admitted FROM s WHERE n > 0"""
 )
 def budget_gate(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", T.token_estimate(F.col("text")).alias("used"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", T.token_estimate(F.col("text")).alias("used")
+    )
     return R.budget_gate(docs, ["doc_id"], "used", BUDGET).select("doc_id", "admitted")

@@ -44,7 +44,7 @@ def seed_build(spark, sf_dir):
     own = maps[-1]
     for i, m in reversed(list(enumerate(maps[:-1]))):
         own = F.when(kind == i, m).otherwise(own)
-    rows = A.candidates(table(spark, sf_dir, "orders").select("o_orderkey", own.alias("record")))
+    rows = A.candidates(spread(table(spark, sf_dir, "orders")).select("o_orderkey", own.alias("record")))
     return rows.select(
         "o_orderkey", "canonical_url", "discovery_mode", F.try_element_at("artifacts", F.lit("pdf_url")).alias("pdf_url"), "error"
     )
@@ -68,7 +68,7 @@ def alias_coalesce(spark, sf_dir):
         F.concat(F.lit("body "), key), F.lit("summary"), F.lit(""), F.lit("shipping_type"), F.lit("Prime"),
     )
     metadata = F.create_map(F.lit("description"), F.concat(F.lit("meta "), F.col("o_orderstatus")))
-    rows = table(spark, sf_dir, "orders").select(
+    rows = spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", structured.alias("structured"), record.alias("record"), metadata.alias("metadata")
     )
     rows = rows.withColumn("flat", A.flatten_json(F.col("structured"), 2))

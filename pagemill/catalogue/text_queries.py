@@ -45,7 +45,7 @@ PARAS = f"""{LINES}, filled AS (SELECT doc_id, i, {strip_sql('line')} AS p FROM
 
 @query(f"SELECT doc_id, CAST({tokens_sql('text')} AS INTEGER) AS tokens FROM documents")
 def token_estimate(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", T.token_estimate(F.col("text")).alias("tokens"))
 
 
@@ -54,7 +54,9 @@ def token_estimate(spark, sf_dir):
         max({tokens_sql('text')}) AS longest FROM documents GROUP BY source, lang"""
 )
 def tokens_by_source(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("source", "lang", T.token_estimate(F.col("text")).alias("t"))
+    docs = spread(table(spark, sf_dir, "documents").select("source", "lang", "text")).select(
+        "source", "lang", T.token_estimate(F.col("text")).alias("t")
+    )
     return docs.groupBy("source", "lang").agg(
         F.count("*").alias("docs"), F.sum("t").alias("tokens"), F.max("t").alias("longest")
     )
@@ -98,7 +100,8 @@ def line_dedup_24(spark, sf_dir):
 )
 def reduce_text(spark, sf_dir):
     blocks = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", R.reduce_markdown(blocks).alias("r"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", R.reduce_markdown(blocks).alias("r"))
     return docs.select("doc_id", "r.text", "r.markdown")
 
 
@@ -193,7 +196,7 @@ def markdown_of(spark, sf_dir):
         F.col("lang"), "\n",
     )
     md = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", md.alias("md"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "text", md.alias("md"))
 
 
 @query(

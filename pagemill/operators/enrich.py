@@ -117,7 +117,8 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
             F.least(F.col("_n") / F.greatest(F.length("_q"), F.lit(1)) * 0.8, F.lit(0.75)).alias("confidence"),
         )
     )
-    resolved = broadcast_if_small(settled.unionByName(picked))
+    # Adaptive execution broadcasts the answers when they turn out small.
+    resolved = settled.unionByName(picked)
     out = df.join(resolved, df[value] == resolved["_value"], "left").drop("_value")
     return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 

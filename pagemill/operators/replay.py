@@ -8,6 +8,8 @@ every block is then finished with what enters it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +30,7 @@ def ordered_blocks(df: DataFrame, keys: list[str], order: list[str], blocks: int
     """
     names = [*keys, *order]
     ranged = df.repartitionByRange(blocks, *names) if blocks else df.repartitionByRange(*names)
-    return cut_lineage(ranged.withColumn(BLOCK, F.spark_partition_id()))
+    return cut_lineage(ranged.sortWithinPartitions(*names).withColumn(BLOCK, F.spark_partition_id()))
 
 
 def admit_times(
@@ -133,6 +135,48 @@ def _exits(at: np.ndarray, kind: np.ndarray, limit: int, pause: np.ndarray) -> n
     return exits
 
 
+def _segments(batches: Iterator[pd.DataFrame], key: str) -> list[pd.DataFrame]:
+    """Rows of one block, cut where the key changes. A block is one bounded, sorted partition."""
+    parts = [b for b in batches if len(b)]
+    if not parts:
+        return []
+    rows = pd.concat(parts, ignore_index=True)
+    keys = rows[key].to_numpy()
+    cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    return [rows.iloc[a:b] for a, b in zip(np.append(0, cuts), np.append(cuts, len(rows)))]
+
+
+def _transfer(times: np.ndarray, kind: np.ndarray, failures: int, pause: np.ndarray) -> tuple[list, list, list]:
+    """How a stretch of events maps the state it is entered with to the one it is left with."""
+    table = _exits(times, kind, failures, pause)
+    exits = table[:-1, 0]
+    # An open circuit that lands on event i leaves like a fresh start there. Neighbours that
+    # leave alike share one entry, so the table stays short.
+    ends = np.append(np.flatnonzero(np.diff(exits) != 0), len(times) - 1)
+    return table[0].tolist(), times[ends].tolist(), exits[ends].tolist()
+
+
+def _enter(state: int, closed: list, upto: list, exits: list) -> int:
+    if state <= CLOSED:
+        return int(closed[CLOSED - state])
+    place = int(np.searchsorted(np.asarray(upto), state, side="left"))
+    return int(exits[place]) if place < len(upto) else state
+
+
+def _allow(times, kinds, pauses, state: int, failures: int) -> list[bool]:
+    """The policy itself, event by event."""
+    allowed = []
+    for time, what, wait in zip(times.tolist(), kinds.tolist(), pauses.tolist()):
+        if state > CLOSED and time < state:
+            allowed.append(False)
+            continue
+        failed = 0 if state > CLOSED else CLOSED - state
+        allowed.append(True)
+        failed = 0 if what == OK else failed + (what == TRIP)
+        state = time + wait if what == TRIP and failed >= failures else CLOSED - failed
+    return allowed
+
+
 def breaker_replay(
     df: DataFrame, key: str, at: str, order: str, kind: str, pause: str,
     failures: int = specs.BREAKER_FAILURES, blocks: int | None = None,
@@ -142,66 +186,48 @@ def breaker_replay(
     ``at`` and ``pause`` (cooldown of an event) are integer times above zero. A success closes the
     circuit, ``failures`` counted errors open it until the event time plus its pause, and the first
     request at or after that time starts afresh.
+
+    Only the first and the last key of a block can run over its edge, so at most two summaries per
+    block are chained; every other key begins and ends inside one block.
     """
-    base = ordered_blocks(df, [key], [at, order], blocks)
-    columns = base.select(key, BLOCK, at, order, kind, pause)
+    base = ordered_blocks(df.select(key, at, order, kind, pause), [key], [at, order], blocks)
+    key_field, block_field = base.schema[key], T.StructField(BLOCK, T.IntegerType())
+    longs = T.ArrayType(T.LongType())
     summary_schema = T.StructType(
-        [
-            columns.schema[key],
-            T.StructField(BLOCK, T.IntegerType()),
-            T.StructField("closed", T.ArrayType(T.LongType())),
-            T.StructField("upto", T.ArrayType(T.LongType())),
-            T.StructField("exits", T.ArrayType(T.LongType())),
-        ]
+        [key_field, block_field, T.StructField("closed", longs), T.StructField("upto", longs), T.StructField("exits", longs)]
     )
 
-    def summarise(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([at, order], kind="stable")
-        times = rows[at].to_numpy()
-        table = _exits(times, rows[kind].to_numpy(), failures, rows[pause].to_numpy())
-        exits = table[:, 0]
-        # An open circuit that lands on event i leaves like a fresh start there. Neighbours that
-        # leave alike share one entry, so the table stays short.
-        ends = np.append(np.flatnonzero(np.diff(exits[:-1]) != 0), len(times) - 1)
-        return pd.DataFrame(
-            {
-                key: [rows[key].iloc[0]], BLOCK: [rows[BLOCK].iloc[0]], "closed": [table[0].tolist()],
-                "upto": [times[ends].tolist()], "exits": [exits[ends].tolist()],
-            }
-        )
-
-    summaries = columns.groupBy(key, BLOCK).applyInPandas(summarise, summary_schema)
-    entry_schema = T.StructType(
-        [columns.schema[key], T.StructField(BLOCK, T.IntegerType()), T.StructField("_entry", T.LongType())]
-    )
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cut = _segments(batches, key)
+        edges = cut[:1] + cut[-1:] if len(cut) > 1 else cut
+        for rows in edges:
+            closed, upto, exits = _transfer(
+                rows[at].to_numpy(), rows[kind].to_numpy(), failures, rows[pause].to_numpy()
+            )
+            yield pd.DataFrame(
+                {key: rows[key].iloc[:1].tolist(), BLOCK: [int(rows[BLOCK].iloc[0])], "closed": [closed], "upto": [upto], "exits": [exits]}
+            )
 
     def chain(rows: pd.DataFrame) -> pd.DataFrame:
-        state, entries = CLOSED, []
         rows = rows.sort_values(BLOCK)
+        state, entries = CLOSED, []
         for closed, upto, exits in zip(rows["closed"], rows["upto"], rows["exits"]):
             entries.append(state)
-            if state <= CLOSED:
-                state = int(closed[CLOSED - state])
-            else:
-                place = int(np.searchsorted(np.asarray(upto), state, side="left"))
-                state = int(exits[place]) if place < len(upto) else state
+            state = _enter(state, closed, upto, exits)
         return pd.DataFrame({key: rows[key], BLOCK: rows[BLOCK], "_entry": entries})
 
-    entries = summaries.groupBy(key).applyInPandas(chain, entry_schema)
-    entered = columns.join(entries, [key, BLOCK])
-    out_schema = T.StructType([columns.schema[key], columns.schema[order], T.StructField("allowed", T.BooleanType())])
-
-    def finish(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([at, order], kind="stable")
-        state, allowed = int(rows["_entry"].iloc[0]), []
-        for time, what, wait in zip(rows[at].to_numpy(), rows[kind].to_numpy(), rows[pause].to_numpy()):
-            if state > CLOSED and time < state:
-                allowed.append(False)
-                continue
-            failed = 0 if state > CLOSED else CLOSED - state
-            allowed.append(True)
-            failed = 0 if what == OK else failed + (what == TRIP)
-            state = int(time + wait) if what == TRIP and failed >= failures else CLOSED - int(failed)
-        return pd.DataFrame({key: rows[key], order: rows[order], "allowed": allowed})
-
-    return entered.groupBy(key, BLOCK).applyInPandas(finish, out_schema)
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _segments(batches, key):
+            allowed = _allow(
+                rows[at].to_numpy(), rows[kind].to_numpy(), rows[pause].to_numpy(), int(rows["_entry"].iloc[0]), failures
+            )
+            yield pd.DataFrame({key: rows[key], order: rows[order], "allowed": allowed})
+
+    entry_schema = T.StructType([key_field, block_field, T.StructField("_entry", T.LongType())])
+    entries = base.mapInPandas(summarise, summary_schema).groupBy(key).applyInPandas(chain, entry_schema)
+    # Two rows per block at most, so the broadcast is bounded by the number of partitions.
+    entered = base.join(F.broadcast(entries), [key, BLOCK], "left").withColumn(
+        "_entry", F.coalesce("_entry", F.lit(CLOSED).cast("bigint"))
+    )
+    out_schema = T.StructType([key_field, base.schema[order], T.StructField("allowed", T.BooleanType())])
+    return entered.mapInPandas(finish, out_schema)
