@@ -125,18 +125,25 @@ def title_lookup(spark, sf_dir):
     return out.select("p_partkey", "match_key", F.round("confidence", 9).alias("confidence"))
 
 
+_G = matches_sql(
+    "CASE WHEN doc_id % 5 < 2 THEN text || chr(10) || 'Rust and Python' ELSE text END", [p[3:-3] for p, _, _ in specs.SKILL_PATTERNS]
+)
+
+
 @query(
-    """WITH d AS (SELECT doc_id, doc_id % 5 AS k, text, lang FROM documents),
-        g AS (SELECT doc_id, k, text, lang, unnest(['skills_extraction', 'standardized_job_title', 'code', 'summaries', 'linkables', 'nope']) AS field_group FROM d)
+    f"""WITH {_G}, f AS (SELECT doc_id, {_UNDOUBLE} AS m, min(p * 100000000 + i) AS o FROM m GROUP BY ALL),
+        s AS (SELECT doc_id, string_agg(m, ',' ORDER BY o) AS items, least((5 + count(*)) / 10.0, 0.9) AS conf FROM f GROUP BY doc_id),
+        d AS (SELECT doc_id, doc_id % 5 AS k, text, lang, items, coalesce(conf, 0) AS conf FROM documents LEFT JOIN s USING (doc_id)),
+        g AS (SELECT doc_id, k, lang, items, conf, unnest(['skills_extraction', 'standardized_job_title', 'code', 'summaries', 'linkables', 'nope']) AS field_group FROM d)
         SELECT doc_id, field_group,
-          CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k = 4 THEN 'skipped' WHEN k < 2 THEN 'success' ELSE 'pending_agent' END
+          CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k = 4 THEN 'skipped' WHEN conf >= 0.7 THEN 'success' ELSE 'pending_agent' END
             WHEN 'standardized_job_title' THEN CASE WHEN k = 0 THEN 'success' WHEN k = 1 THEN 'pending_agent' ELSE 'skipped' END
             WHEN 'code' THEN CASE WHEN k <> 3 THEN 'success' ELSE 'skipped' END
             WHEN 'summaries' THEN 'pending_agent' WHEN 'linkables' THEN CASE WHEN k = 2 THEN 'partial' ELSE 'failed' END ELSE 'skipped' END AS status,
-          CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k < 2 THEN 'Rust,Python' END
+          CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k <> 4 AND conf >= 0.7 THEN items END
             WHEN 'standardized_job_title' THEN CASE WHEN k = 0 THEN 'Title ' || lang END
             WHEN 'code' THEN CASE WHEN k <> 3 THEN lang END WHEN 'linkables' THEN CASE WHEN k = 2 THEN 'GitHub' END END AS value,
-          CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k < 2 THEN 0.7 END
+          CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k <> 4 AND conf >= 0.7 THEN conf END
             WHEN 'standardized_job_title' THEN CASE WHEN k = 0 THEN 0.85 END
             WHEN 'code' THEN CASE WHEN k <> 3 THEN 0.6 END WHEN 'linkables' THEN CASE WHEN k = 2 THEN 0.6 END END AS confidence,
           CASE field_group WHEN 'skills_extraction' THEN CASE WHEN k = 4 THEN 'missing required source fields: [''plain_text'']' END

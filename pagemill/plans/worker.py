@@ -1,0 +1,129 @@
+"""The worker's micro-batch on tables: collect work, plan it, route what comes back."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from pagemill.functions import platform_urls as P
+from pagemill.functions import url as U
+from pagemill.functions.text import strip
+from pagemill.functions.values import first_text
+from pagemill.operators.keyed import due, first_n, insert_if_absent, merge_queues, upsert
+from pagemill.operators.summary import SIGN_IN_CODES, sign_in_pending
+
+#: Fixed value: how long a record waits for a sign-in.
+SIGN_IN_DELAY_SECONDS = 300
+
+
+def tasks_to_items(tasks: DataFrame, submissions: DataFrame | None = None) -> DataFrame:
+    """Claimed or local tasks as work items; a task without an id or address carries an error.
+
+    Tasks have ``task_id, task_type, task_source, url, target_url, dataset_id, platform,
+    resource_type, submission_id``. A repeat task may take its address from the submission.
+    """
+    rows = tasks
+    if submissions is not None:
+        known = submissions.select(
+            F.col("id").alias("submission_id"), first_text(F.col("original_url"), F.col("normalized_url")).alias("_url"),
+            F.col("dataset_id").alias("_dataset"),
+        )
+        rows = rows.join(known, "submission_id", "left")
+    else:
+        rows = rows.withColumns({"_url": F.lit(None).cast("string"), "_dataset": F.lit(None).cast("string")})
+    repeat = F.when(F.col("task_type") == "repeat_crawl", F.col("_url"))
+    url = strip(first_text(F.col("url"), F.col("target_url"), repeat))
+    rows = rows.withColumn("_address", url).withColumn("_task", P.infer_task(F.col("_address")))
+    error = F.when(F.coalesce(strip(F.col("task_id")), F.lit("")) == "", F.lit("task payload is missing id")).when(
+        F.coalesce(F.col("_address"), F.lit("")) == "", F.concat(F.lit("task "), F.col("task_id"), F.lit(" is missing url"))
+    )
+    claimed = F.col("task_source") == "backend_claim"
+    return rows.select(
+        F.concat_ws(":", "task_type", "task_id").alias("item_id"), F.col("task_source").alias("source"),
+        F.col("_address").alias("url"), first_text(F.col("dataset_id"), F.col("_dataset")).alias("dataset_id"),
+        first_text(F.col("platform"), F.col("_task.platform")).alias("platform"),
+        first_text(F.col("resource_type"), F.col("_task.resource_type")).alias("resource_type"),
+        F.when(claimed, F.col("task_id")).alias("claim_task_id"), F.when(claimed, F.col("task_type")).alias("claim_task_type"),
+        error.alias("error"),
+    )
+
+
+def dataset_items(datasets: DataFrame, cursors: DataFrame, min_interval_seconds: int, now: Column) -> DataFrame:
+    """Seed items of datasets whose interval has passed: one per source domain."""
+    rows = datasets.join(cursors.select("dataset_id", "scheduled_at"), "dataset_id", "left")
+    waited = F.unix_timestamp(now) - F.unix_timestamp("scheduled_at")
+    rows = rows.filter(F.col("scheduled_at").isNull() | (waited >= min_interval_seconds))
+    rows = rows.select("dataset_id", F.explode(U.split_list(F.col("source_domains"))).alias("domain"))
+    rows = rows.withColumn("url", U.seed_address(F.col("domain"))).withColumn("_task", P.infer_task(F.col("url")))
+    return rows.select(
+        F.concat(F.lit("discovery:"), "dataset_id", F.lit(":"), "url").alias("item_id"), F.lit("dataset_discovery").alias("source"),
+        "url", "dataset_id", "_task.platform", "_task.resource_type", F.lit("discover-crawl").alias("crawler_command"),
+    )
+
+
+def follow_ups(parents: DataFrame, records: DataFrame) -> DataFrame:
+    """Items for discovered addresses. ``records`` carry the ``item_id`` of their parent."""
+    rows = records.filter(F.coalesce("canonical_url", F.lit("")) != "").join(
+        parents.select("item_id", "dataset_id"), "item_id"
+    )
+    rows = rows.withColumn("_task", P.infer_task(F.col("canonical_url")))
+    return rows.select(
+        F.concat(F.lit("followup:"), F.coalesce("dataset_id", F.lit("unknown")), F.lit(":"), "canonical_url").alias("item_id"),
+        F.lit("discovery_followup").alias("source"), F.col("canonical_url").alias("url"), "dataset_id",
+        first_text(F.col("platform"), F.col("_task.platform")).alias("platform"),
+        first_text(F.col("resource_type"), F.col("_task.resource_type")).alias("resource_type"),
+        F.lit("run").alias("crawler_command"),
+    ).dropDuplicates(["item_id"])
+
+
+def command(item_command: Column, source: Column) -> Column:
+    return F.coalesce(
+        F.nullif(item_command, F.lit("")),
+        F.when(source.isin("dataset_discovery", "domain_discovery"), F.lit("discover-crawl"))
+        .when(source == "manual_debug", F.lit("crawl")).otherwise(F.lit("run")),
+    )
+
+
+def collect(backlog: DataFrame, sign_in: DataFrame, claimed: DataFrame, discovered: DataFrame, limit: int, now: Column) -> DataFrame:
+    """Next items: due sign-ins and backlog first, then claims, then discovery; last wins per item."""
+    ready = first_n(due(sign_in, now), limit, ["position"])
+    queue = first_n(backlog, limit, ["position"])
+    return merge_queues([ready, queue, claimed, discovered], "item_id", limit)
+
+
+def preflight(items: DataFrame, occupied: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Add why an item must not run: its address is taken, or its epoch is closed."""
+    taken = occupied.select("dataset_id", "url", F.lit(True).alias("_taken")).distinct()
+    closed = rejected.select("dataset_id", F.lit(True).alias("_closed")).distinct()
+    rows = items.join(taken, ["dataset_id", "url"], "left").join(closed, "dataset_id", "left")
+    discovery = command(F.col("crawler_command"), F.col("source")) == "discover-crawl"
+    state = F.when(F.col("_taken") & ~discovery, F.lit("occupancy_blocked")).when(F.col("_closed"), F.lit("preflight_rejected"))
+    return rows.withColumn("terminal_state", state).drop("_taken", "_closed")
+
+
+def route(items: DataFrame, records: DataFrame, errors: DataFrame, now: Column) -> dict[str, DataFrame]:
+    """Where the results of a micro-batch go. ``records`` and ``errors`` carry their ``item_id``."""
+    waiting = sign_in_pending(errors).withColumn(
+        "available_at", F.timestamp_seconds(F.unix_timestamp(now) + SIGN_IN_DELAY_SECONDS)
+    )
+    retry = errors.filter(F.col("retryable") & ~F.col("error_code").isin(*SIGN_IN_CODES))
+    discovery = command(F.col("crawler_command"), F.col("source")) == "discover-crawl"
+    found = records.join(items.filter(discovery).select("item_id"), "item_id", "left_semi")
+    finished = records.join(items.filter(~discovery).select("item_id"), "item_id", "left_semi")
+    return {
+        "sign_in": waiting,
+        "backlog": items.join(retry.select("item_id").distinct(), "item_id", "left_semi"),
+        "follow_ups": follow_ups(items, found.select("item_id", "canonical_url", "platform", "resource_type")),
+        "submissions": finished.join(items.select("item_id", "dataset_id"), "item_id").filter(F.col("dataset_id").isNotNull()),
+        "counters": items.agg(F.count(F.lit(1)).alias("processed_items")),
+    }
+
+
+def store_pending(current: DataFrame, additions: DataFrame) -> DataFrame:
+    """Submissions waiting for another try; one per item."""
+    return insert_if_absent(current, additions, ["item_id"])
+
+
+def store_backlog(current: DataFrame, additions: DataFrame) -> DataFrame:
+    """Backlog after a batch; a newer item replaces the one of the same id."""
+    return upsert(current, additions, ["item_id"])

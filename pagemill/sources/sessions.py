@@ -1,0 +1,101 @@
+"""Stored sessions and API endpoints as expressions. Nothing here opens a connection."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from pagemill.functions import url as U
+from pagemill.functions.text import strip
+
+COOKIES = "array<struct<name:string,value:string,domain:string,expires:double>>"
+
+
+def cookie_header(header: Column) -> Column:
+    """``a=1; b=2`` as cookies; a part without ``=`` is no cookie."""
+    parts = F.filter(F.transform(F.split(header, ";"), strip), lambda p: p.contains("="))
+    return F.transform(
+        parts,
+        lambda p: F.struct(
+            strip(F.substring_index(p, "=", 1)).alias("name"),
+            strip(F.substr(p, F.locate("=", p) + 1)).alias("value"),
+            F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("expires"),
+        ),
+    )
+
+
+def cookie_mapping(mapping: Column) -> Column:
+    """``{name: value}`` as cookies."""
+    return F.transform(
+        F.filter(F.map_entries(mapping), lambda e: e["value"].isNotNull()),
+        lambda e: F.struct(
+            e["key"].alias("name"), e["value"].alias("value"), F.lit(None).cast("string").alias("domain"),
+            F.lit(None).cast("double").alias("expires"),
+        ),
+    )
+
+
+def normalize_session(payload: Column) -> Column:
+    """Cookies of a stored session given as list, wrapper, header text or name-value object."""
+    text = strip(payload)
+    listed = F.from_json(text, COOKIES)
+    wrapped = F.from_json(F.get_json_object(text, "$.cookies"), COOKIES)
+    header = F.get_json_object(text, "$.cookies")
+    plain = F.coalesce(F.from_json(header, "map<string,string>"), F.from_json(text, "map<string,string>"))
+    return (
+        F.when(text.startswith("["), listed)
+        .when(F.startswith(F.coalesce(header, F.lit("")), F.lit("[")), wrapped)
+        .when(text.startswith("{") & header.isNotNull() & ~F.startswith(header, F.lit("{")), cookie_header(header))
+        .when(text.startswith("{"), cookie_mapping(plain))
+        .otherwise(cookie_header(text))
+    )
+
+
+def session_status(cookies: Column, required: list[str], now_epoch: Column) -> Column:
+    """missing, invalid (a required cookie is absent), expired or valid."""
+    names = F.transform(cookies, lambda c: c["name"])
+    absent = F.size(F.array_except(F.array(*[F.lit(r) for r in required]).cast("array<string>"), names)) > 0
+    stale = F.exists(
+        cookies, lambda c: c["name"].isin(*required) & F.coalesce((c["expires"] > 0) & (c["expires"] < now_epoch), F.lit(False))
+    )
+    return (
+        F.when(cookies.isNull() | (F.size(cookies) == 0), F.lit("missing")).when(absent, F.lit("invalid"))
+        .when(stale, F.lit("expired")).otherwise(F.lit("valid"))
+    )
+
+
+def session_changed(before: Column, after: Column) -> Column:
+    """True when the name-to-value mapping differs."""
+
+    def pairs(cookies: Column) -> Column:
+        return F.array_sort(F.transform(cookies, lambda c: F.struct(c["name"], c["value"])))
+
+    return ~pairs(before).eqNullSafe(pairs(after))
+
+
+def explorer_endpoint(module: str, action: str, parameters: dict[str, Column]) -> Column:
+    """Chain-explorer REST address. Host and chain number."""
+    pairs = {"chainid": F.lit("8453"), "module": F.lit(module), "action": F.lit(action), **parameters}
+    shown = [F.concat(F.lit(f"{k}="), F.url_encode(v)) for k, v in pairs.items()]
+    return F.concat(F.lit("https://api.etherscan.io/v2/api?"), F.concat_ws("&", *shown))
+
+
+def chain_request(resource_type: Column, identifier: Column) -> Column:
+    """RPC method or REST address of a chain record."""
+    return (
+        F.when(resource_type == "address", F.lit("eth_getBalance"))
+        .when(resource_type == "transaction", F.lit("eth_getTransactionByHash"))
+        .when(resource_type == "token", explorer_endpoint("token", "tokeninfo", {"contractaddress": identifier}))
+        .when(resource_type == "contract", explorer_endpoint("contract", "getsourcecode", {"address": identifier}))
+        .otherwise(F.raise_error(F.concat(F.lit("unsupported resource type "), resource_type)))
+    )
+
+
+def paper_endpoint(paper: Column) -> Column:
+    return F.concat(F.lit("http://export.arxiv.org/api/query?id_list="), paper)
+
+
+def article_endpoint(title: Column) -> Column:
+    """Encyclopedia API address: extract, first twenty categories, page properties."""
+    fixed = "https://en.wikipedia.org/w/api.php?action=query&format=json&prop=extracts|categories|pageprops&cllimit=20&titles="
+    return F.concat(F.lit(fixed), U.percent_encode(title, ""))

@@ -1,0 +1,49 @@
+"""The circuit breaker as a streaming state: one small value per platform."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from pagemill import specs
+from pagemill.operators.replay import OK, TRIP
+
+OUT = "k string, event_id long, allowed boolean"
+STATE = "failures int, open_until long"
+
+
+def breaker_stream(events: DataFrame, failures: int = specs.BREAKER_FAILURES) -> DataFrame:
+    """``k, event_id, allowed`` for a stream of ``k, event_id, at, kind, pause``.
+
+    State is two numbers per key, kept by Spark's state store and restored from its checkpoint.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        failed, until = state.get if state.exists else (0, 0)
+        rows = pd.concat(list(batches)).sort_values(["at", "event_id"])
+        allowed = []
+        for at, kind, pause in zip(rows["at"].tolist(), rows["kind"].tolist(), rows["pause"].tolist()):
+            if until and at < until:
+                allowed.append(False)
+                continue
+            if until:
+                failed, until = 0, 0
+            allowed.append(True)
+            if kind == OK:
+                failed = 0
+            elif kind == TRIP:
+                failed += 1
+                until = at + pause if failed >= failures else 0
+        state.update((int(failed), int(until)))
+        yield pd.DataFrame({"k": key[0], "event_id": rows["event_id"], "allowed": allowed})
+
+    schema = T.StructType(
+        [T.StructField("k", T.StringType()), T.StructField("event_id", T.LongType()), T.StructField("allowed", T.BooleanType())]
+    )
+    return events.groupBy("k").applyInPandasWithState(
+        step, schema, STATE, "append", GroupStateTimeout.NoTimeout
+    )
