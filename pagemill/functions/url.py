@@ -106,7 +106,7 @@ def _without_dots(segments: Column) -> Column:
     )
     closed = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
     joined = F.array_join(closed, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def join(base: Column, href: Column) -> Column:

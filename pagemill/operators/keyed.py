@@ -17,14 +17,13 @@ RANK = "_rank"
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """First row per key in ``order``; rows whose keys are all NULL are kept.
 
-    ``order`` must identify a row, so NULL-keyed rows stay apart from each other.
+    The plain column names in ``order`` must identify a row, so NULL-keyed rows stay apart.
     """
     missing = F.lit(True)
     for key in keys:
         missing = missing & F.col(key).isNull()
-    columns = [F.col(o) if isinstance(o, str) else o for o in order]
-    spread = F.when(missing, F.to_json(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(columns)])))
-    window = Window.partitionBy(*keys, spread).orderBy(*columns)
+    own = F.when(missing, F.to_json(F.struct(*[o for o in order if isinstance(o, str)])))
+    window = Window.partitionBy(*keys, own).orderBy(*order)
     return df.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) == 1).drop(RANK)
 
 
