@@ -187,7 +187,7 @@ def field_groups(spark, sf_dir):
     """SELECT d.doc_id, d.source AS field_group,
          CASE WHEN d.doc_id % 3 = 1 THEN 'success' WHEN l.doc_id IS NULL THEN 'pending_agent' WHEN quality = 1 THEN 'success' ELSE 'success' END AS status,
          CASE WHEN d.doc_id % 3 = 1 THEN 'old' WHEN l.doc_id IS NULL THEN NULL WHEN quality = 1 THEN 'good ' || d.doc_id ELSE 'plain words' END AS summary,
-         CASE WHEN d.doc_id % 3 = 1 THEN 0.5 WHEN l.doc_id IS NOT NULL THEN 0.8 END AS confidence
+         CASE WHEN d.doc_id % 3 = 1 THEN CAST(0.5 AS DOUBLE) WHEN l.doc_id IS NOT NULL THEN 0.8 END AS confidence
        FROM documents d LEFT JOIN labels l USING (doc_id)"""
 )
 def fill_pending(spark, sf_dir):

@@ -190,7 +190,7 @@ def submission_requests(spark, sf_dir):
 
 @query(
     """SELECT o_orderkey, 'T' || o_orderkey AS title, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS priority,
-         'body' AS content, 'http://x/' || o_orderkey AS url, 'meta' AS note, NULL AS extra FROM orders"""
+         'body' AS content, 'http://x/' || o_orderkey AS url, 'meta' AS note, CAST(NULL AS VARCHAR) AS extra FROM orders"""
 )
 def schema_projection(spark, sf_dir):
     key = text("o_orderkey")

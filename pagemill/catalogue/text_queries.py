@@ -51,7 +51,7 @@ def token_estimate(spark, sf_dir):
 
 @query(
     f"""SELECT source, lang, count(*) AS docs, CAST(sum({tokens_sql('text')}) AS BIGINT) AS tokens,
-        max({tokens_sql('text')}) AS longest FROM documents GROUP BY source, lang"""
+        CAST(max({tokens_sql('text')}) AS INTEGER) AS longest FROM documents GROUP BY source, lang"""
 )
 def tokens_by_source(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("source", "lang", "text")).select(
@@ -164,7 +164,7 @@ def split_words(spark, sf_dir):
 
 @query(
     f"""{pack_sql(512, 0)} SELECT source, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars,
-        max({tokens_sql('text')}) AS largest FROM texts JOIN documents d USING (doc_id) GROUP BY source""".replace(
+        CAST(max({tokens_sql('text')}) AS INTEGER) AS largest FROM texts JOIN documents d USING (doc_id) GROUP BY source""".replace(
         "sum(length(text))", "sum(length(texts.text))"
     ).replace("max(CASE WHEN text", "max(CASE WHEN texts.text").replace("(text, '", "(texts.text, '").replace(
         "unnest(string_split(texts.text", "unnest(string_split(text"

@@ -248,7 +248,7 @@ def bucket_urls(spark, sf_dir):
 @query(
     """WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)
        SELECT page_id, count(*) AS n_anchors, count(DISTINCT href) AS n_distinct, min(href) AS first_href,
-              sum(length(href)) AS href_chars FROM a GROUP BY page_id"""
+              CAST(sum(length(href)) AS BIGINT) AS href_chars FROM a GROUP BY page_id"""
 )
 def anchors(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", F.explode(H.anchor_targets(F.col("html"))).alias("href"))
@@ -265,7 +265,7 @@ a AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h
 u AS (SELECT page_id, url, unnest(hs) AS href, unnest(range(len(hs))) AS pos FROM a),
 j AS (SELECT page_id, url, regexp_replace(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href, '[?#].*$', '') AS link, pos FROM u),
 d AS (SELECT page_id, url, link, min(pos) AS pos FROM j GROUP BY ALL),
-links AS (SELECT page_id, url, link, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS position FROM d)
+links AS (SELECT page_id, url, link, row_number() OVER (PARTITION BY page_id ORDER BY pos)::INTEGER - 1 AS position FROM d)
 """
 
 
@@ -285,7 +285,7 @@ def links_limit(spark, sf_dir):
 
 @query(
     f"""WITH {LINKS_SQL}, n AS (SELECT page_id, count(*) AS n FROM links GROUP BY page_id)
-    SELECT split_part(split_part(url, '//', 2), '/', 1) AS host, count(*) AS pages, sum(coalesce(n, 0)) AS links,
+    SELECT split_part(split_part(url, '//', 2), '/', 1) AS host, count(*) AS pages, CAST(sum(coalesce(n, 0)) AS BIGINT) AS links,
       round(sum(coalesce(n, 0)) * 1000.0 / sum(length(html)), 6) AS links_per_1000_chars
     FROM pages LEFT JOIN n USING (page_id) GROUP BY 1"""
 )
@@ -331,7 +331,7 @@ def seed_and_slug(spark, sf_dir):
     """WITH t AS (SELECT page_id, '<a href="https://www.amazon.com/dp/B' || lpad(CAST(page_id AS VARCHAR), 9, '0')
           || '"></a><li data-asin="C' || lpad(CAST(page_id AS VARCHAR), 9, '0') || '"></li>' || html AS html FROM pages)
        SELECT page_id, 'https://www.amazon.com/dp/C' || lpad(CAST(page_id AS VARCHAR), 9, '0') AS related,
-         2 AS n_ids FROM t"""
+         CAST(2 AS BIGINT) AS n_ids FROM t"""
 )
 def related_products(spark, sf_dir):
     number = F.lpad(F.col("page_id").cast("string"), 9, "0")
