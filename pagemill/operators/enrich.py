@@ -231,17 +231,20 @@ def run_groups(
         F.col("extractor") == "lookup", strip(F.coalesce(keyed, F.try_element_at(F.transform("held", lambda e: e["value"]), F.lit(1))))
     )
     rows = rows.withColumns({"_pattern_text": pattern_text, "_lookup_text": lookup_text})
+    missed = {
+        "match_key": F.lit(None).cast("string"), "confidence": F.lit(0.0), "_entry": F.lit(None).cast("map<string,string>"),
+    }
+    if dictionary is None:
+        rows = rows.withColumns(missed)
+    else:
+        # Only rows with something to look up take part in the joins; texts of the others stay put.
+        asking = lookup(rows.filter(F.col("_lookup_text").isNotNull()), "_lookup_text", dictionary)
+        values = broadcast_if_small(dictionary.select(F.col("key").alias("match_key"), F.col("values").alias("_entry")))
+        asking = asking.join(values, "match_key", "left")
+        rows = rows.filter(F.col("_lookup_text").isNull()).withColumns(missed).unionByName(asking)
     nothing = "struct<matched:boolean,items:array<string>,categories:array<string>,evidence:array<string>,confidence:double>"
     patterns = F.when(F.col("_pattern_text").isNotNull(), match_patterns(F.col("_pattern_text"))).otherwise(F.lit(None).cast(nothing))
     rows = rows.withColumn("_patterns", patterns)
-    if dictionary is not None:
-        rows = lookup(rows, "_lookup_text", dictionary)
-        values = broadcast_if_small(dictionary.select(F.col("key").alias("match_key"), F.col("values").alias("_entry")))
-        rows = rows.join(values, "match_key", "left")
-    else:
-        rows = rows.withColumns(
-            {"match_key": F.lit(None).cast("string"), "confidence": F.lit(0.0), "_entry": F.lit(None).cast("map<string,string>")}
-        )
     regex = F.col("extractor") == "regex"
     matched = F.coalesce(F.when(regex, F.col("_patterns.matched")).otherwise(F.col("match_key").isNotNull()), F.lit(False))
     sure = F.coalesce(F.when(regex, F.col("_patterns.confidence")).otherwise(F.col("confidence")), F.lit(0.0))

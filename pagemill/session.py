@@ -56,9 +56,10 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a costly per-row step one task per core when the input has fewer partitions.
+    """Give a costly per-row step one task per core when the input has fewer files than cores.
 
-    A scan of many files already has more partitions than cores and comes back unchanged.
+    The list of input files is known without running anything. A large table has many more files
+    than cores and comes back unchanged, so nothing is shuffled at scale.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(wanted) if len(df.inputFiles()) < wanted else df
