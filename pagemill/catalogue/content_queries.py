@@ -95,7 +95,8 @@ def page_meta(spark, sf_dir):
 
 @query(
     f"""WITH {ARTICLE} SELECT page_id, string_agg(s, chr(10) ORDER BY b, i) AS plain_text, 5 AS noise_removed,
-        'fallback:semantic:article' AS selector_used FROM kept GROUP BY page_id"""
+        CASE WHEN sum(length(s)) > 50 THEN 'fallback:semantic:article' ELSE 'fallback:fallback:body' END AS selector_used
+        FROM kept GROUP BY page_id"""
 )
 def html_text(spark, sf_dir):
     rows = K.extract_pages(pages_of(spark, sf_dir), reduce=False)
