@@ -19,9 +19,10 @@ def pages_of(spark, sf_dir):
 
 
 def unescape_sql(text: str) -> str:
+    """Character references of the pages; the closing semicolon may be cut off."""
     out = text
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{char}')"
+    for entity, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{entity};?', '{char}', 'g')"
     return out
 
 
