@@ -373,3 +373,31 @@ def backend_route(spark, sf_dir):
         F.array_join("c", ",").alias("chain"),
         policy.escalate(F.col("c"), F.lit("playwright")).alias("after_playwright"),
     )
+
+
+@query(
+    """SELECT page_id, 'https://en.wikipedia.org/wiki/Art_' || page_id AS articles,
+         'https://arxiv.org/abs/2101.' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS papers,
+         'https://basescan.org/address/0xcd/#code https://basescan.org/tx/0xab' || page_id AS chain,
+         'https://www.amazon.com/dp/B' || lpad(CAST(page_id AS VARCHAR), 9, '0') AS products,
+         'https://www.linkedin.com/in/p' || page_id || '/ https://www.linkedin.com/company/c' || page_id || '/' AS people FROM pages"""
+)
+def platform_links(spark, sf_dir):
+    number = F.col("page_id").cast("string")
+    parts = (
+        '<a href="/wiki/Art_', number, '">x</a><a href="/wiki/File:', number, '"></a> https://arxiv.org/abs/2101.',
+        F.lpad(number, 5, "0"), "v2 /abs/2101.", F.lpad(number, 5, "0"), " https://basescan.org/tx/0xab", number,
+        ' https://basescan.org/address/0xcd/#code <i data-asin="b', F.lpad(number, 9, "0"), '"></i><a href="/in/p', number,
+        '?x=1#y">me</a><a href="#z"></a><a href="/feed/">f</a><code>"https://www.linkedin.com/company/c', number, '."</code>',
+    )
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts], F.col("html"))
+    rows = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    rows = rows.withColumn("anchors", L.bare_anchors(F.col("html")))
+    names = {"articles": "wikipedia", "papers": "arxiv", "chain": "base", "products": "amazon", "people": "linkedin"}
+    return rows.select(
+        "page_id",
+        *[
+            F.array_join(L.platform_links(p, F.col("html"), F.col("anchors"), F.lit("https://x.example/")), " ").alias(n)
+            for n, p in names.items()
+        ],
+    )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators.keyed import keep_first
 from pagemill.operators.links import bare_anchors, explode_links, page_links
+from pagemill.operators.replay import take_first
 from pagemill.session import cut_lineage
 
 # Default bounds of a crawl.
@@ -61,7 +62,7 @@ def crawl(
 ) -> tuple[DataFrame, DataFrame]:
     """Traverse from seeds over a table of fetched pages.
 
-    ``seeds`` has ``platform, canonical_url, priority, ord``; ``pages`` has ``url, html``. Gives
+    ``seeds`` has ``platform, canonical_url, priority, ord``; ``pages`` has one row per ``url`` with ``html``. Gives
     the records (crawled candidates) and the errors (candidates without a page). ``visited`` are
     the keys of an earlier run: they are not crawled again. The page budget is exact: within a
     level the highest priority goes first, then the order of discovery.
@@ -69,8 +70,9 @@ def crawl(
     key = ["platform", "canonical_url"]
     if links is None:
         links = page_links(F.col("url"), bare_anchors(F.col("html")), allow_external=allow_external)
+    # ``ord`` is the path of positions that led to a candidate: it orders a level by discovery.
     level = keep_first(seeds, key, [F.col("priority").desc(), "ord"]).select(
-        *key, "priority", "ord", F.lit(0).alias("hop_depth"),
+        *key, "priority", F.array(F.col("ord").cast("long")).alias("ord"), F.lit(0).alias("hop_depth"),
         F.lit(None).cast("string").alias("parent_url"), F.col("canonical_url").alias("seed_url"),
     )
     if visited is not None:
@@ -79,14 +81,16 @@ def crawl(
     seen = level.select(*key) if visited is None else level.select(*key).unionByName(visited.select(*key))
     records, errors, left = [], [], max_pages
     for depth in range(max_depth + 1):
-        fetched = level.join(pages, level["canonical_url"] == pages["url"], "left")
-        found = fetched.filter(F.col("url").isNotNull())
-        if left is not None:
-            found = found.orderBy(F.col("priority").desc(), "ord").limit(left)
-        done = cut_lineage(found)
-        failed = fetched.filter(F.col("url").isNull()).select(
+        failed = level.join(pages.select("url"), F.col("canonical_url") == F.col("url"), "left_anti").select(
             *key, "seed_url", "hop_depth", F.lit("DISCOVERY_CRAWL_FAILED").alias("error_code")
         )
+        chosen = level
+        if left is not None:
+            # The budget is spent on keys alone; page bodies join afterwards.
+            known = level.join(pages.select("url"), F.col("canonical_url") == F.col("url"), "left_semi")
+            ranked = known.withColumn("_last", -F.col("priority"))
+            chosen = take_first(ranked, ["_last", "ord", *key], left).drop("_last")
+        done = cut_lineage(chosen.join(pages, F.col("canonical_url") == F.col("url")))
         records.append(done.select(*key, "seed_url", "parent_url", "hop_depth", "priority"))
         errors.append(failed)
         if left is not None:
@@ -100,7 +104,7 @@ def crawl(
         )
         fresh = spawn(rows, seen).select(
             *key, F.col("score").alias("priority"),
-            (F.col("parent_order") * 1000 + F.col("position")).alias("ord"),
+            F.concat("parent_order", F.array(F.col("position").cast("long"))).alias("ord"),
             F.lit(depth + 1).alias("hop_depth"), "parent_url", "seed_url",
         )
         level = cut_lineage(fresh)

@@ -33,6 +33,20 @@ def ordered_blocks(df: DataFrame, keys: list[str], order: list[str], blocks: int
     return cut_lineage(ranged.sortWithinPartitions(*names).withColumn(BLOCK, F.spark_partition_id()))
 
 
+def take_first(df: DataFrame, order: list[str], n: int, small: int = 10_000) -> DataFrame:
+    """First ``n`` rows in ``order``, exactly, without gathering them in one task when ``n`` is large."""
+    if n <= small:
+        return df.orderBy(*order).limit(n)
+    base = ordered_blocks(df, [], order)
+    # One row per range partition.
+    sizes = base.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    skips = sizes.select(BLOCK, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_skip"))
+    place = F.row_number().over(Window.partitionBy(BLOCK).orderBy(*order)) + F.col("_skip")
+    ranked = base.join(F.broadcast(skips), BLOCK).withColumn("_place", place)
+    return ranked.filter(F.col("_place") <= n).drop(BLOCK, "_skip", "_place")
+
+
 def admit_times(
     df: DataFrame, keys: list[str], at: str, order: list[str], interval: Column, burst: Column | int = 1,
     blocks: int | None = None,

@@ -101,6 +101,13 @@ def test_breaker_stream_equals_the_fold(spark, tmp_path):
     assert all(got[k] == v for k, v in model.items())
 
 
+def test_take_first_is_exact_over_blocks(spark):
+    rows = spark.createDataFrame([((i * 7919) % 1000, i) for i in range(3000)], "p long, i long")
+    expected = sorted(((i * 7919) % 1000, i) for i in range(3000))[:1234]
+    got = R.take_first(rows, ["p", "i"], 1234, small=10).collect()
+    assert sorted((r.p, r.i) for r in got) == expected
+
+
 # --- traversal -----------------------------------------------------------------------------------
 
 
