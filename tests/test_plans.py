@@ -113,10 +113,6 @@ def test_enrichment_state_machine_and_answers(spark, tmp_path):
     pending = rows["summaries"]
     assert pending.status == "pending_agent" and "plain_text: I use Python" in pending.agent_prompt
 
-    def complete(prompts):
-        return prompts.map(lambda p: '```json\n{"summary": "short"}\n```')
-
-    complete.__annotations__ = {}
     path = tmp_path / "answers.json"
     path.write_text(json.dumps({f"{pending.doc_id}:summaries": '{"summary":"short"}'}), encoding="utf-8")
     filled = PE.fill(results, S.read_responses(spark, str(path))).filter("field_group = 'summaries'").first()
