@@ -27,16 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import components, hash_filter, in_filter, stored
+from pagemill.llm.common import hash_filter, in_filter, stored
+from pagemill.llm.families import family_components, jaccard_links, listed, listed_nodes
 from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, shingles, steps
 
 #: A token in the heads of more documents than this belongs to the frequent class.
-FREQUENT_AFTER = 16
+FREQUENT_AFTER = 1
 #: Share of a set, lowest hashes first, in which frequent tokens are counted.
-HEAD = 0.15
+HEAD = 0.2
 #: Tokens of a set for each subclass of the frequent class.
 PER_SUBCLASS = 24
 
@@ -94,7 +95,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
         rank[by_sub] = np.arange(len(common)) - np.searchsorted(ordered, ordered)
         stop = int(np.searchsorted(np.cumsum(rank > 0), need - len(rare))) + 1
         prefix, sub, rank = common[:stop], sub[:stop], rank[:stop]
-        tag = np.uint64(0x9E3779B97F4A7C15) * np.uint64(level)
+        tag = np.uint64(level * 0x9E3779B97F4A7C15 % 2**64)
         by_sub = np.argsort(sub, kind="stable")
         prefix, rank = prefix[by_sub], rank[by_sub]
         for gap in range(1, int(rank.max(initial=0)) + 1):
@@ -150,7 +151,7 @@ def _indexed(docs: DataFrame, k: int, percent: int, bits: np.ndarray) -> DataFra
 
 
 def _tokens_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
-    """(short, n, tokens) of the nodes whose first document is in ``needed`` (doc_id, short)."""
+    """(node, tokens) of the nodes whose first document is in ``needed`` (doc_id, short)."""
     shared = docs.sparkSession.sparkContext.broadcast(hash_filter(needed, "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,21 +159,13 @@ def _tokens_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(in_filter(shared.value, ids)))
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), _lists([tokens for _, tokens in _sets(batch, k)])], names=["doc_id", "tokens"]
-                )
+                made = [tokens for _, tokens in _sets(batch, k)]
+                shorts = pa.array([_short(_node(tokens)) for tokens in made], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), shorts, _lists(made)], names=["doc_id", "short", "tokens"])
 
     read = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    return read.mapInArrow(run, "doc_id long, tokens array<long>").join(needed, "doc_id").dropDuplicates(["doc_id"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose token sets reach the threshold, exactly."""
-    one = sets.select(F.col("short").alias("a"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("short").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(one, "a").join(two, "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return both.where(100 * shared >= percent * (F.size("ta") + F.size("tb") - shared)).select("a", "b")
+    made = read.mapInArrow(run, "doc_id long, short long, tokens array<long>")
+    return made.join(needed, ["doc_id", "short"], "left_semi").select(F.col("short").alias("node"), "tokens").dropDuplicates(["node"])
 
 
 def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -181,68 +174,32 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable over links (Jaccard similarity of at least ``percent``
     hundredths), itself included. A null or empty text, or one without a word, has an empty set and links with
     nothing; one of fewer than k words has its whole word sequence as its only shingle. Repeated rows keep a row
-    each; rows with a null doc_id take part in nothing and are their own (null) component. Columns other than
-    ``doc_id`` and ``text`` are ignored. An empty table gives an empty result.
+    each; a row with a null doc_id links with nothing and has a null component. Columns other than ``doc_id`` and
+    ``text`` are ignored. An empty table gives an empty result.
     """
     made = stored(shingle_sets(docs, k))
     counted = made.select(F.explode("head").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     bits = hash_filter(counted.where(F.col("n") > FREQUENT_AFTER), "token")
+    lists = stored(listed(_indexed(docs, k, percent, bits)))
 
-    list_of = Window.partitionBy("signature").orderBy("n", "node")
-    listed = (
-        _indexed(docs, k, percent, bits)
-        .withColumn("before", F.lag(F.struct("n", "node")).over(list_of))
-        .withColumn("first", F.first(F.struct("n", "node")).over(list_of))
-        .where("before.node <> node")
+    # The candidate stage names a set by 64 bits; each 128-bit digest stands for itself from here on.
+    first_of = made.where("node is not null and doc_id is not null").groupBy("node", "short").agg(F.min("doc_id").alias("least"))
+    touched = first_of.join(listed_nodes(lists).withColumnRenamed("node", "short"), "short", "left_semi")
+    sets = stored(_tokens_of(docs, touched.select(F.col("least").alias("doc_id"), "short"), k))
+    joined = family_components(lists, percent, lambda pairs: jaccard_links(pairs, sets, percent))
+
+    part = first_of.join(joined.withColumnRenamed("node", "short"), "short", "left").select(
+        "node", "least", F.coalesce("component", "short").alias("part")
     )
-    lists = stored(listed)
-    close = lambda x: F.col(f"{x}.n") * 100 >= F.col("n") * percent
-    paired = lists.select("node", "n", F.explode(F.array("first", "before")).alias("other")).where(close("other")).select(
-        F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")
-    ).where("a <> b").distinct()
-
-    # The candidate stage names a node by 64 bits; if two nodes share them, both are verified.
-    nodes = made.where("node is not null").groupBy("node", "short").agg(F.min("doc_id").alias("doc_id"))
-    touched = lists.select("node").union(lists.select("first.node")).distinct().withColumnRenamed("node", "short")
-    sets = stored(_tokens_of(docs, nodes.join(touched, "short").select("doc_id", "short"), k))
-    by_doc = sets.select("doc_id", "short")
-
-    def links(short_pairs: DataFrame) -> DataFrame:
-        one = by_doc.select(F.col("short").alias("a"), F.col("doc_id").alias("da"))
-        two = by_doc.select(F.col("short").alias("b"), F.col("doc_id").alias("db"))
-        doc_pairs = short_pairs.join(one, "a").join(two, "b").select(F.col("da").alias("a"), F.col("db").alias("b"))
-        return _verified(doc_pairs, sets.select(F.col("doc_id").alias("short"), "tokens"), percent)
-
-    found = stored(links(paired))
-    joined = stored(components(found))
-    found = found.union(links(_across(lists, joined, by_doc, paired, percent)))
-    joined = components(found)
-
-    root = joined.select(F.col("node").alias("least"), "component")
-    member = nodes.select("node", F.col("doc_id").alias("least"))
-    labelled = member.join(root, "least", "left").select("node", F.coalesce("component", "least").alias("component_id"))
-    return (
-        made.select("doc_id", "n_shingles", "node").join(labelled, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    root = part.groupBy("part").agg(F.min("least").alias("component_id"))
+    labelled = part.join(root, "part").select("node", "component_id")
+    return made.join(labelled, "node", "left").select(
+        "doc_id", "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
-def _across(lists: DataFrame, joined: DataFrame, by_doc: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list's nodes that are in different components and weren't looked at yet."""
-    part = by_doc.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").groupBy("short").agg(
-        F.min(F.coalesce("component", "doc_id")).alias("part")
-    )
-    rows = lists.select("signature", "node", "n").union(lists.select("signature", "first.node", "first.n")).distinct()
-    rows = rows.join(part.withColumnRenamed("short", "node"), "node")
-    open_lists = rows.groupBy("signature").agg(
-        F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")
-    ).where("p <> q and size > 3").select("signature")
-    rows = rows.join(open_lists, "signature")
-    # A component whose members stand in several such lists together meets the others once for each pair of nodes.
-    left = rows.select("signature", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
-    right = rows.select("signature", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"))
-    pairs = left.join(right, "signature").where(
-        (F.col("px") < F.col("py")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    )
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+def keep_first(docs: DataFrame, joined: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id; every column stays as it is."""
+    gone = joined.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

@@ -5,19 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagemill.llm.common import table
+from pagemill.llm.decontamination import contamination
 from pagemill.llm.jaccard_join import jaccard_join
+from pagemill.llm.language_id import held_out, identify, train
+from pagemill.llm.paragraph_dedup import paragraph_clusters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows hit, and the items they are of."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near_items"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out()))
+    found = identify(docs.select("doc_id", "text"), model, ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of the documents that stands in a run of repeated passages, with its cluster and its fate."""
+    return paragraph_clusters(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, its set size and its component at a Jaccard similarity of 0.9 on 3-word shingles."""
     return jaccard_join(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op8_language_id": op8_language_id,
+    "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
