@@ -2,18 +2,25 @@
 
 Rows of an index are (signature, node, n): a node of set size n carries a signature. The nodes of a list are
 ordered by size and paired with the first and with the one before, a number of pairs in proportion to the list.
-What these links leave in different components is then paired in full, list by list.
+What these links leave in different components is then compared in full: as pairs in lists of up to SMALL nodes, whose
+number stays in proportion to the rows, and as blocks of bounded size in larger lists. A task compares two blocks and
+returns only links that join components, so no task holds a whole family and no pairs of a family become rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import components, stored
 
+#: Lists of up to so many nodes are compared as rows.
+SMALL = 24
+#: Nodes of a block of a larger list.
+BLOCK = 1024
+
 
 def listed(indexed: DataFrame) -> DataFrame:
     """Every node of a list but its first, with the first and the one before (structs of n and node)."""
@@ -40,15 +47,25 @@ def near_pairs(lists: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def across(lists: DataFrame, joined: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of list members in different components (node, component) that ``done`` doesn't hold."""
-    rows = lists.select("signature", "node", "n").union(lists.select("signature", "first.node", "first.n")).distinct()
-    rows = rows.join(joined, "node", "left").withColumn("part", F.coalesce("component", "node"))
+def _rows(lists: DataFrame, joined: DataFrame) -> DataFrame:
+    """Every node of a list, with the list's first node and size and the node's component (``part``)."""
+    rows = lists.select("signature", "node", "n", F.col("first.node").alias("pivot")).union(
+        lists.select("signature", "first.node", "first.n", "first.node")
+    ).distinct()
+    sizes = lists.groupBy("signature").agg((F.count("*") + 1).alias("size"))
     # Lists of up to three nodes have been paired in full.
-    open_lists = rows.groupBy("signature").agg(
-        F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")
-    ).where("p <> q and size > 3").select("signature")
-    rows = rows.join(open_lists, "signature")
+    rows = rows.join(sizes.where("size > 3"), "signature").join(joined, "node", "left")
+    return rows.withColumn("part", F.coalesce("component", "node")).drop("component")
+
+
+def _open(rows: DataFrame, key: str) -> DataFrame:
+    parts = rows.groupBy(key).agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    return rows.join(parts.where("p <> q").select(key), key)
+
+
+def across(rows: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in small lists that ``done`` doesn't hold."""
+    rows = _open(rows.where(F.col("size") <= SMALL), "signature")
     left = rows.select("signature", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
     right = rows.select("signature", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"))
     pairs = left.join(right, "signature").where(
@@ -59,12 +76,67 @@ def across(lists: DataFrame, joined: DataFrame, done: DataFrame, percent: int) -
     )
 
 
-def family_components(lists: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, component) over the links of all nodes that share a signature; ``verify`` keeps the true links (a, b)."""
+def block_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join different components of large lists. Lists with one first node are taken together; their
+    nodes are dealt to blocks by hash, and a task compares two blocks (or one with itself)."""
+    members = _open(rows.where(F.col("size") > SMALL).select("pivot", "node", "part").distinct(), "pivot")
+    blocks = members.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "pivot").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "part", "tokens")
+
+    def compare(group: pa.Table) -> pa.Table:
+        own, node, part = (group[c].to_numpy() for c in ("own", "node", "part"))
+        links = _joining(own, node, part, group["tokens"].combine_chunks(), percent)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+    return dealt.groupBy("pivot", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _joining(own: np.ndarray, node: np.ndarray, part: np.ndarray, tokens: pa.ListArray, percent: int) -> list[tuple[int, int]]:
+    """Links between different parts, no more than needed to join them. Shared tokens are counted by products of
+    small 0/1 matrices over the tokens that occur twice."""
+    sizes = np.diff(tokens.offsets.to_numpy())
+    _, column, count = np.unique(tokens.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(node)), sizes)
+    keep = count[column] > 1
+    row, column = row[keep], (np.cumsum(count > 1) - 1)[column[keep]]
+    shared = np.zeros((len(node), len(node)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(column.max(initial=-1)) + 1, 2048):
+        a, b = np.searchsorted(column, [low, low + 2048])
+        some = np.zeros((len(node), 2048), dtype=np.float32)
+        some[row[a:b], column[a:b] - low] = 1
+        used = np.unique(row[a:b])
+        shared[np.ix_(used, used)] += some[used] @ some[used].T
+    union = sizes[:, None] + sizes[None] - shared
+    near = (100 * shared >= percent * union) & (part[:, None] < part[None])
+    if own.min(initial=0) != own.max(initial=0):
+        near &= own[:, None] != own[None]
+    root = {int(p): int(p) for p in part}
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            root[p] = p = root[root[p]]
+        return p
+
+    out = []
+    for x, y in zip(*np.nonzero(near)):
+        p, q = find(int(part[x])), find(int(part[y]))
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((int(node[x]), int(node[y])))
+    return out
+
+
+def family_components(lists: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """(node, component) over all links of the nodes that share a signature, by their sets (node, tokens)."""
     paired = near_pairs(lists, percent)
-    found = stored(verify(paired))
+    found = stored(jaccard_links(paired, sets, percent))
     joined = stored(components(found))
-    rest = stored(verify(across(lists, joined, paired, percent)))
+    rows = stored(_rows(lists, joined))
+    rest = stored(jaccard_links(across(rows, paired, percent), sets, percent).union(block_links(rows, sets, percent)))
     return joined if rest.isEmpty() else stored(components(found.union(rest)))
 
 

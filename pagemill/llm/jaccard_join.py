@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import hash_filter, in_filter, stored
-from pagemill.llm.families import family_components, jaccard_links, listed, listed_nodes
+from pagemill.llm.families import family_components, listed, listed_nodes
 from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, shingles, steps
 
 #: A token in the heads of more documents than this belongs to the frequent class.
@@ -186,7 +186,7 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     first_of = made.where("node is not null and doc_id is not null").groupBy("node", "short").agg(F.min("doc_id").alias("least"))
     touched = first_of.join(listed_nodes(lists).withColumnRenamed("node", "short"), "short", "left_semi")
     sets = stored(_tokens_of(docs, touched.select(F.col("least").alias("doc_id"), "short"), k))
-    joined = family_components(lists, percent, lambda pairs: jaccard_links(pairs, sets, percent))
+    joined = family_components(lists, percent, sets)
 
     part = first_of.join(joined.withColumnRenamed("node", "short"), "short", "left").select(
         "node", "least", F.coalesce("component", "short").alias("part")

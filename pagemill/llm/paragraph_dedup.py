@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import hash_filter, in_filter, stored
-from pagemill.llm.families import family_components, jaccard_links, listed, listed_nodes
+from pagemill.llm.families import family_components, listed, listed_nodes
 from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, powers, shingles, steps
 
 SHINGLE = 5
@@ -163,7 +163,7 @@ def paragraph_clusters(
     found = stored(paragraphs(docs, k))
     lists = stored(listed(_banded(docs, k, bands, rows)))
     sets = stored(_sets(docs, listed_nodes(lists), k))
-    joined = family_components(lists, percent, lambda pairs: jaccard_links(pairs, sets, percent))
+    joined = family_components(lists, percent, sets)
 
     once = found.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "line")).alias("first"))
     grouped = once.join(joined, "node", "left").select(
