@@ -7,15 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.llm.bpe import encode
 from pagemill.llm.common import table
 from pagemill.llm.decontamination import contamination
 from pagemill.llm.jaccard_join import jaccard_join
 from pagemill.llm.language_id import held_out, identify, train
 from pagemill.llm.paragraph_dedup import paragraph_clusters
+from pagemill.llm.perplexity import judge
+from pagemill.llm.suffix_dedup import SIZE, cut, repeated_spans
+from pagemill.llm.token_files import round_trip
 
+#: The tokenizer file's name; ``public_tokenizers`` knows its place on this machine and every executor.
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that benchmark windows hit, and the items they are of."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -26,6 +38,41 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum of ids, as read back from the token files."""
+    found = round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+    return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base rules' counts of every document and whether it stays within its language's perplexity band."""
+    found = judge(table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *base, "base_failed", "kept", "log_perplexity")
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of 400-byte strings that start anywhere else too."""
+    docs = table(spark, sf_dir, "documents")
+    spans = repeated_spans(docs, SIZE, keep="none")
+    left = cut(docs, spans).select("digest", F.sha2("kept", 256).alias("cut_sha256"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["first"])
+    whole = F.when(F.size("spans") == 0, F.lower(F.hex("digest"))).otherwise(F.sha2(F.lit("").cast("binary"), 256))
+    return spans.join(left, "digest", "left").select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.coalesce("cut_sha256", whole).alias("kept_sha256"),
+    )
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document and the text they decode to, by length and digest."""
+    found = encode(table(spark, sf_dir, "documents"), tokenizer_path(), ["doc_id"])
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +93,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op4_token_files": op4_token_files,
+    "op5_perplexity": op5_perplexity,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_bpe": op7_bpe,
     "op8_language_id": op8_language_id,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_ngram_jaccard": op10_ngram_jaccard,
