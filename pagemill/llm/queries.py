@@ -12,8 +12,10 @@ from pagemill.llm.common import table
 from pagemill.llm.decontamination import contamination
 from pagemill.llm.jaccard_join import jaccard_join
 from pagemill.llm.language_id import held_out, identify, train
+from pagemill.llm.license_scan import scan
 from pagemill.llm.paragraph_dedup import paragraph_clusters
 from pagemill.llm.perplexity import judge
+from pagemill.llm.quote_links import reply_ordered
 from pagemill.llm.suffix_dedup import SIZE, cut, repeated_spans
 from pagemill.llm.token_files import round_trip
 
@@ -38,6 +40,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, in its thread, with what it replies to."""
+    return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum of ids, as read back from the token files."""
     found = round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
@@ -93,6 +105,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_quote_links": op2_quote_links,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
     "op5_perplexity": op5_perplexity,
     "op6_suffix_dedup": op6_suffix_dedup,
