@@ -59,7 +59,8 @@ class _Paragraphs:
         flat = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
         taken = hashes[first[own] + flat] if len(own) else hashes[:0]
         bounds = np.concatenate([[0], np.cumsum(n)])
-        sums = np.concatenate([[0], np.cumsum(taken * powers(_SEQUENCE, int(n.max(initial=0)) + 1)[flat])]).astype(np.uint64)
+        sums = np.zeros(len(taken) + 1, dtype=np.uint64)
+        np.cumsum(taken * powers(_SEQUENCE, int(n.max(initial=0)) + 1)[flat], out=sums[1:])
         self.key = mix(sums[bounds[1:]] - sums[bounds[:-1]] + n.astype(np.uint64))
         self.shingles, self.bounds = shingles(taken, bounds, k)
 
@@ -153,8 +154,8 @@ def paragraph_clusters(
 ) -> DataFrame:
     """The duplicated paragraphs that stand in long enough runs, one row each.
 
-    Columns: doc_id, text_hash, line, n_words, cluster_id (a member's hash), cluster_size (occurrences),
-    first_doc_id, removed (false for a cluster's first occurrence). Null and empty texts, lines of fewer than k
+    Columns: doc_id, text_hash, line, n_words, cluster_id (a member's hash), first_doc_id,
+    removed (false for a cluster's first occurrence). Null and empty texts, lines of fewer than k
     words and rows with a null doc_id have no paragraphs. Rows that repeat both doc_id and text are one document.
     An empty table gives no rows. Columns other than doc_id and text are ignored.
     """
@@ -165,21 +166,21 @@ def paragraph_clusters(
     sets = stored(_sets(docs, listed_nodes(lists), k))
     joined = family_components(lists, percent, sets)
 
-    once = found.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "line")).alias("first"))
-    grouped = once.join(joined, "node", "left").select(
-        "node", "n", "first", F.coalesce("component", "node").alias("cluster_id")
-    ).where("n > 1 or component is not null")
-    whole = grouped.groupBy("cluster_id").agg(F.sum("n").alias("cluster_size"), F.min("first").alias("first"))
-    member = grouped.select("node", "cluster_id").join(whole, "cluster_id").where("cluster_size > 1")
+    place = F.struct("doc_id", "text_hash", "line")
+    once = found.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    grouped = once.join(joined, "node", "left").select("node", "first", "last", F.coalesce("component", "node").alias("cluster_id"))
+    # Repeated rows of a document are one place, so a cluster needs two different ones.
+    whole = grouped.groupBy("cluster_id").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last")
+    member = grouped.select("node", "cluster_id").join(whole.drop("last"), "cluster_id")
     marked = found.dropDuplicates(["doc_id", "text_hash", "line"]).join(member, "node")
 
     in_doc = Window.partitionBy("doc_id", "text_hash").orderBy("para")
     runs = marked.withColumn("run", F.col("para") - F.row_number().over(in_doc))
     of_run = Window.partitionBy("doc_id", "text_hash", "run")
     return runs.withColumn("run_words", F.sum("n_words").over(of_run)).where(F.col("run_words") >= min_run).select(
-        "doc_id", "text_hash", "line", "n_words", "cluster_id", "cluster_size",
+        "doc_id", "text_hash", "line", "n_words", "cluster_id",
         F.col("first.doc_id").alias("first_doc_id"),
-        (F.col("first") != F.struct("doc_id", "text_hash", "line")).alias("removed"),
+        (F.col("first") != place).alias("removed"),
     )
 
 

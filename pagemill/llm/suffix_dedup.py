@@ -132,7 +132,8 @@ def _shipped(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, size: int,
                         own = np.repeat(at, n[at])
                         start = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(n[at]) - n[at], n[at])
                         one = span_hashes(prefix(data), start, start + size)
-                        sums = np.concatenate([[0], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_SECOND, len(data)))]).astype(np.uint64)
+                        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+                        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_SECOND, len(data)), out=sums[1:])
                         two = mix((sums[start + size] - sums[start]) * powers(pow(_SECOND, -1, 2**64), len(data) + 1)[start])
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([digests[rows[r]] for r in row[own]], pa.binary()),
