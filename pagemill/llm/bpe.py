@@ -157,9 +157,9 @@ def encode(docs: DataFrame, path: str, columns: list[str] | None = None, piece:
     """``docs`` (or the ``columns`` of it) with ids (binary, little-endian unsigned 32-bit) and decoded (string).
 
     A null or empty text has no ids and decodes to the empty text. Every row is encoded for itself, so repeated rows,
-    null ids and other columns of any name don't matter. Only texts of more than ``piece`` characters are shuffled.
+    null ids and other columns don't matter; columns named ids or decoded are replaced. Only texts of more than ``piece`` characters are shuffled.
     """
-    columns = docs.columns if columns is None else columns
+    columns = [c for c in (docs.columns if columns is None else columns) if c not in ("ids", "decoded")]
     read = docs.select(F.struct(*columns).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     kind = read.schema["row"].dataType.simpleString()
     is_long = F.length("text") > piece

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.session import cut_lineage
@@ -57,6 +57,18 @@ def hash_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.nda
     return out
 
 
+def merged_runs(runs: str, kind: str) -> Column:
+    """Sorted runs (first, stop) of a column joined where they touch or overlap."""
+    last = lambda done: F.element_at(done, -1)
+    touch = lambda done, s: (F.size(done) > 0) & (s["first"] <= F.try_element_at(done, F.lit(-1))["stop"])
+    grown = lambda done, s: F.concat(
+        F.slice(done, 1, F.size(done) - 1),
+        F.array(F.struct(last(done)["first"].alias("first"), F.greatest(last(done)["stop"], s["stop"]).alias("stop"))),
+    )
+    none = F.array().cast(f"array<struct<first:{kind},stop:{kind}>>")
+    return F.aggregate(runs, none, lambda done, s: F.when(touch(done, s), grown(done, s)).otherwise(F.concat(done, F.array(s))))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", store=None) -> DataFrame:
     """(node, component): the smallest node that each node of the undirected edges can reach.
 

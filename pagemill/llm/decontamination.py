@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored
+from pagemill.llm.common import merged_runs, stored
 from pagemill.llm.textops import ALNUM, Words, buffers, steps
 
 #: Words of a window.
@@ -170,9 +170,9 @@ def search(index: DataFrame, windows: DataFrame, slop: int = 0, block: int = BLO
         out = found if out is None else out.union(found)
     return out.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
+        F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"),
-    )
+    ).withColumn("hits", merged_runs("hits", "int"))
 
 
 def _searcher(sent, slop: int):
@@ -219,10 +219,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slo
     """
     index = build_index(docs)
     found = search(index, item_windows(benchmark, size), slop)
-    covered = F.flatten(F.transform("hits", lambda h: F.sequence(h["first"], h["stop"] - 1)))
     found = found.select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "items", "near",
-        F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
+        F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["stop"] - h["first"]).alias("n_hit"),
     )
     every = index.select(F.explode(F.arrays_zip("doc_ids", "text_hashes", "n_words")).alias("d")).select(
         F.col("d.doc_ids").alias("doc_id"), F.col("d.text_hashes").alias("text_hash"), F.col("d.n_words").cast("long").alias("n_words")

@@ -132,9 +132,10 @@ def identify(docs: DataFrame, model: Model, columns: list[str] | None = None) ->
     """``docs`` with lang_pred, score and ambiguous, from the text alone.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if nothing could be learned.
-    Every row gets its own result, whatever its other columns hold. ``columns`` names those to keep (default: all).
+    Every row gets its own result, whatever its other columns hold. ``columns`` names those to keep (default: all);
+    columns with the names of the results are replaced.
     """
-    columns = columns or docs.columns
+    columns = [c for c in columns or docs.columns if c not in ("lang_pred", "score", "ambiguous")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*columns, F.col("text").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("_text").schema)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.bpe import rows_of
-from pagemill.llm.common import hash_filter, in_filter, stored
+from pagemill.llm.common import hash_filter, in_filter, merged_runs, stored
 from pagemill.llm.textops import buffers, mix, powers, prefix, span_hashes, steps
 
 SIZE = 400
@@ -251,7 +251,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, keep: str = "first", ancho
     if keep == "first":
         found = found.where("earlier = 1")
     spans = found.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("first", (F.col("last") + size).alias("stop")))).alias("spans"))
-    merged = spans.select("digest", _merged("spans").alias("spans"))
+    merged = spans.select("digest", merged_runs("spans", "bigint").alias("spans"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_bytes").alias("stop")))
     none = F.array().cast("array<struct<first:bigint,stop:bigint>>")
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= size)
@@ -261,18 +261,6 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, keep: str = "first", ancho
     return joined.select("doc_id", "digest", "n_bytes", F.when(copied, whole).otherwise(F.coalesce("spans", none)).alias("spans"))
 
 
-def _merged(spans: str):
-    """Sorted byte runs joined where they touch or overlap."""
-    last = lambda done: F.element_at(done, -1)
-    touch = lambda done, s: (F.size(done) > 0) & (s["first"] <= F.try_element_at(done, F.lit(-1))["stop"])
-    none = F.array().cast("array<struct<first:bigint,stop:bigint>>")
-    grown = lambda done, s: F.concat(
-        F.slice(done, 1, F.size(done) - 1),
-        F.array(F.struct(last(done)["first"].alias("first"), F.greatest(last(done)["stop"], s["stop"]).alias("stop"))),
-    )
-    return F.aggregate(spans, none, lambda done, s: F.when(touch(done, s), grown(done, s)).otherwise(F.concat(done, F.array(s))))
-
-
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """(digest, kept): the remaining bytes of each distinct text that loses some, but not all, of its bytes."""
     partly = spans.where("size(spans) > 0 and not (spans[0].first = 0 and spans[0].stop = n_bytes)")
