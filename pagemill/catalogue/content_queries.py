@@ -104,6 +104,19 @@ def html_text(spark, sf_dir):
     return rows.select("page_id", "plain_text", "noise_removed", "selector_used")
 
 
+@query(
+    """SELECT page_id, CAST(length('w' || page_id) * 20000 + 19999 AS BIGINT) AS chars,
+         md5(rtrim(repeat('w' || page_id || ' ', 20000))) AS body_md5 FROM pages"""
+)
+def long_pages(spark, sf_dir):
+    """Pages of over 40,000 characters without an article, up to several times that."""
+    body = F.rtrim(F.repeat(F.concat(F.lit("w"), F.col("page_id").cast("string"), F.lit(" ")), F.lit(20000)))
+    html = F.concat(F.lit("<html><body><div><p>"), body, F.lit("</p></div><p>x</p></body></html>"))
+    pages = pages_of(spark, sf_dir).select("page_id", "url", html.alias("html"))
+    found = K.extract_pages(pages, reduce=False)
+    return found.select("page_id", F.length("plain_text").cast("bigint").alias("chars"), F.md5("plain_text").alias("body_md5"))
+
+
 @query(
     f"""WITH {ARTICLE}, p AS (SELECT page_id, b, lower(string_agg(s, ' ' ORDER BY i)) AS k FROM kept GROUP BY page_id, b),
         firsts AS (SELECT page_id, b, b = 0 OR (NOT {noise_sql('k')} AND (length(k) < 24

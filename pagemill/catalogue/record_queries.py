@@ -71,13 +71,27 @@ def alias_coalesce(spark, sf_dir):
     rows = spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", structured.alias("structured"), record.alias("record"), metadata.alias("metadata")
     )
-    rows = rows.withColumn("flat", A.flatten_json(F.col("structured"), 2))
+    rows = rows.withColumn("flat", A.flatten_json(F.col("structured")))
     rows = rows.withColumn("fields", A.enrichment_input(F.col("record"), F.col("flat"), F.col("metadata")))
     out = rows.select("o_orderkey", "structured", A.apply_aliases(F.col("fields")).alias("fields"))
     names = ("platform", "title", "summary", "extract", "abstract", "full_text", "price", "brand", "fulfillment")
     return out.select("o_orderkey", "structured", *[F.try_element_at("fields", F.lit(n)).alias(n) for n in names])
 
 
+@query(
+    """SELECT o_orderkey, 'nested' || o_orderkey AS k, 'x' || o_orderkey AS deep, '{"deep":"x' || o_orderkey || '"}' AS e,
+         CAST(NULL AS VARCHAR) AS hollow, o_orderstatus AS late, '[1,2]' AS list FROM orders"""
+)
+def flatten_deep(spark, sf_dir):
+    key = text("o_orderkey")
+    payload = F.concat(
+        F.lit('{"first":{"k":"nested'), key, F.lit('","hollow":"","b":{"c":{"d":{"e":{"deep":"x'), key,
+        F.lit('"}}}},"hollow":{}},"k":"shallow","late":"'), F.col("o_orderstatus"), F.lit('","list":[1,2]}'),
+    )
+    flat = table(spark, sf_dir, "orders").select("o_orderkey", A.flatten_json(payload).alias("flat"))
+    return flat.select("o_orderkey", *[F.try_element_at("flat", F.lit(n)).alias(n) for n in ("k", "deep", "e", "hollow", "late", "list")])
+
+
 @query(
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS missing,
          event_type || chr(10) || chr(10) || 'k: ' || json_extract(props, '$.k') AS plain_text,
@@ -175,7 +189,8 @@ def submission_projection(spark, sf_dir):
 
 
 @query(
-    """SELECT lang AS dataset_id, count(*) AS entries, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY lang"""
+    """SELECT lang AS dataset_id, count(*) AS entries, CAST(sum(length(text)) AS BIGINT) AS chars, TRUE AS bounded,
+         TRUE AS filled FROM documents GROUP BY lang"""
 )
 def submission_requests(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(
@@ -185,7 +200,12 @@ def submission_requests(spark, sf_dir):
     )
     requests = X.submission_requests(X.submission_entries(rows, F.col("lang")), entries_per_request=50)
     sizes = F.aggregate("entries", F.lit(0).cast("bigint"), lambda n, e: n + F.length(e["cleaned_data"]))
-    return requests.groupBy("dataset_id").agg(F.sum(F.size("entries")).alias("entries"), F.sum(sizes).alias("chars"))
+    # Only the last request of each task's share may be short.
+    tasks = F.count_distinct(F.shiftright("request", 32))
+    return requests.groupBy("dataset_id").agg(
+        F.sum(F.size("entries")).alias("entries"), F.sum(sizes).alias("chars"), (F.max(F.size("entries")) <= 50).alias("bounded"),
+        (F.count("*") <= F.ceil(F.sum(F.size("entries")) / 50) + tasks).alias("filled"),
+    )
 
 
 @query(

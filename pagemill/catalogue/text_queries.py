@@ -209,7 +209,7 @@ def markdown_of(spark, sf_dir):
         UNION ALL SELECT doc_id, 3, 'References', '[1] First ' || source, 'references' FROM md"""
 )
 def md_sections(spark, sf_dir):
-    rows = markdown_of(spark, sf_dir).select("doc_id", T.markdown_sections(F.col("md")).alias("s"))
+    rows = markdown_of(spark, sf_dir).select("doc_id", T.markdown_sections(F.col("md"), summary_chars=240).alias("s"))
     return C.explode_once(rows, "s", "pos", "x").select("doc_id", "pos", "x.heading", "x.content_summary", "x.section_type")
 
 

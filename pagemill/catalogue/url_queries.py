@@ -269,7 +269,7 @@ links AS (SELECT page_id, url, link, row_number() OVER (PARTITION BY page_id ORD
 """
 
 
-@query(f"WITH {LINKS_SQL} SELECT page_id, url AS parent_url, link AS canonical_url, position FROM links WHERE position < 200")
+@query(f"WITH {LINKS_SQL} SELECT page_id, url AS parent_url, link AS canonical_url, position FROM links")
 def links_same_host(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = L.page_links(F.col("url"), L.bare_anchors(F.col("html")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pagemill.operators import enrich as E
 from pagemill.operators import export as X
 from pagemill.operators.alias import candidates
-from pagemill.operators.frontier import MAX_DEPTH, MAX_PAGES, crawl
+from pagemill.operators.frontier import MAX_DEPTH, crawl
 from pagemill.plans.crawl import crawl_records
 from pagemill.plans.enrich import enrich_records, fill
 from pagemill.session import build_session
@@ -33,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--dataset-id", default="")
         sub.add_argument("--generated-at")
         sub.add_argument("--max-depth", type=int, default=MAX_DEPTH)
-        sub.add_argument("--max-pages", type=int, default=MAX_PAGES)
+        sub.add_argument("--max-pages", type=int, help="default: no limit")
         sub.add_argument("--strict", action="store_true")
     return out
 
@@ -58,11 +58,14 @@ def main(argv: list[str] | None = None) -> int:
         fill(results, S.read_responses(spark, args.responses)).write.mode("overwrite").parquet(args.output)
         return 0
     if args.command == "discover-crawl":
-        seeds = candidates(S.read_records(spark, args.input)).filter(F.col("error").isNull()).select(
+        given = candidates(S.read_records(spark, args.input))
+        refused = given.filter(F.col("error").isNotNull()).select("platform", "canonical_url", F.col("error").alias("error_code"))
+        seeds = given.filter(F.col("error").isNull()).select(
             "platform", "canonical_url", F.col("score").alias("priority"), F.monotonically_increasing_id().alias("ord")
         )
         records, errors = crawl(seeds, spark.read.parquet(args.pages), args.max_depth, args.max_pages)
         write_jsonl(records, f"{args.output}/records.jsonl")
+        errors = errors.unionByName(refused, allowMissingColumns=True)
         write_jsonl(errors, f"{args.output}/errors.jsonl")
         return 1 if args.strict and not errors.isEmpty() else 0
     entries = X.submission_entries(spark.read.json(args.input), args.dataset_id, F.lit(args.generated_at))

@@ -293,13 +293,13 @@ def _densest(nodes: Column) -> Column:
     def score(box: Column) -> Column:
         markup = F.aggregate(
             F.slice(nodes, box["pre"] + 1, box["stop"] - box["pre"]),
-            F.lit(0),
+            F.lit(0).cast("long"),
             lambda n, x: n + F.when(x["dropped"], F.lit(0)).otherwise(x["size"]),
         )
         return let(
             _text_length(nodes, box),
             lambda n: F.struct(
-                F.when(n >= 100, n * n / markup).alias("score"), (-box["pre"]).alias("order"),
+                F.when(n >= 100, n.cast("double") * n / markup).alias("score"), (-box["pre"]).alias("order"),
                 box["pre"].alias("pre"), box["stop"].alias("stop"),
             ),
         )

@@ -263,8 +263,8 @@ def explorer_fields(nodes: Column, resource_type: Column) -> Column:
     )
 
 
-def search_results(nodes: Column, limit: int = 10) -> Column:
-    """People, companies, jobs and posts a search page lists: first ten distinct addresses."""
+def search_results(nodes: Column, limit: int | None = None) -> Column:
+    """People, companies, jobs and posts a search page lists: distinct addresses, all unless limited."""
     kinds = (
         (r"^https://www\.linkedin\.com/company/([^/]+)/?$", "company", "company"),
         (r"^https://www\.linkedin\.com/in/([^/]+)/?$", "person", "profile"),
@@ -287,4 +287,5 @@ def search_results(nodes: Column, limit: int = 10) -> Column:
         )
 
     rows = F.filter(F.transform(H.anchors(nodes), row), lambda r: r["entity_type"].isNotNull() & (r["title"] != ""))
-    return F.slice(first_occurrences(rows, lambda r, _: r["canonical_url"]), 1, limit)
+    found = first_occurrences(rows, lambda r, _: r["canonical_url"])
+    return found if limit is None else F.slice(found, 1, limit)

@@ -138,8 +138,12 @@ def drop_page_furniture(markdown: Column, title: Column | None = None) -> Column
     return strip(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"))
 
 
-def markdown_sections(markdown: Column) -> Column:
-    """ATX headings as ``array<struct<heading, content_summary, section_type>>``."""
+def markdown_sections(markdown: Column, summary_chars: int | None = None) -> Column:
+    """ATX headings as ``array<struct<heading, content_summary, section_type>>``.
+
+    ``content_summary`` is the first line under the heading, cut to ``summary_chars`` only where that is given.
+    """
+    cut = (lambda c: c) if summary_chars is None else (lambda c: F.substring(c, 1, summary_chars))
     marked = F.regexp_replace(markdown, r"(?md)^(#{1,6})\s+(.+)$", "\u0001$2\u0002")
     pieces = F.split(marked, "\u0001", -1)
     parts = F.slice(pieces, 2, F.size(pieces))
@@ -152,7 +156,7 @@ def markdown_sections(markdown: Column) -> Column:
             kind = F.when(F.lower(heading).contains(key), F.lit(name)).otherwise(kind)
         return F.struct(
             heading.alias("heading"),
-            F.substring(F.substring_index(body, "\n", 1), 1, 240).alias("content_summary"),
+            cut(F.substring_index(body, "\n", 1)).alias("content_summary"),
             kind.alias("section_type"),
         )
 
@@ -160,7 +164,7 @@ def markdown_sections(markdown: Column) -> Column:
     lone = F.array(
         F.struct(
             F.lit("Main").alias("heading"),
-            F.substring(F.substring_index(whole, "\n", 1), 1, 240).alias("content_summary"),
+            cut(F.substring_index(whole, "\n", 1)).alias("content_summary"),
             F.lit("body").alias("section_type"),
         )
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill import specs
 from pagemill.functions import url as U
@@ -93,24 +95,40 @@ def candidates(records: DataFrame, record: str = "record") -> DataFrame:
     )
 
 
-#: Record keys that never become enrichment fields.
+#: Record keys that never become enrichment fields.
 NOT_FIELDS = (
     "artifacts", "chunks", "discovery", "document_blocks", "enrichment", "errors",
     "extraction_quality", "metadata", "source",
 )
 
 
-def flatten_json(value: Column, depth: int = 4) -> Column:
-    """JSON object text as a string map of every key at every level; a shallower key wins."""
-    level = F.coalesce(F.from_json(value, "map<string,string>"), F.create_map().cast("map<string,string>"))
-    kept = F.map_filter(level, lambda _, v: v.isNotNull() & ~v.isin("", "[]", "{}", "null"))
-    if depth <= 1:
-        return kept
-    nested = F.filter(F.map_values(kept), lambda v: F.startswith(F.ltrim(v), F.lit("{")))
-    deeper = F.aggregate(
-        nested, F.create_map().cast("map<string,string>"), lambda acc, v: overlay(flatten_json(v, depth - 1), acc)
-    )
-    return overlay(deeper, kept)
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+def flatten_json(value: pd.Series) -> pd.Series:
+    """JSON object text as a string map of every key at every level; the first filled one in document order wins."""
+
+    def flat(text):
+        try:
+            top = json.loads(text) if text else None
+        except ValueError:
+            top = None
+        out: dict[str, str] = {}
+        open_objects = [iter(top.items())] if isinstance(top, dict) else []
+        while open_objects:
+            key, held = next(open_objects[-1], (None, None))
+            if key is None:
+                open_objects.pop()
+                continue
+            if key not in out and held not in (None, "", [], {}):
+                out[key] = held if isinstance(held, str) else json.dumps(held, ensure_ascii=False, separators=(",", ":"))
+            if isinstance(held, dict):
+                open_objects.append(iter(held.items()))
+        return out
+
+    return value.map(flat, na_action=None)
+
+
+#: Keys that only the record itself fills.
+OWN_KEYS = ("doc_id", "canonical_url", "platform", "resource_type", "plain_text", "markdown", "structured", "title", "description")
 
 
 def enrichment_input(record: Column, structured: Column, metadata: Column) -> Column:
@@ -137,8 +155,10 @@ def enrichment_input(record: Column, structured: Column, metadata: Column) -> Co
     def filled(mapping: Column) -> Column:
         return F.map_filter(mapping, lambda k, v: v.isNotNull() & (v != "") & ~k.isin(*NOT_FIELDS))
 
-    fields = overlay(overlay(overlay(filled(metadata), filled(structured)), filled(record)), filled(fixed))
-    return fields
+    def others(mapping: Column) -> Column:
+        return F.map_filter(filled(mapping), lambda k, _: ~k.isin(*OWN_KEYS))
+
+    return overlay(overlay(overlay(others(metadata), others(structured)), filled(record)), filled(fixed))
 
 
 RULE = "struct<platform:string,resource_type:string,target:string,names:array<string>>"

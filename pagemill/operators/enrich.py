@@ -11,7 +11,6 @@ from pagemill import specs
 from pagemill.functions.arrays import let
 from pagemill.functions.text import strip, unfence
 from pagemill.functions.values import first_text, overlay
-from pagemill.session import broadcast_if_small
 
 LOOP = re.compile(
     r"\{%\s*for\s+(\w+)\s*,\s*(\w+)\s+in\s+source_fields\.items\(\)\s*%\}(.*?)\{%\s*endfor\s*%\}", re.S
@@ -79,8 +78,8 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
     )
     values = df.select(F.col(value).alias("_value")).filter(strip(F.col(value)) != "").distinct()
     values = values.withColumns({"_raw": strip(F.col("_value")), "_q": normalize_key(F.col("_value"))})
-    exact = broadcast_if_small(entries.select(F.col("match_key").alias("_raw"), F.col("match_key").alias("_exact")))
-    near = broadcast_if_small(normal.select(F.col("_norm").alias("_q"), F.col("match_key").alias("_near")))
+    exact = (entries.select(F.col("match_key").alias("_raw"), F.col("match_key").alias("_exact")))
+    near = (normal.select(F.col("_norm").alias("_q"), F.col("match_key").alias("_near")))
     known = values.join(exact, "_raw", "left").join(near, "_q", "left")
     settled = known.filter(F.col("_exact").isNotNull() | F.col("_near").isNotNull()).select(
         "_value",
@@ -96,7 +95,7 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
         "_value", "_q", F.explode(F.sequence(F.lit(SHORTEST_PREFIX), stops)).alias("_n")
     )
     begins = spelled.select("_value", "_q", "_n", F.expr("left(_q, _n)").alias("_norm")).join(
-        broadcast_if_small(normal), "_norm"
+        (normal), "_norm"
     )
     begins = begins.groupBy("_value", "_q").agg(F.max_by("match_key", "_n").alias("match_key"), F.max("_n").alias("_n"))
     # A key begins with the value: one entry per spelled-out key prefix, the earliest key.
@@ -107,7 +106,7 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
     first_keys = spelled_keys.groupBy(F.expr("left(_norm, _n)").alias("_q")).agg(
         F.min_by("match_key", "_ord").alias("match_key")
     )
-    inside = heads.join(broadcast_if_small(first_keys), "_q").withColumn("_n", F.length("_q"))
+    inside = heads.join((first_keys), "_q").withColumn("_n", F.length("_q"))
     both = inside.select("_value", "_q", "match_key", "_n").unionByName(begins)
     picked = (
         both.groupBy("_value", "_q")
@@ -217,7 +216,7 @@ def run_groups(
     that are not in the registry are skipped. ``dictionary`` has ``key, ord, values`` (a map).
     """
     asked = docs.select("doc_id", fields, F.explode(groups).alias("field_group"))
-    rows = asked.join(broadcast_if_small(registry), "field_group", "left")
+    rows = asked.join((registry), "field_group", "left")
     f = F.col(fields)
     held = source_fields(f, F.coalesce("required", F.array().cast("array<string>")))
     rows = rows.withColumn("held", held)
@@ -239,7 +238,7 @@ def run_groups(
     else:
         # Only rows with something to look up take part in the joins; texts of the others stay put.
         asking = lookup(rows.filter(F.col("_lookup_text").isNotNull()), "_lookup_text", dictionary)
-        values = broadcast_if_small(dictionary.select(F.col("key").alias("match_key"), F.col("values").alias("_entry")))
+        values = (dictionary.select(F.col("key").alias("match_key"), F.col("values").alias("_entry")))
         asking = asking.join(values, "match_key", "left")
         rows = rows.filter(F.col("_lookup_text").isNull()).withColumns(missed).unionByName(asking)
     nothing = "struct<matched:boolean,items:array<string>,categories:array<string>,evidence:array<string>,confidence:double>"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import strip
@@ -17,12 +17,14 @@ def cleaned_text(plain: Column, cleaned: Column, markdown: Column) -> Column:
 def submission_entries(
     records: DataFrame, dataset_id: str | Column, generated_at: Column | None = None, strict: bool = True
 ) -> DataFrame:
-    """Records as submission entries.
+    """Records, as a crawl writes them, as submission entries; columns they lack count as empty.
 
     A record without an address or a time stamp fails the job when ``strict``; otherwise it is
     left out of the entries and can be listed with ``rejected_entries``.
     """
     fallback = F.lit(None).cast("string") if generated_at is None else generated_at
+    lacking = [c for c in ("canonical_url", "url", "plain_text", "cleaned_data", "markdown", "structured", "crawl_timestamp") if c not in records.columns]
+    records = records.withColumns({c: F.lit(None).cast("string") for c in lacking})
     url = strip(F.coalesce(first_text(F.col("canonical_url"), F.col("url")), F.lit("")))
     stamp = strip(F.coalesce(first_text(F.col("crawl_timestamp"), fallback), F.lit("")))
     out = records.select(
@@ -43,20 +45,17 @@ def submission_entries(
 
 
 def submission_requests(entries: DataFrame, entries_per_request: int = 500) -> DataFrame:
-    """Entries packed into requests of bounded size; a large dataset becomes many requests.
+    """Entries packed into requests of at most ``entries_per_request``.
 
-    The request number comes from a hash of the address, so no dataset is gathered in one task.
+    Entries are sorted by dataset and address over all tasks; each task fills requests one after the other, so only
+    a task's last request of a dataset can be short. No dataset and no hot address is gathered in one task.
     """
-    sizes = entries.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("_n"))
-    numbered = entries.join(F.broadcast(sizes) if _few(sizes) else sizes, "dataset_id")
-    requests = F.ceil(F.col("_n") / F.lit(entries_per_request / 2)).cast("long")
-    numbered = numbered.withColumn("request", F.pmod(F.xxhash64("url"), requests))
+    blocks = entries.repartitionByRange("dataset_id", "url").withColumn("_block", F.spark_partition_id())
+    place = Window.partitionBy("dataset_id", "_block").orderBy("url")
+    number = F.floor((F.row_number().over(place) - 1) / entries_per_request)
+    numbered = blocks.withColumn("request", F.call_function("shiftleft", F.col("_block").cast("long"), F.lit(32)) + number)
     entry = F.struct("url", "cleaned_data", "structured_data", "crawl_timestamp")
-    return numbered.groupBy("dataset_id", "request").agg(F.collect_list(entry).alias("entries"))
-
-
-def _few(df: DataFrame, limit: int = 100_000) -> bool:
-    return df.limit(limit + 1).count() <= limit
+    return numbered.groupBy("dataset_id", "_block", "request").agg(F.collect_list(entry).alias("entries")).drop("_block")
 
 
 def project_to_schema(entries: DataFrame, schema: dict[str, bool], values: Column, resolved: Column) -> DataFrame:

@@ -16,9 +16,8 @@ from pagemill.operators.links import bare_anchors, explode_links, page_links
 from pagemill.operators.replay import take_first
 from pagemill.session import cut_lineage
 
-# Default bounds of a crawl.
+# Fixed value: default depth of a crawl.
 MAX_DEPTH = 2
-MAX_PAGES = 100
 
 
 def bfs_levels(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
@@ -55,7 +54,7 @@ def crawl(
     seeds: DataFrame,
     pages: DataFrame,
     max_depth: int = MAX_DEPTH,
-    max_pages: int | None = MAX_PAGES,
+    max_pages: int | None = None,
     links: Column | None = None,
     visited: DataFrame | None = None,
     allow_external: bool = False,

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.session import broadcast_if_small
 
 RANK = "_rank"
 
@@ -49,7 +48,7 @@ def insert_if_absent(current: DataFrame, additions: DataFrame, keys: list[str])
 
 def without_keys(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Resume filter: rows whose key has not been completed."""
-    return df.join(broadcast_if_small(done.select(*keys).distinct()), keys, "left_anti")
+    return df.join((done.select(*keys).distinct()), keys, "left_anti")
 
 
 def merge_queues(queues: list[DataFrame], key: str, limit: int | None = None) -> DataFrame:

@@ -11,22 +11,21 @@ from pagemill.functions import url as U
 from pagemill.functions.arrays import first_occurrences, let
 from pagemill.operators.chunk import explode_once
 
-# Candidate score per platform, links taken from one page.
+# Candidate score per platform.
 SCORES = {"generic": 0.3, "wikipedia": 0.8, "amazon": 0.7, "linkedin": 0.85, "arxiv": 0.7, "base": 0.6}
-LINKS_PER_PAGE = 200
 
 
 def page_links(
     base: Column,
     anchors: Column,
-    limit: int = LINKS_PER_PAGE,
+    limit: int | None = None,
     include_subdomains: bool = False,
     allow_external: bool = False,
     ignore_query: bool = True,
     include_paths: str | None = None,
     exclude_paths: str | None = None,
 ) -> Column:
-    """Anchors ``array<struct<href, text>>`` as distinct absolute links, first anchor wins."""
+    """Anchors ``array<struct<href, text>>`` as distinct absolute links, first anchor wins; all of them unless limited."""
     return let(
         F.struct(base.alias("url"), U.hostname(base).alias("host")),
         lambda b: _links_from(
@@ -57,7 +56,8 @@ def _links_from(
     kept = F.filter(full, wanted)
     if ignore_query:
         kept = F.transform(kept, lambda k: F.struct(U.without_query(k["url"]).alias("url"), k["text"].alias("text")))
-    return F.slice(first_occurrences(kept, lambda k, _: k["url"]), 1, max(limit, 0))
+    found = first_occurrences(kept, lambda k, _: k["url"])
+    return found if limit is None else F.slice(found, 1, max(limit, 0))
 
 
 def bare_anchors(html: Column) -> Column:

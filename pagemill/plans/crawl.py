@@ -14,7 +14,6 @@ from pagemill.operators import chunk as C
 from pagemill.operators import content as K
 from pagemill.operators.keyed import keep_first, without_keys
 from pagemill.operators.reduce import reduce_sections, section, sections_markdown, sections_text
-from pagemill.session import spread
 
 RECORD = (
     "doc_id", "platform", "resource_type", "canonical_url", "title", "description", "plain_text", "markdown",
@@ -40,7 +39,7 @@ def prepare(pages: DataFrame, done: DataFrame | None = None) -> DataFrame:
 
 def classify(pages: DataFrame) -> DataFrame:
     """Add the content problem of every HTML page; API and XML payloads have none."""
-    is_page = F.col("json_data").isNull() & ~F.col("content_type").contains("xml")
+    is_page = F.col("json_data").isNull() & ~(F.col("content_type").contains("xml") & ~F.col("content_type").contains("html"))
     return pages.withColumn(
         "problem", F.when(is_page, policy.classify_content(F.col("html"), F.col("canonical_url"))).otherwise(policy.no_error())
     )
@@ -48,7 +47,7 @@ def classify(pages: DataFrame) -> DataFrame:
 
 def from_html(pages: DataFrame) -> DataFrame:
     """HTML branch: main content, reduction, sections, metadata."""
-    parsed = K.extract_pages(spread(pages), url="canonical_url")
+    parsed = K.extract_pages(pages, url="canonical_url")
     meta = P.page_meta(F.col("nodes"), F.col("canonical_url"))
     return parsed.withColumn("_meta", meta).select(
         *[c for c in pages.columns], "doc_id", "plain_text", "markdown", "sections", "selector_used", "noise_removed",

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pagemill.operators import alias as A
 from pagemill.operators import enrich as E
-from pagemill.session import spread
 
 # Groups a record gets when none are asked for.
 DEFAULT_GROUPS = {
@@ -39,8 +38,8 @@ def enrichment_documents(records: DataFrame, requested: list[str]) -> DataFrame:
     own = F.create_map(*[x for c in names for x in (F.lit(c), F.col(c).cast("string"))])
     empty = F.create_map().cast("map<string,string>")
     structured = A.flatten_json(F.col("structured")) if "structured" in records.columns else empty
-    fields = A.apply_aliases(A.enrichment_input(own, structured, empty))
-    rows = spread(records).select(fields.alias("fields"))
+    parts = records.select(own.alias("own"), structured.alias("flat"))
+    rows = parts.select(A.apply_aliases(A.enrichment_input(F.col("own"), F.col("flat"), empty)).alias("fields"))
     platform = F.try_element_at("fields", F.lit("platform"))
     return rows.select(
         F.try_element_at("fields", F.lit("doc_id")).alias("doc_id"), "fields", route_groups(platform, requested).alias("field_groups")

@@ -1,14 +1,10 @@
-"""Session helpers: checkpoint folder, session settings and checked broadcast."""
+"""Session helpers: checkpoint folder and session settings."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A side is only broadcast when its row count has been proven to be at most this.
-BROADCAST_ROW_LIMIT = 200_000
 
 
 def build_session(app: str = "pagemill", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +18,7 @@ def build_session(app: str = "pagemill", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Call-site capture costs more than building the large expressions themselves.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
@@ -46,15 +43,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``limit`` rows.
-
-    Beyond the limit the frame comes back without the hint and joins by shuffle.
-    """
-    counted = df.limit(limit + 1).count()
-    return F.broadcast(df) if counted <= limit else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give a costly per-row step one task per core when the input has fewer files than cores.
 

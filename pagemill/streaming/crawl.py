@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagemill.plans.crawl import crawl_records, split
-from pagemill.sinks.files import append_done, write_jsonl
+from pagemill.sinks.files import write_jsonl
 
 
 def page_stream(spark: SparkSession, path: str, schema: str = "page_id long, url string, html string") -> DataFrame:
@@ -14,26 +15,29 @@ def page_stream(spark: SparkSession, path: str, schema: str = "page_id long, url
     return spark.readStream.schema(schema).parquet(path)
 
 
-def _done(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no batch has been finished yet
+def _done_before(spark: SparkSession, path: str, number: int) -> DataFrame | None:
+    """Addresses that batches before ``number`` completed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         return None
+    done = spark.read.schema("canonical_url string, batch long").option("basePath", path).parquet(path)
+    return done.where(F.col("batch") < number).select("canonical_url")
 
 
 def crawl_stream(pages: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Records and errors of new pages, appended under ``root``.
+    """Records and errors of new pages, a folder for each batch under ``root``.
 
-    The addresses already done are a table, so a restarted run goes on where it stopped; the
-    stream checkpoint belongs in a folder every executor can reach.
+    The addresses each batch completed are kept with its number. A batch that runs again, because it ended before its
+    commit, sees what the batches before it completed, makes the same rows and overwrites its own folders. The stream
+    checkpoint belongs in a folder every executor can reach.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        results = crawl_records(rows, _done(rows.sparkSession, f"{root}/done")).persist()
+        results = crawl_records(rows, _done_before(rows.sparkSession, f"{root}/done", number)).persist()
         records, errors = split(results)
         write_jsonl(records.drop("nodes"), f"{root}/records/batch={number}")
         write_jsonl(errors, f"{root}/errors/batch={number}")
-        append_done(records, f"{root}/done")
+        records.select("canonical_url").write.mode("overwrite").parquet(f"{root}/done/batch={number}")
         results.unpersist()
 
     writer = pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
