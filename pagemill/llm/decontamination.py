@@ -103,7 +103,10 @@ def _within(own: np.ndarray, wanted: np.ndarray, slop: int) -> np.ndarray:
 
 
 def _matches(shard: _Shard, windows: np.ndarray, sizes: np.ndarray, slop: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(window, starts of exact matches, places of its rarest word in proximity matches) of windows with a match."""
+    """(window, starts of exact matches, places of its rarest word near proximity matches) of windows with a match.
+
+    A proximity match is a start from which every word of the window is within ``slop`` of its place.
+    """
     numbers, lengths = shard.lookup(windows)
     inside = np.arange(windows.shape[1]) < sizes[:, None]
     lists: dict[int, np.ndarray] = {}
@@ -112,16 +115,19 @@ def _matches(shard: _Shard, windows: np.ndarray, sizes: np.ndarray, slop: int) -
         for i in (rarest, *others):
             if numbers[w, i] not in lists:
                 lists[numbers[w, i]] = shard.postings(numbers[w, i])
-        near = lists[numbers[w, rarest]] - rarest
+        places = lists[numbers[w, rarest]]
+        starts = (places[:, None] - rarest + np.arange(-slop, slop + 1)).ravel()
+        places = np.repeat(places, 2 * slop + 1)
         for i in others:
-            near = near[_within(lists[numbers[w, i]], near + i, slop)]
-            if not len(near):
+            near = _within(lists[numbers[w, i]], starts + i, slop)
+            starts, places = starts[near], places[near]
+            if not len(starts):
                 break
-        starts = near
-        for i in others if slop and len(near) else ():
-            starts = starts[_within(lists[numbers[w, i]], starts + i, 0)]
-        if len(near):
-            yield int(w), starts, near + rarest
+        exact = starts[starts + rarest == places] if slop else starts
+        for i in others if slop and len(starts) else ():
+            exact = exact[_within(lists[numbers[w, i]], exact + i, 0)]
+        if len(starts):
+            yield int(w), exact, places
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -155,8 +161,8 @@ def _blocks(windows: DataFrame, size: int) -> Iterator[list]:
 
 def search(index: DataFrame, windows: DataFrame, slop: int = 0, block: int = BLOCK_WINDOWS) -> DataFrame:
     """For each document with a match: doc_id, text_hash, the items with an exact match, the word positions (disjoint
-    sorted runs of first and stop) that exact matches cover, and the items with a proximity match: all words of a
-    window within ``slop`` words of their place relative to its rarest word. An empty side gives no rows."""
+    sorted runs of first and stop) that exact matches cover, and the items with a proximity match: a place from which
+    each word of a window is within ``slop`` words of where it should be. An empty side gives no rows."""
     out = None
     for rows in _blocks(windows, block):
         sizes = np.array([len(r.terms) for r in rows], dtype=np.int64)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.llm import oracles
 from pagemill.llm.bpe import encode
 from pagemill.llm.common import table
 from pagemill.llm.decontamination import contamination
@@ -32,11 +33,10 @@ def tokenizer_path() -> str:
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that benchmark windows hit, and the items they are of."""
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=0)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-        F.size("near").cast("long").alias("n_near_items"),
     )
 
 
@@ -116,4 +116,10 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": oracles.DECONTAMINATION,
+    "op2_quote_links": oracles.QUOTE_LINKS,
+    "op3_license_scan": oracles.license_scan(),
+    "op6_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op10_ngram_jaccard": oracles.NGRAM_JACCARD,
+}

@@ -209,6 +209,16 @@ def test_blocks_and_proximity(spark, docs, rows, items, benchmark):
     item = spark.createDataFrame([("i", "one two three four")], "item_id string, text string")
     found = {r.doc_id: (r.n_hit, r.near) for r in contamination(near, item, slop=1).collect()}
     assert found == {1: (0, ["i"]), 2: (4, ["i"]), 3: (0, []), 4: (0, [])}
+    want = {r.doc_id: r.near for r in contamination(docs, benchmark, slop=2).collect()}
+    listed = [(i, ALNUM.findall((t or "").translate(LOW))) for i, t in items if i]
+    for row in rows:
+        words, near = ALNUM.findall((row[1] or "").translate(LOW)), set()
+        for name, item in listed:
+            for w in {tuple(item[j : j + 10]) for j in range(max(1, len(item) - 9))} if item else ():
+                if set(w) <= set(words):
+                    inside = lambda a, i, x: x in words[max(0, a + i - 2) : max(0, a + i + 3)]  # noqa: B023, E731
+                    near |= {name} if any(all(inside(a, i, x) for i, x in enumerate(w)) for a in range(-2, len(words) + 2)) else set()
+        assert want[row[0]] == sorted(near)
 
 
 def test_license_scan(spark, docs, rows, none):
