@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one vectorised step takes at most, unless a single row is longer.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
