@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.common import bound_batches
 from pagemill.llm.textops import buffers, steps
 
 #: Texts of more characters are encoded in pieces of at most so many.
@@ -28,7 +29,7 @@ PIECE = 32_768
 #: Characters on either side of a join that are encoded again at first.
 REACH = 64
 #: Words of which a worker keeps the encoding; it starts anew beyond that.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 
 @lru_cache(maxsize=4)
@@ -160,6 +161,7 @@ def encode(docs: DataFrame, path: str, columns: list[str] | None = None, piece:
     null ids and other columns don't matter; columns named ids or decoded are replaced. Only texts of more than ``piece`` characters are shuffled.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c not in ("ids", "decoded")]
+    bound_batches(docs.sparkSession)
     read = docs.select(F.struct(*columns).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     kind = read.schema["row"].dataType.simpleString()
     is_long = F.length("text") > piece

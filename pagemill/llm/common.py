@@ -14,6 +14,15 @@ from pagemill.session import cut_lineage
 FILTER_BITS = 1 << 25
 
 
+#: Bytes of an Arrow batch that goes to a Python worker; a longer single row still comes whole.
+BATCH_BYTES = "8m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have batches cut by bytes, so that long texts don't add up in a worker; every operator sets it for its session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,6 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again: lineage ends there and survives lost executors."""
+    bound_batches(df.sparkSession)
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

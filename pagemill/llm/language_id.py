@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.common import bound_batches
 from pagemill.llm.textops import steps
 
 #: Size of the hashed trigram space: bounds the model to languages x BUCKETS counts.
@@ -111,6 +112,7 @@ def _counts(labelled: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame) -> Model:
     """A model from all rows with text and lang; it holds at most languages x BUCKETS counts, whatever the corpus."""
+    bound_batches(labelled.sparkSession)
     rows = _counts(labelled.where("text is not null and lang is not null")).toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
     place = {name: i for i, name in enumerate(languages)}
@@ -137,16 +139,18 @@ def identify(docs: DataFrame, model: Model, columns: list[str] | None = None) ->
     """
     columns = [c for c in columns or docs.columns if c not in ("lang_pred", "score", "ambiguous")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*columns, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("_text").schema)
+    bound_batches(docs.sparkSession)
+    kept = docs.select(*columns, *([] if "text" in columns else ["text"]))
+    n, at = len(columns), kept.columns.index("text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:n])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for step in steps(batch, "_text"):
-                lang, score, unclear = shared.value.predict(step.column(step.num_columns - 1).to_pylist())
+            for step in steps(batch, "text"):
+                lang, score, unclear = shared.value.predict(step.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*step.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unclear)],
-                    names=[*step.schema.names[:-1], "lang_pred", "score", "ambiguous"],
+                    [*step.columns[:n], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unclear)],
+                    names=[*columns, "lang_pred", "score", "ambiguous"],
                 )
 
     return kept.mapInArrow(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
