@@ -304,3 +304,38 @@ def merge_work_queues(spark, sf_dir):
         for kind in ("view", "error")
     ]
     return merge_queues(queues, "item")
+
+
+@query(
+    """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN 'address' ELSE 'T' || c_custkey END AS title,
+         CASE c_custkey % 3 WHEN 0 THEN 'Short ' || c_custkey WHEN 1 THEN '{"hash":"h' || c_custkey || '"}' ELSE 'D' || c_custkey END AS description,
+         CASE c_custkey % 3 WHEN 0 THEN c_name || chr(10) || 'Body of ' || c_name WHEN 1 THEN 'json' || chr(10) || '{"hash":"h' || c_custkey || '"}'
+           ELSE 'T' || c_custkey || chr(10) || 'D' || c_custkey || chr(10) || 'k: ' || c_mktsegment END AS plain_text,
+         CASE c_custkey % 3 WHEN 0 THEN c_mktsegment END AS category, CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS VARCHAR) END AS page_id,
+         CASE c_custkey % 3 WHEN 1 THEN '{"hash":"h' || c_custkey || '"}' END AS rpc_result,
+         CASE c_custkey % 3 WHEN 2 THEN c_mktsegment END AS k, 'success' AS status FROM customer"""
+)
+def crawl_structured(spark, sf_dir):
+    """API answers of several platforms in one table: each by the rule of its own platform."""
+    from pagemill.plans.crawl import crawl_records
+
+    key = text("c_custkey")
+    rest = F.col("c_custkey") % 3
+    article = F.concat(
+        F.lit('{"query":{"pages":{"1":{"pageid":'), key, F.lit(',"title":"'), F.col("c_name"), F.lit('","extract":"Body of '), F.col("c_name"),
+        F.lit('","categories":[{"title":"Category:'), F.col("c_mktsegment"), F.lit('"}],"pageprops":{"wikibase-shortdesc":"Short '), key, F.lit('"}}}}}'),
+    )
+    answer = F.concat(F.lit('{"jsonrpc":"2.0","id":1,"result":{"hash":"h'), key, F.lit('"}}'))
+    plain = F.concat(F.lit('{"title":"T'), key, F.lit('","description":"D'), key, F.lit('","k":"'), F.col("c_mktsegment"), F.lit('"}'))
+    pages = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("http://api.example.com/"), key).alias("url"), F.lit("").alias("html"),
+        F.when(rest == 0, "wikipedia").when(rest == 1, "base").otherwise("generic").alias("platform"),
+        F.when(rest == 1, "address").otherwise("page").alias("resource_type"),
+        F.when(rest == 0, article).when(rest == 1, answer).otherwise(plain).alias("json_data"),
+    )
+    found = crawl_records(pages)
+    return found.select(
+        F.substring_index("canonical_url", "/", -1).cast("bigint").alias("c_custkey"), "title", "description", "plain_text",
+        J.at(F.col("structured"), "$.categories[0]").alias("category"), J.at(F.col("structured"), "$.page_id").alias("page_id"),
+        J.at(F.col("structured"), "$.rpc_result").alias("rpc_result"), J.at(F.col("structured"), "$.k").alias("k"), "status",
+    )

@@ -17,7 +17,7 @@ from pagemill.operators.reduce import reduce_sections, section, sections_markdow
 
 RECORD = (
     "doc_id", "platform", "resource_type", "canonical_url", "title", "description", "plain_text", "markdown",
-    "sections", "selector_used", "chunking_strategy", "content_ratio", "noise_removed", "field_sources",
+    "sections", "selector_used", "chunking_strategy", "content_ratio", "noise_removed", "field_sources", "structured",
 )
 
 
@@ -45,18 +45,38 @@ def classify(pages: DataFrame) -> DataFrame:
     )
 
 
-def from_html(pages: DataFrame) -> DataFrame:
-    """HTML branch: main content, reduction, sections, metadata."""
+def page_structured(nodes: Column, url: Column, platform: Column, kind: Column, css_schema: dict | None = None) -> Column:
+    """The platform's fields of a page as JSON text; other platforms give the page metadata.
+
+    With a CSS schema its values stand beside them under ``css``. Only the row's own branch is computed.
+    """
+    found = (
+        F.when((platform == "amazon") & (kind == "seller"), F.to_json(P.seller_fields(nodes, url)))
+        .when(platform == "amazon", F.to_json(P.product_fields(nodes, url)))
+        .when(platform == "base", F.to_json(P.explorer_fields(nodes, kind)))
+        .when((platform == "linkedin") & (kind == "search"), F.to_json(F.struct(P.search_results(nodes).alias("results"))))
+        .otherwise(F.to_json(F.col("_meta")))
+    )
+    if css_schema is None:
+        return found
+    css = F.to_json(P.css_fields(nodes, css_schema, url))
+    return F.concat(F.rtrim(found, F.lit("}")), F.when(found != "{}", F.lit(",")).otherwise(F.lit("")), F.lit('"css":'), css, F.lit("}"))
+
+
+def from_html(pages: DataFrame, css_schema: dict | None = None) -> DataFrame:
+    """HTML branch: main content, reduction, sections, metadata, structured fields."""
     parsed = K.extract_pages(pages, url="canonical_url")
     meta = P.page_meta(F.col("nodes"), F.col("canonical_url"))
+    fields = page_structured(F.col("nodes"), F.col("canonical_url"), F.col("platform"), F.col("resource_type"), css_schema)
     return parsed.withColumn("_meta", meta).select(
         *[c for c in pages.columns], "doc_id", "plain_text", "markdown", "sections", "selector_used", "noise_removed",
         "content_ratio", F.col("_meta.title").alias("title"), F.col("_meta.description").alias("description"),
         F.col("_meta.field_sources").alias("field_sources"), F.lit("hybrid").alias("chunking_strategy"),
+        fields.alias("structured"),
     )
 
 
-def _from_text(pages: DataFrame, title: Column, description: Column, plain: Column, markdown: Column, sources: Column, how: str) -> DataFrame:
+def _from_text(pages: DataFrame, title: Column, description: Column, plain: Column, markdown: Column, sources: Column, how: str, structured: Column) -> DataFrame:
     """Payload branches: one section, reduced like any other."""
     lone = section(plain, markdown, title, F.lit(1), F.array(F.coalesce(title, F.lit("Main"))))
     out = pages.withColumn("sections", reduce_sections(F.array(lone)))
@@ -66,19 +86,40 @@ def _from_text(pages: DataFrame, title: Column, description: Column, plain: Colu
         "sections", F.lit(how).alias("selector_used"), F.lit(0).alias("noise_removed"),
         (F.length(sections_text(F.col("sections"))) / F.greatest(F.length(F.coalesce("json_data", "html")), F.lit(1))).alias("content_ratio"),
         title.alias("title"), description.alias("description"), sources.alias("field_sources"), F.lit(how).alias("chunking_strategy"),
+        structured.alias("structured"),
     )
 
 
 def from_json(pages: DataFrame) -> DataFrame:
-    """JSON branch: title, description and scalar fields rendered as a document."""
-    rows = pages.withColumn("_g", J.generic_json(F.col("json_data")))
-    fields = F.map_filter(J.as_map(F.col("json_data")), lambda k, _: ~k.isin("title", "name", "description", "summary", "data"))
+    """JSON branch: encyclopedia and chain answers by their own rule, others as title, description, scalar fields."""
+    payload, platform = F.col("json_data"), F.col("platform")
+    article = (platform == "wikipedia") & J.at(payload, "$.query.pages").isNotNull()
+    answer = (platform == "base") & J.at(payload, "$.result").isNotNull()
+    rows = pages.withColumns({"_g": J.generic_json(payload), "_w": J.encyclopedia_document(payload)})
+    fields = F.map_filter(J.as_map(payload), lambda k, _: ~k.isin("title", "name", "description", "summary", "data"))
     rows = rows.withColumn("_d", J.render_document(F.col("_g.title"), F.col("_g.description"), fields))
+    result = J.at(payload, "$.result")
+
+    def routed(of_article: Column, of_answer: Column, other: Column) -> Column:
+        return F.when(article, of_article).when(answer, of_answer).otherwise(other)
+
+    title = routed(F.col("_w.title"), F.col("resource_type"), F.col("_g.title"))
+    own = F.when(article | answer, F.concat(F.lit("legacy_platform:"), platform))
+    sources = F.when(own.isNull(), F.col("_g.field_sources")).otherwise(F.create_map(F.lit("title"), own, F.lit("description"), own))
     out = _from_text(
-        rows, F.col("_g.title"), F.col("_g.description"), F.col("_d.plain_text"), F.col("_d.markdown"),
-        F.col("_g.field_sources"), "json_structured",
+        rows, title,
+        routed(F.coalesce(F.nullif("_w.description", F.lit("")), "_w.plain_text"), result, F.col("_g.description")),
+        routed(F.col("_w.plain_text"), result, F.col("_d.plain_text")),
+        routed(
+            F.concat(F.lit("# "), title, F.lit("\n\n"), F.col("_w.plain_text")), F.concat(F.lit("```json\n"), result, F.lit("\n```")),
+            F.col("_d.markdown"),
+        ),
+        sources, "json_structured",
+        routed(
+            F.to_json(F.struct("_w.categories", "_w.page_id")), F.to_json(F.struct(result.alias("rpc_result"))), F.to_json(fields)
+        ),
     )
-    return out.drop("_g", "_d")
+    return out.drop("_g", "_d", "_w")
 
 
 def from_atom(pages: DataFrame) -> DataFrame:
@@ -86,17 +127,18 @@ def from_atom(pages: DataFrame) -> DataFrame:
     rows = pages.withColumn("_p", J.paper(F.col("html"), F.col("canonical_url")))
     sources = F.create_map(F.lit("title"), F.lit("xml:title"), F.lit("description"), F.lit("xml:summary"))
     out = _from_text(
-        rows, F.col("_p.title"), F.col("_p.description"), F.col("_p.raw_text"), F.col("_p.markdown"), sources, "xml_structured"
+        rows, F.col("_p.title"), F.col("_p.description"), F.col("_p.raw_text"), F.col("_p.markdown"), sources, "xml_structured",
+        F.to_json(F.col("_p")),
     )
     return out.drop("_p")
 
 
-def extract(pages: DataFrame, formats: tuple[str, ...] = ("html", "json", "atom")) -> DataFrame:
+def extract(pages: DataFrame, formats: tuple[str, ...] = ("html", "json", "atom"), css_schema: dict | None = None) -> DataFrame:
     """Route every page to its branch; each branch only reads its own rows."""
     is_json = F.col("json_data").isNotNull()
     is_atom = ~is_json & F.col("content_type").contains("xml") & (F.col("platform") == "arxiv")
     branches = {
-        "html": lambda: from_html(pages.filter(~is_json & ~is_atom)),
+        "html": lambda: from_html(pages.filter(~is_json & ~is_atom), css_schema),
         "json": lambda: from_json(pages.filter(is_json)),
         "atom": lambda: from_atom(pages.filter(is_atom)),
     }
@@ -113,13 +155,15 @@ def add_chunks(records: DataFrame, max_tokens: int = C.MAX_TOKENS, min_tokens: i
     return records.withColumn("chunks", pieces).withColumn("total_chunks", F.size("chunks"))
 
 
-def crawl_records(pages: DataFrame, done: DataFrame | None = None, formats: tuple[str, ...] | None = None) -> DataFrame:
+def crawl_records(
+    pages: DataFrame, done: DataFrame | None = None, formats: tuple[str, ...] | None = None, css_schema: dict | None = None
+) -> DataFrame:
     """Records and errors of one run, told apart by ``status``."""
     given = pages.columns
     checked = classify(prepare(pages, done))
     if formats is None:
         formats = ("html",) + (("json",) if "json_data" in given else ()) + (("atom",) if "content_type" in given else ())
-    good = add_chunks(extract(checked.filter(F.col("problem").isNull()), formats)).withColumns(
+    good = add_chunks(extract(checked.filter(F.col("problem").isNull()), formats, css_schema)).withColumns(
         {
             "status": F.lit("success"), "stage": F.lit("normalized"), "error_code": F.lit(None).cast("string"),
             "retryable": F.lit(False), "next_action": F.lit("none"), "message": F.lit(None).cast("string"),
