@@ -276,6 +276,23 @@ def links_same_host(spark, sf_dir):
     return L.explode_links(pages, found).select("page_id", "parent_url", "canonical_url", "position")
 
 
+@query(
+    """SELECT page_id, CAST(i AS INT) AS position, 'http://q.example.com/' || page_id || ['/a', '/b', '/c', '/d'][i + 1] AS canonical_url
+         FROM pages, range(4) r(i)"""
+)
+def links_any_quoting(spark, sf_dir):
+    """Double, single and no quotes, references, upper case, and links in comments, which don't count."""
+    at = F.concat(F.lit("/"), F.col("page_id").cast("string"))
+    html = F.concat(
+        F.lit('<p><a href="'), at, F.lit("/a\">x</a><!-- <a href='"), at, F.lit("/hidden'>no</a> --><A class=k HREF='"), at,
+        F.lit("/b?x=1&amp;y=2'>y</A><a href="), at, F.lit("/c>z</a><a\nhref = \""), at, F.lit('/d#part">w</a></p>'),
+    )
+    base = F.concat(F.lit("http://q.example.com"), at, F.lit("/"))
+    pages = table(spark, sf_dir, "pages").select("page_id", base.alias("url"), html.alias("html"))
+    found = L.page_links(F.col("url"), L.bare_anchors(F.col("html")))
+    return L.explode_links(pages, found).select("page_id", "position", "canonical_url")
+
+
 @query(f"WITH {LINKS_SQL} SELECT page_id, link AS canonical_url FROM links WHERE position < 3")
 def links_limit(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")

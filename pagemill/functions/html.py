@@ -256,9 +256,17 @@ def anchors(nodes: Column) -> Column:
 
 
 def anchor_targets(html: Column) -> Column:
-    """Link targets straight from markup, without parsing it."""
-    quoted = F.regexp_extract_all(html, F.lit(r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*\"([^\"]*)\""), 1)
-    return F.filter(F.transform(quoted, strip), lambda h: h != "")
+    """Link targets straight from markup, without parsing it: comments apart, quoted in any way, references decoded."""
+    shown = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    tag = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    found = F.transform(F.regexp_extract_all(shown, F.lit(tag), 1), lambda h: strip(F.regexp_replace(h, r"^[\"']|[\"']$", "")))
+    return F.filter(F.transform(found, _decoded), lambda h: h != "")
+
+
+def _decoded(target: Column) -> Column:
+    for name, sign in (("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        target = F.replace(target, F.lit(name), F.lit(sign))
+    return target
 
 
 def has_heading(html: Column) -> Column:
