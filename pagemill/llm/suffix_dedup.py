@@ -3,11 +3,12 @@
 A string of ``size`` bytes (400) belongs to the anchor in it: the ``ANCHOR``-byte string of least hash, the leftmost
 of equal ones. Equal strings have equal anchors, so all that can match meets under one anchor, and strings whose
 anchor occurs once in all texts are done with. Consecutive strings with one anchor are shipped as one stretch, and
-equal texts as one text. Tasks take the stretches of many anchors at a time and sort their suffixes, by prefix
-multiplication to a depth of ``size``: there the suffixes that agree on ``size`` bytes stand together. The previous
-smaller position within such a run is the earlier match of a suffix, so its longest previous factor reaches ``size``
-exactly if it has one, and the longest next factor if it has a next one. A hot anchor's stretches are not gathered:
-Spark counts its strings by two 64-bit hashes, with partial sums, to the same effect.
+equal texts as one text. Tasks take the stretches of many anchors at a time and bring their suffixes into order: the
+suffixes from the anchors on are sorted, and each byte further left is induced by one stable sort on that byte. In
+suffix order the strings that agree on ``size`` bytes stand together as a run. The previous smaller position within a
+run is the earlier match of a suffix, so its longest previous factor reaches ``size`` exactly if it has one, and its
+longest next factor if it has a next one. A hot anchor's stretches are not gathered: Spark counts its strings by two
+64-bit hashes, with partial sums, to the same effect.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pagemill.llm.textops import buffers, mix, powers, prefix, span_hashes, step
 
 SIZE = 400
 ANCHOR = 200
-#: Bytes whose suffixes are sorted at once; ranks of so many places fit into 21 bits.
-CHUNK = 1 << 21
+#: Bytes of stretches whose suffixes are ordered at once, but for the last anchor's.
+CHUNK = 1 << 22
 #: An anchor with more stretches than this is hot.
 HOT = 2_000
 _SECOND = 0xD6E8FEB86659FD93
@@ -47,10 +48,11 @@ def _windows_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _stretches(data: np.ndarray, offsets: np.ndarray, size: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, row, first start (in the data) and number of starts of each stretch of the rows of a step."""
+    """Anchor hash, row, first start (in the data), number of starts and anchor's place after the first start of each
+    stretch of the rows of a step."""
     none = np.zeros(0, dtype=np.int64)
     if len(data) < size:
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none
     places = np.arange(len(data) - anchor + 1)
     hashes = span_hashes(prefix(data), places, places + anchor)
     # The high bits of the hash, then the place: the least of these is the leftmost place of the least hash.
@@ -60,10 +62,10 @@ def _stretches(data: np.ndarray, offsets: np.ndarray, size: int, anchor: int) ->
     row = np.searchsorted(offsets, np.arange(len(at)), side="right") - 1
     whole = np.flatnonzero(np.arange(len(at)) + size <= offsets[row + 1])
     if not len(whole):
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none
     new = np.concatenate([[True], (at[whole][1:] != at[whole][:-1]) | (row[whole][1:] != row[whole][:-1])])
     first = whole[new]
-    return hashes[at[first]], row[first], first, np.diff(np.append(np.flatnonzero(new), len(whole)))
+    return hashes[at[first]], row[first], first, np.diff(np.append(np.flatnonzero(new), len(whole))), at[first] - first
 
 
 def _pieces(step: pa.RecordBatch, size: int, limit: int = 1 << 23) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -86,7 +88,7 @@ def _texts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
                 raw = rows_of(step.column(1))
                 anchors: list[list[np.ndarray]] = [[] for _ in raw]
                 for data, offsets, rows, _ in _pieces(step, size):
-                    key, row, _, _ = _stretches(data, offsets, size, anchor)
+                    key, row, *_ = _stretches(data, offsets, size, anchor)
                     cut = np.searchsorted(row, np.arange(len(rows) + 1))
                     for i, r in enumerate(rows):
                         anchors[r].append(key[cut[i] : cut[i + 1]])
@@ -103,10 +105,10 @@ def _texts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
 
 
 def _shipped(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, size: int, anchor: int) -> DataFrame:
-    """Stretches with a repeated anchor: key, digest, start, n, bytes. Under a hot anchor there is a row for each
+    """Stretches with a repeated anchor: key, digest, start, n, anchor, bytes. Under a hot anchor there is a row for each
     string instead, with no bytes, and its hashes as key and second."""
     sent = docs.sparkSession.sparkContext.broadcast((repeated, hot))
-    names = ["key", "second", "digest", "start", "n", "bytes"]
+    names = ["key", "second", "digest", "start", "n", "anchor", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, hot_bits = sent.value
@@ -116,7 +118,7 @@ def _shipped(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, size: int,
                 digests = [hashlib.sha256(t).digest() for t in rows_of(step.column(0))]
                 new = np.array([d not in seen and not seen.add(d) for d in digests], dtype=bool)
                 for data, offsets, rows, base in _pieces(step, size):
-                    key, row, first, n = _stretches(data, offsets, size, anchor)
+                    key, row, first, n, after = _stretches(data, offsets, size, anchor)
                     signed = key.view(np.int64)
                     take = in_filter(bits, signed) & new[rows[row]]
                     burning = take & in_filter(hot_bits, signed)
@@ -125,7 +127,7 @@ def _shipped(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, size: int,
                     local = offsets[row]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(signed[take]), pa.nulls(len(take), pa.int64()), pa.array([digests[rows[r]] for r in row[take]], pa.binary()),
-                         pa.array(base + first[take] - local[take]), pa.array(n[take].astype(np.int32)),
+                         pa.array(base + first[take] - local[take]), pa.array(n[take].astype(np.int32)), pa.array(after[take].astype(np.int32)),
                          pa.array([raw[a : a + m + size - 1] for a, m in zip(first[take], n[take])], pa.binary())], names=names)
                     at = np.flatnonzero(burning)
                     if len(at):
@@ -137,59 +139,52 @@ def _shipped(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, size: int,
                         two = mix((sums[start + size] - sums[start]) * powers(pow(_SECOND, -1, 2**64), len(data) + 1)[start])
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([digests[rows[r]] for r in row[own]], pa.binary()),
-                             pa.array(base + start - offsets[row[own]]), pa.array(np.ones(len(own), np.int32)), pa.nulls(len(own), pa.binary())], names=names)
+                             pa.array(base + start - offsets[row[own]]), pa.array(np.ones(len(own), np.int32)), pa.nulls(len(own), pa.int32()), pa.nulls(len(own), pa.binary())], names=names)
 
-    return docs.select("text").mapInArrow(run, "key long, second long, digest binary, start long, n int, bytes binary")
+    return docs.select("text").mapInArrow(run, "key long, second long, digest binary, start long, n int, anchor int, bytes binary")
 
 
-def suffix_runs(text: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """For each start, the number of the run of equal ``size``-byte strings that its suffix is in, in suffix order.
-
-    Ranks of 8 bytes are multiplied to 24, 72 and so on by ranking three neighbouring ranks together; each step sorts
-    the suffixes to a greater depth. Fewer than 2 ** 21 places keep three ranks in one 64-bit key.
-    """
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(size + 8, dtype=np.uint8)])
-    key = np.zeros(n, dtype=np.uint64)
-    for i in range(min(8, size)):
-        key = key << np.uint64(8) | padded[i : i + n]
-    depth = min(8, size)
-    rank = np.unique(key, return_inverse=True)[1].astype(np.uint64)
-    while depth < size:
-        step = min(depth, (size - depth + 1) // 2) if depth * 3 > size else depth
-        # The last step overlaps: three ranks cover exactly ``size`` bytes.
-        second, third = step, min(2 * depth, size - depth)
-        at = starts if third + depth == size else np.arange(n)
-        wide = np.concatenate([rank, np.zeros(size, dtype=np.uint64)])
-        key = wide[at] << np.uint64(42) | wide[at + second] << np.uint64(21) | wide[at + third]
-        rank = np.unique(key, return_inverse=True)[1].astype(np.uint64)
-        depth += third
-        if len(rank) != n or at is starts:
-            return rank.astype(np.int64)
-    return rank[starts].astype(np.int64)
+def suffix_order(key: np.ndarray, right: list[bytes], text: np.ndarray, at: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(d, order): the stretches that reach ``d`` bytes left of their anchor (at ``at`` in the text), by key, then by
+    the suffix that starts there. ``right`` are the bytes from the anchors on, ``reach`` the bytes before them."""
+    order = np.array(sorted(range(len(right)), key=lambda i: (key[i], right[i])), dtype=np.int64)
+    for d in range(int(reach.max(initial=-1)) + 1):
+        order = order[reach[order] >= d]
+        if d:
+            order = order[np.argsort(key[order] << 8 | text[at[order] - d], kind="stable")]
+        yield d, order
 
 
 def _factors(rows: list[tuple], size: int) -> Iterator[tuple[bytes, int, int, int]]:
     """(digest, first start, last start, earlier) of the maximal rows of starts whose string occurs elsewhere too;
-    earlier: 1 if an earlier place has it, else 0. ``rows``: order, digest, start, n, bytes."""
-    text = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint8)
-    base = np.cumsum([0] + [len(r[4]) for r in rows])[:-1]
-    n = np.array([r[3] for r in rows])
+    earlier: 1 if an earlier place has it, else 0. ``rows``: key, least, digest, start, n, anchor, bytes."""
+    text = np.frombuffer(b"".join(r[6] for r in rows), dtype=np.uint8)
+    base = np.cumsum([0] + [len(r[6]) for r in rows])[:-1]
+    n, after = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+    key = np.unique(np.array([r[0] for r in rows]), return_inverse=True)[1]
+    by_place = sorted(range(len(rows)), key=lambda i: (rows[i][1], rows[i][2], rows[i][3] + rows[i][5]))
+    place = np.empty(len(rows), dtype=np.int64)
+    place[by_place] = np.arange(len(rows))
+    first = np.cumsum(n) - n
+    state = np.zeros(int(n.sum()), dtype=np.int8)
+    sums = prefix(text)
+    for d, order in suffix_order(key, [r[6][r[5] :] for r in rows], text, base + after, after):
+        some = order[after[order] - n[order] < d]  # those that have a whole string from here
+        start = base[some] + after[some] - d
+        string = span_hashes(sums, start, start + size)
+        new = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (key[some][1:] != key[some][:-1]))[: len(some)])
+        length = np.diff(np.append(new, len(some)))
+        if len(some) and length.max() > 1:
+            # The run's least position has no previous smaller one; every other has.
+            least = np.repeat(np.minimum.reduceat(place[some], new), length)
+            found = np.where(np.repeat(length, length) > 1, np.where(place[some] > least, 2, 1), 0)
+            state[first[some] + after[some] - d] = found
     own = np.repeat(np.arange(len(rows)), n)
-    shift = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-    run = suffix_runs(text, base[own] + shift, size)
-    place = np.array([r[2] for r in rows])[own] + shift
-    # In suffix order, and by position within a run: the one before is the previous smaller position.
-    order = np.lexsort((place, np.array([r[0] for r in rows])[own], run))
-    same = run[order][1:] == run[order][:-1]
-    previous, following = np.zeros(len(own), dtype=bool), np.zeros(len(own), dtype=bool)
-    previous[order[1:][same]] = True
-    following[order[:-1][same]] = True
-    state = np.where(previous, 2, np.where(following, 1, 0))
-    cut = np.flatnonzero(np.concatenate([[True], (state[1:] != state[:-1]) | (own[1:] != own[:-1])]))
+    cut = np.flatnonzero(np.append(True, (state[1:] != state[:-1]) | (own[1:] != own[:-1]))[: len(own)])
     for a, b in zip(cut, np.append(cut[1:], len(own))):
         if state[a]:
-            yield rows[own[a]][1], int(place[a]), int(place[b - 1]), int(state[a] == 2)
+            _, _, digest, start, *_ = rows[own[a]]
+            yield digest, int(start + a - first[own[a]]), int(start + b - 1 - first[own[a]]), int(state[a] == 2)
 
 
 def _sorted_factors(shipped: DataFrame, size: int) -> DataFrame:
@@ -199,21 +194,20 @@ def _sorted_factors(shipped: DataFrame, size: int) -> DataFrame:
         rows: list[tuple] = []
         held, last = 0, None
         for batch in batches:
-            keys, orders = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            digests, starts, sizes, raws = (batch.column(i).to_pylist() for i in range(2, 6))
-            for key, order, digest, start, n, raw in zip(keys, orders, digests, starts, sizes, raws):
-                if key != last and held + len(raw) > CHUNK // 2:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                key, _, digest, start, _, _, raw = row
+                if key != last and held + len(raw) > CHUNK:
                     yield _found(_factors(rows, size))
                     rows, held = [], 0
-                if rows and key == last and rows[-1][1:3] == (digest, start):
+                if rows and key == last and rows[-1][2:4] == (digest, start):
                     continue  # the same text, read by another task
-                rows.append((order, digest, start, n, raw))
+                rows.append(row)
                 held, last = held + len(raw), key
         if rows:
             yield _found(_factors(rows, size))
 
     ordered = shipped.repartition("key").sortWithinPartitions("key", "least", "digest", "start")
-    return ordered.select("key", "least", "digest", "start", "n", "bytes").mapInArrow(run, "digest binary, first long, last long, earlier int")
+    return ordered.select("key", "least", "digest", "start", "n", "anchor", "bytes").mapInArrow(run, "digest binary, first long, last long, earlier int")
 
 
 def _found(rows: Iterator[tuple[bytes, int, int, int]]) -> pa.RecordBatch:
@@ -251,7 +245,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, keep: str = "first", ancho
     if keep == "first":
         found = found.where("earlier = 1")
     spans = found.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("first", (F.col("last") + size).alias("stop")))).alias("spans"))
-    merged = spans.select("digest", merged_runs("spans", "bigint").alias("spans"))
+    merged = stored(spans.select("digest", merged_runs("spans", "bigint").alias("spans")))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_bytes").alias("stop")))
     none = F.array().cast("array<struct<first:bigint,stop:bigint>>")
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= size)

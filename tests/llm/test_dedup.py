@@ -9,7 +9,7 @@ import pytest
 from pagemill.llm import families, suffix_dedup
 from pagemill.llm.jaccard_join import jaccard_join, keep_first, signatures, slack
 from pagemill.llm.paragraph_dedup import drop_repeated_paragraphs, paragraph_clusters, tune_bands
-from pagemill.llm.suffix_dedup import cut, repeated_spans, suffix_runs
+from pagemill.llm.suffix_dedup import cut, repeated_spans, suffix_order
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -187,12 +187,12 @@ def test_repeated_rows_are_copies(spark):
     assert got == [(1, 1), (1, 1), (2, 0), (3, 0), (4, 0)]
 
 
-def test_suffix_runs():
+def test_suffix_order():
     rng = np.random.default_rng(5)
-    for size in (5, 8, 20, 60, 400):
-        text = np.concatenate([rng.integers(0, 3, 900), np.zeros(900, int)] * 2).astype(np.uint8)
-        starts = np.arange(len(text) - size + 1)
-        runs = suffix_runs(text, starts, size)
-        strings = [text[s : s + size].tobytes() for s in starts]
-        order = sorted(set(strings))
-        assert runs.tolist() == [order.index(s) for s in strings]
+    raw = [bytes(rng.integers(97, 99, 40, dtype=np.uint8)) for _ in range(60)]
+    reach = rng.integers(0, 20, len(raw))
+    key = rng.integers(0, 3, len(raw))
+    text, base = np.frombuffer(b"".join(raw), dtype=np.uint8), 40 * np.arange(len(raw))
+    for d, order in suffix_order(key, [r[p:] for r, p in zip(raw, reach)], text, base + reach, reach):
+        want = sorted((int(key[i]), raw[i][reach[i] - d :], i) for i in range(len(raw)) if reach[i] >= d)
+        assert [(int(key[i]), raw[i][reach[i] - d :]) for i in order] == [w[:2] for w in want]
