@@ -9,11 +9,9 @@ from pagemill.operators import enrich as E
 from pagemill.operators import export as X
 from pagemill.plans import crawl as PC
 from pagemill.plans import enrich as PE
-from pagemill.plans import worker as W
 from pagemill.sinks import files as K
 from pagemill.sources import documents as D
 from pagemill.sources import files as S
-from pagemill.sources import sessions as N
 from pagemill.streaming.crawl import crawl_stream, page_stream
 
 LONG = "<article><h1>Head</h1><p>" + "some words of content " * 20 + "</p></article>"
@@ -164,17 +162,6 @@ def test_lookup_prefix_rules(spark):
     assert got == {v: model(v) for v in values}
 
 
-def test_sessions(spark):
-    rows = spark.createDataFrame(
-        [("a=1; b=x=y; junk",), ('[{"name":"a","value":"1","expires":5}]',), ('{"cookies":[{"name":"a","value":"1"}]}',),
-         ('{"cookies":"a=1"}',), ('{"cookies":{"a":"1"}}',), ('{"a":"1"}',)], "p string",
-    )
-    cookies = [{c.name: c.value for c in r.c} for r in rows.select(N.normalize_session(F.col("p")).alias("c")).collect()]
-    assert cookies == [{"a": "1", "b": "x=y"}] + [{"a": "1"}] * 5
-    status = rows.limit(2).select(N.session_status(N.normalize_session(F.col("p")), ["a"], F.lit(100.0)).alias("s"))
-    assert [r.s for r in status.collect()] == ["valid", "expired"]
-
-
 def test_document_types(spark):
     row = spark.range(1).select(
         D.is_document_type(F.lit("Application/PDF; x")).alias("a"), D.is_html_type(F.lit(None).cast("string")).alias("b")
@@ -187,46 +174,6 @@ def test_document_types(spark):
         assert D.document_pages(files).first().skipped == "parser_not_installed"
 
 
-def test_worker_batch(spark):
-    now = F.lit(dt.datetime(2026, 1, 1, 12))
-    tasks = spark.createDataFrame(
-        [("1", "refresh", "backend_claim", "https://arxiv.org/abs/2101.1", None, "d", None, None, None),
-         ("2", "repeat_crawl", "backend_claim", None, None, None, None, None, "s1"),
-         ("3", "refresh", "local_file", None, None, None, None, None, None)],
-        "task_id string, task_type string, task_source string, url string, target_url string, dataset_id string, platform string, resource_type string, submission_id string",
-    )
-    submissions = spark.createDataFrame([("s1", "http://o/", None, "d2")], "id string, original_url string, normalized_url string, dataset_id string")
-    items = {r.item_id: r for r in W.tasks_to_items(tasks, submissions).collect()}
-    assert (items["refresh:1"].platform, items["refresh:1"].resource_type) == ("arxiv", "paper")
-    assert (items["repeat_crawl:2"].url, items["repeat_crawl:2"].dataset_id) == ("http://o/", "d2")
-    assert items["refresh:3"].error == "task 3 is missing url"
-    datasets = spark.createDataFrame([("d", " en.wikipedia.org, x.example ,"), ("e", "y")], "dataset_id string, source_domains string")
-    cursors = spark.createDataFrame([("e", dt.datetime(2026, 1, 1, 11, 59))], "dataset_id string, scheduled_at timestamp")
-    found = [r.url for r in W.dataset_items(datasets, cursors, 600, now).collect()]
-    assert sorted(found) == ["https://en.wikipedia.org/wiki/Main_Page", "https://x.example/"]
-    work = spark.createDataFrame(
-        [("i1", "http://a", "d", "dataset_discovery", ""), ("i2", "http://b", "d", "backlog", ""), ("i3", "http://c", "d", "backlog", "")],
-        "item_id string, url string, dataset_id string, source string, crawler_command string",
-    )
-    records = spark.createDataFrame(
-        [("i1", "https://arxiv.org/abs/2101.00002", None, None), ("i2", "http://b", "generic", "page")],
-        "item_id string, canonical_url string, platform string, resource_type string",
-    )
-    errors = spark.createDataFrame(
-        [("i3", "SERVER_ERROR", True, "x", "", "", "http://c"), ("i2", "CAPTCHA", False, "", "", "", "http://b")],
-        "item_id string, error_code string, retryable boolean, next_action string, public_url string, login_url string, url string",
-    )
-    out = W.route(work, records, errors, now)
-    assert [r.item_id for r in out["backlog"].collect()] == ["i3"]
-    assert [(r.item_id, r.platform) for r in out["follow_ups"].collect()] == [("followup:d:https://arxiv.org/abs/2101.00002", "arxiv")]
-    assert [r.item_id for r in out["submissions"].collect()] == ["i2"]
-    waiting = out["sign_in"].first()
-    assert waiting.available_at == dt.datetime(2026, 1, 1, 12, 5) and waiting.public_url == "http://b"
-    taken = spark.createDataFrame([("d", "http://b")], "dataset_id string, url string")
-    states = {r.item_id: r.terminal_state for r in W.preflight(work, taken, taken.limit(0)).collect()}
-    assert states == {"i1": None, "i2": "occupancy_blocked", "i3": None}
-
-
 def test_crawl_stream_appends_and_skips_what_is_done(spark, tmp_path):
     src, root, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     schema = "page_id long, url string, html string"
@@ -245,6 +192,17 @@ def test_crawl_stream_appends_and_skips_what_is_done(spark, tmp_path):
     assert spark.read.json(f"{root}/errors").count() == 1
 
 
+def test_crawl_stream_batch_that_runs_again_makes_the_same_rows(spark, tmp_path):
+    src, root, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    rows = [(1, "http://e/a", LONG), (2, "http://e/b", LONG)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(src)
+    crawl_stream(page_stream(spark, src), root, ckpt).awaitTermination(120)
+    (tmp_path / "ckpt/commits/0").unlink()
+    (tmp_path / "ckpt/commits/.0.crc").unlink(missing_ok=True)
+    crawl_stream(page_stream(spark, src), root, ckpt).awaitTermination(120)
+    assert sorted(r.canonical_url for r in spark.read.json(f"{root}/records").collect()) == ["http://e/a", "http://e/b"]
+
+
 def test_command_line(spark, fetched, tmp_path):
     pages, out = str(tmp_path / "pages"), str(tmp_path / "out")
     fetched.select("page_id", "url", "html").filter("page_id < 4").write.parquet(pages)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pagemill.operators import frontier as G
 from pagemill.operators import keyed
 from pagemill.operators import replay as R
-from pagemill.streaming.breaker import breaker_stream
 
 
 def breaker_model(events, failures=2):
@@ -83,24 +82,6 @@ def test_budget_gate_matches_sequential_rows(spark):
     assert [r.admitted for r in out.orderBy("i").collect()] == expected
 
 
-def test_breaker_stream_equals_the_fold(spark, tmp_path):
-    events = some_events(7, 200)
-    src, half = str(tmp_path / "in"), len(events) // 2
-    ordered = sorted(events, key=lambda e: (e[1], e[2]))
-    for part in (ordered[:half], ordered[half:]):
-        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    name = "allowed_rows"
-    running = breaker_stream(stream).writeStream.format("memory").queryName(name).outputMode("append")
-    running = running.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    running.awaitTermination(120)
-    got = {(r.k, r.event_id): r.allowed for r in spark.table(name).collect()}
-    first = {e[2] for e in ordered[:half]}
-    assert len(got) == len(events)
-    model = breaker_model([e for e in events if e[2] in first])
-    assert all(got[k] == v for k, v in model.items())
-
-
 def test_take_first_is_exact_over_blocks(spark):
     rows = spark.createDataFrame([((i * 7919) % 1000, i) for i in range(3000)], "p long, i long")
     expected = sorted(((i * 7919) % 1000, i) for i in range(3000))[:1234]
