@@ -29,8 +29,8 @@ SIZE = 400
 ANCHOR = 200
 #: Bytes of stretches whose suffixes are ordered at once, but for the last anchor's.
 CHUNK = 1 << 22
-#: An anchor with more stretches than this is hot.
-HOT = 2_000
+#: An anchor with more stretches than this, about 12 MB of them, is hot.
+HOT = 20_000
 _SECOND = 0xD6E8FEB86659FD93
 
 
