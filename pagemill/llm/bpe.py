@@ -12,6 +12,7 @@ a worker encodes each word it meets once.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +30,7 @@ PIECE = 32_768
 #: Characters on either side of a join that are encoded again at first.
 REACH = 64
 #: Words of which a worker keeps the encoding; it starts anew beyond that.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 350_000
 
 
 @lru_cache(maxsize=4)
@@ -42,11 +43,28 @@ def tokenizer(path: str):
     return made
 
 
+_MARKS = b".,;:!?"
+
+
+def stem(word: bytes) -> tuple[bytes, bytes]:
+    """A word's part that is encoded and kept, and the closing marks that are a token run of their own.
+
+    Marks after a letter or digit never share a token with it. ASCII letters and digits alone are lower-cased, as the
+    tokenizer does; other words aren't, because normalisation may combine their characters first.
+    """
+    base = word.rstrip(_MARKS)
+    if len(base) < len(word) and not (base and (base[-1:].isalnum() or base[-1] > 127 and (last := base.decode()[-1]).isalpha() and last.lower().isalpha())):
+        base = word
+    return (base.lower() if base.isalnum() else base), word[len(base) :]
+
+
 class Encoder:
     """Encodes UTF-8 texts word by word; ids are little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, keep: int = KEPT_WORDS):
         self.tokenizer, self.keep = tokenizer(path), keep
+        self.names = {i: t.encode() for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.closing = {i for i, t in self.names.items() if t.endswith(b"</w>")}
         self.ids: dict[bytes, bytes] = {}
         self.tokens: dict[bytes, bytes] = {}
 
@@ -54,13 +72,32 @@ class Encoder:
         if len(self.ids) > self.keep:
             self.ids.clear()
             self.tokens.clear()
-        new = [w for w in words if w not in self.ids]
+        ids, tokens = self.ids, self.tokens
+        cut = {w: stem(w) for w in words if w not in ids}
+        new = list({part for parts in cut.values() for part in parts if part and part not in ids})
         for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for word, one in zip(some, made):
-                self.ids[word] = np.array(one.ids, dtype="<u4").tobytes()
-                self.tokens[word] = self.tokenizer.decode(one.ids, skip_special_tokens=False).encode()
+            for word, found in self._encoded(new[at : at + 20_000]):
+                ids[word] = struct.pack(f"<{len(found)}I", *found)
+                tokens[word] = b" ".join([self.names[i] for i in found])
+        for word, (base, marks) in cut.items():
+            if marks:
+                ids[word] = ids[base] + ids[marks]
+                tokens[word] = b" ".join(filter(None, (tokens[base], tokens[marks])))
+            elif word != base:
+                ids[word], tokens[word] = ids[base], tokens[base]
+
+    def _encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        """The ids of each word. Words of letters alone are encoded as one text and told apart by their closing tokens."""
+        shown = {w: w.decode() for w in words}
+        plain = [w for w, t in shown.items() if t.isalpha() and t.lower().isalpha()]
+        together = self.tokenizer.encode(" ".join(shown[w] for w in plain), add_special_tokens=False).ids
+        ends = [i + 1 for i, x in enumerate(together) if x in self.closing]
+        if len(ends) == len(plain):
+            yield from zip(plain, (together[a:b] for a, b in zip([0, *ends], ends)))
+            plain = set(plain)
+            words = [w for w in words if w not in plain]
+        made = self.tokenizer.encode_batch_fast([shown[w] for w in words], add_special_tokens=False)
+        yield from zip(words, (one.ids for one in made))
 
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Ids and decoded text of each text."""
