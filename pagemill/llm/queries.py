@@ -15,6 +15,7 @@ from pagemill.llm.jaccard_join import jaccard_join
 from pagemill.llm.language_id import held_out, identify, train
 from pagemill.llm.license_scan import scan
 from pagemill.llm.paragraph_dedup import paragraph_clusters
+from pagemill.llm.passages import repeated_passages
 from pagemill.llm.perplexity import judge
 from pagemill.llm.quote_links import reply_ordered
 from pagemill.llm.suffix_dedup import SIZE, cut, repeated_spans
@@ -94,8 +95,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph of the documents that stands in a run of repeated passages, with its cluster and its fate."""
-    return paragraph_clusters(table(spark, sf_dir, "documents")).drop("text_hash")
+    """Every paragraph (by ``line``) that stands in a run of repeated ones, with its cluster and its fate; and every later
+    copy of a passage of 30 words and more, wherever it begins and ends (by ``first_word``; its ``line`` is null)."""
+    docs = table(spark, sf_dir, "documents")
+    lines = paragraph_clusters(docs).withColumn("first_word", F.lit(None).cast("int"))
+    found = repeated_passages(docs).withColumns({"line": F.lit(None).cast("int"), "removed": F.lit(True)})
+    return lines.unionByName(found).drop("text_hash")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

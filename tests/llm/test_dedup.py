@@ -9,6 +9,8 @@ import pytest
 from pagemill.llm import families, suffix_dedup
 from pagemill.llm.jaccard_join import jaccard_join, keep_first, signatures, slack
 from pagemill.llm.paragraph_dedup import drop_repeated_paragraphs, paragraph_clusters, tune_bands
+from pagemill.llm.passages import repeated_passages
+from pagemill.llm.queries import op9_paragraph_dedup
 from pagemill.llm.suffix_dedup import cut, repeated_spans, suffix_order
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -133,6 +135,54 @@ def test_paragraphs_dropped(docs, rows, none):
     assert paragraph_clusters(none).count() == 0
 
 
+def brute_passages(rows, size):
+    """Words of every document that stand in a window which an earlier place has too."""
+    texts = sorted({(r[0], r[1] or "") for r in rows if r[0] is not None})
+    first, out = {}, {}
+    for i, text in texts:
+        words = word_list(text)
+        out[i] = set()
+        for j in range(len(words) - size + 1):
+            if first.setdefault(tuple(words[j : j + size]), (i, j)) != (i, j):
+                out[i] |= set(range(j, j + size))
+    return out
+
+
+@pytest.mark.parametrize("size", [30, 51, 4])
+def test_repeated_passages(spark, docs, rows, none, size):
+    words = [f"w{i}" for i in range(400)]
+    inside = " ".join(["x"] * 9 + words[20:90] + ["y"] * 7)  # begins and ends inside a line
+    short = "\n".join(" ".join(words[i : i + 3]) for i in range(100, 190, 3))  # lines of three words
+    planted = [(1000, " ".join(words)), (1001, inside), (1002, short), (1003, "a b\n" * 40), (1004, f"{inside}\n{inside} end")]
+    more = docs.select("doc_id", "text").union(spark.createDataFrame(planted, "doc_id long, text string"))
+    got, runs = defaultdict(set), set()
+    for r in repeated_passages(more, size).collect():
+        stretch = set(range(r.first_word, r.first_word + r.n_words))
+        assert not got[r.doc_id] & stretch and r.n_words >= size and r.first_doc_id <= r.doc_id
+        got[r.doc_id] |= stretch
+        runs.add((r.doc_id, r.first_word, r.first_doc_id))
+    want = brute_passages([*rows, *planted], size)
+    assert {i: got[i] for i in want} == want
+    if size > 4:
+        assert (1001, 9, 1000) in runs and (1002, 0, 1000) in runs
+    assert repeated_passages(none, size).count() == 0
+
+
+def test_passages_of_texts_that_share_an_id(spark):
+    one = " ".join(f"w{i}" for i in range(40))
+    twice = spark.createDataFrame([(5, f"{one} a"), (5, f"b {one}"), (5, f"b {one}"), (None, one)], "doc_id long, text string").repartition(3)
+    assert [(r.doc_id, r.n_words) for r in repeated_passages(twice).collect()] == [(5, 40)]
+
+
+def test_op9_holds_passages_inside_lines(spark, tmp_path):
+    words = [f"w{i}" for i in range(300)]
+    own = [f"x{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(own[:50] + words[30:90] + own[50:])), (3, "\n".join(" ".join(words[i : i + 4]) for i in range(200, 260, 4)))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.first_word, r.n_words, r.first_doc_id) for r in op9_paragraph_dedup(spark, str(tmp_path)).collect() if r.removed}
+    assert got >= {(2, 50, 60, 1), (3, 0, 60, 1)}
+
+
 def test_bands_reach_recall():
     for percent in (60, 80, 90):
         bands, rows = tune_bands(percent, 0.99)
