@@ -1,6 +1,7 @@
 """Tokens, language ID, perplexity, decontamination, licenses and quotes against brute force."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -126,6 +127,15 @@ def test_base_rules_and_bands(docs, rows, none):
     assert judge(none).count() == 0
 
 
+def test_bands_against_labels(spark, sf_dir):
+    folder = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = [(labels.get(r.doc_id), r.kept) for r in judge(spark.read.parquet(f"{folder}/documents.parquet")).collect() if not r.base_failed]
+    bad, good = ([kept for quality, kept in found if quality == q] for q in (0, 1))
+    assert bad.count(False) >= 0.15 * len(bad), (bad.count(False), len(bad))
+    assert good.count(False) <= 0.03 * len(good), (good.count(False), len(good))
+
+
 def brute_kneser_ney(texts, order=4):
     """Probabilities of interpolated modified Kneser-Ney by direct counting."""
     counts = [None] * (order + 1)
