@@ -41,6 +41,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_near_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of which every document holds a window with words put in, left out or moved by up to two places; exact
+    matches are among them. A query of its own, as the SQL of ``op1_decontamination`` fixes that one's columns."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.size("near").cast("long").alias("n_near"),
+        F.sha2(F.array_join("near", ","), 256).alias("near_sha256"),
+    )
+
+
 def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message without its quotes, in its thread, with what it replies to."""
     return reply_ordered(table(spark, sf_dir, "conversations"))
@@ -110,6 +120,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op1_near_matches": op1_near_matches,
     "op2_quote_links": op2_quote_links,
     "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,

@@ -17,6 +17,7 @@ from pagemill.llm.decontamination import contamination, drop_contaminated, item_
 from pagemill.llm.language_id import codewords, held_out, identify, train
 from pagemill.llm.license_scan import BASE, scan
 from pagemill.llm.perplexity import build_model, judge
+from pagemill.llm.queries import QUERIES
 from pagemill.llm.quote_links import reply_ordered
 from tests.llm.test_dedup import LOW
 
@@ -231,6 +232,22 @@ def test_blocks_and_proximity(spark, docs, rows, items, benchmark):
         assert want[row[0]] == sorted(near)
 
 
+def test_op1_near_matches(spark, tmp_path):
+    words = [f"w{i}" for i in range(30)]
+    texts = [words, [*words[:5], "in", *words[5:10]], [*words[3:7], *words[8:14]], [words[1], words[0], *words[2:10]], words[::-1]]
+    spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [("i", " ".join(words[:10])), ("j", " ".join(words[3:13]))]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def near(text):
+        inside = lambda a, i, x: x in text[max(0, a + i - 2) : max(0, a + i + 3)]
+        return [n for n, t in items if any(all(inside(a, i, x) for i, x in enumerate(t.split())) for a in range(-2, len(text) + 2))]
+
+    want = {i: (len(near(t)), hashlib.sha256(",".join(near(t)).encode()).hexdigest()) for i, t in enumerate(texts)}
+    assert "op1_near_matches" in QUERIES and {n for n, _ in want.values()} == {0, 1, 2}
+    assert {r.doc_id: (r.n_near, r.near_sha256) for r in QUERIES["op1_near_matches"](spark, str(tmp_path)).collect()} == want
+
+
 def test_license_scan(spark, docs, rows, none):
     texts = {
         1: "Released under the MIT License.\nfoo\nunder the mit license", 2: "Licensed under the Apache License, Version 2.0.",
