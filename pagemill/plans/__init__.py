@@ -1 +1 @@
-"""Whole pipelines: crawl, enrich, export, and the worker's micro-batch."""
+"""Whole pipelines: crawl, enrich, export."""
