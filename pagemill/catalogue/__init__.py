@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> tuple[dict[str, Query], dict[str, str]]:
     """Import every query module and return the registered queries and oracles."""
     from pagemill.catalogue import (  # noqa: F401
-        content_queries, enrich_queries, graph_queries, policy_queries, record_queries, text_queries,
+        content_queries, enrich_queries, graph_queries, network_queries, policy_queries, record_queries, text_queries,
         url_queries,
     )
 

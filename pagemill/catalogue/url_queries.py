@@ -293,6 +293,24 @@ def links_any_quoting(spark, sf_dir):
     return L.explode_links(pages, found).select("page_id", "position", "canonical_url")
 
 
+@query(
+    """SELECT page_id, CAST(i AS INT) AS position, 'http://w.example.com/' || page_id || ['/one', '/two&x', '/école', '/é', '/last'][i + 1] AS canonical_url,
+         ['1 > 0', 'two words', 'É & E', '', 'end'][i + 1] AS anchor_text FROM pages, range(5) r(i)"""
+)
+def links_whole_markup(spark, sf_dir):
+    """Signs inside quoted values, links in scripts and styles (no links), references of every kind, and the links' texts."""
+    at = F.concat(F.lit("/"), F.col("page_id").cast("string"))
+    parts = (
+        '<p><a title="x>y" data-k=\'"\' href="', at, '/one">1 &gt; 0</a><script>var s=\'<a href="/three">no</a>\';</script><style>a{b:"<a href=/s>"}</style>',
+        "<a href='", at, "/two&#x26;x'>two\n <b>words</b> </a><a id=1 href=", at, "/&eacute;cole>&Eacute; &amp; E<br></a><A HREF=\"", at,
+        '/&#233;"><img alt="i"></A><abbr href="/no">n</abbr><a href="', at, '/last">end',
+    )
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("http://w.example.com"), at, F.lit("/")).alias("url"), html.alias("html"))
+    found = L.page_links(F.col("url"), L.bare_anchors(F.col("html")))
+    return L.explode_links(pages, found).select("page_id", "position", "canonical_url", "anchor_text")
+
+
 @query(f"WITH {LINKS_SQL} SELECT page_id, link AS canonical_url FROM links WHERE position < 3")
 def links_limit(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")

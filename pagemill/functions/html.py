@@ -7,8 +7,11 @@ content, duplicate removal, sections, metadata - is expressed on that array insi
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -45,8 +48,8 @@ SIBLING_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 SCOPES = frozenset("ul ol dl table article section div main body html td th".split())
 MARKS = {"b": "b", "strong": "b", "i": "i", "em": "i", "code": "c"}
 KEPT_WHOLE = frozenset(("html", "body", "main", "article"))
-CLASS_NOISE = re.compile(r"\b(?:" + "|".join(specs.NOISE_CLASS_WORDS) + r")\b", re.I)
-ID_NOISE = re.compile(r"\b(?:" + "|".join(specs.NOISE_ID_WORDS) + r")\b", re.I)
+CLASS_NOISE = re.compile(specs.NOISE_CLASS, re.I)
+ID_NOISE = re.compile(specs.NOISE_ID, re.I)
 HIDDEN = re.compile(r"display\s*:\s*none")
 
 
@@ -151,6 +154,12 @@ def shred(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
         )
 
 
+@F.pandas_udf(T.ArrayType(T.ArrayType(NODE)))
+def shred_fragments(fragments: pd.Series) -> pd.Series:
+    """Pieces of markup of a row -> a node array each, so that markup nested in a page's data stays in the page's row."""
+    return fragments.map(lambda own: [[dict(zip(NODE.names, row)) for row in shred_one(h, "generic")] for h in (own if own is not None else [])])
+
+
 # --- selectors ------------------------------------------------------------------------------
 
 Test = Callable[[Column], Column]
@@ -255,18 +264,61 @@ def anchors(nodes: Column) -> Column:
     )
 
 
+# Scripts, styles and comments hold no links, whatever they look like; quoted values may hold any sign.
+_NOT_MARKUP = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+_QUOTED = r"(?:\"[^\"]*\"|'[^']*')"
+_ANCHOR = rf"(?is)<a(?=\s)(?:[^>\"']*?{_QUOTED})*?[^>\"']*?\shref\s*=\s*({_QUOTED}|[^\s\"'>]+)"
+_ANCHOR_TEXT = rf"{_ANCHOR}(?:[^>\"']*{_QUOTED})*[^>\"']*>(.*?)(?=</a\b|<a\s|\z)"
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
 def anchor_targets(html: Column) -> Column:
-    """Link targets straight from markup, without parsing it: comments apart, quoted in any way, references decoded."""
-    shown = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    tag = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-    found = F.transform(F.regexp_extract_all(shown, F.lit(tag), 1), lambda h: strip(F.regexp_replace(h, r"^[\"']|[\"']$", "")))
-    return F.filter(F.transform(found, _decoded), lambda h: h != "")
+    """Link targets straight from markup, without parsing it: quoted in any way, references decoded."""
+    found = F.regexp_extract_all(F.regexp_replace(html, _NOT_MARKUP, ""), F.lit(_ANCHOR), 1)
+    return F.filter(F.transform(found, _target), lambda h: h != "")
+
+
+def bare_anchors(html: Column) -> Column:
+    """Links with their text straight from markup: ``array<struct<href, text>>`` in document order."""
+
+    def pairs(shown: Column) -> Column:
+        hrefs, inner = (F.regexp_extract_all(shown, F.lit(_ANCHOR_TEXT), i) for i in (1, 2))
+        return F.filter(F.zip_with(hrefs, inner, lambda h, t: F.struct(_target(h).alias("href"), _line(t).alias("text"))), lambda a: a["href"] != "")
+
+    return let(F.regexp_replace(html, _NOT_MARKUP, ""), pairs)
+
+
+def _target(quoted: Column) -> Column:
+    return unescape(strip(F.regexp_replace(quoted, r"^[\"']|[\"']$", "")))
+
+
+def _line(markup: Column) -> Column:
+    return unescape(strip(F.regexp_replace(F.regexp_replace(markup, r"<[^>]*>", " "), r"\s+", " ")))
+
+
+def unescape(value: Column) -> Column:
+    """Character references, named and numbered, each decoded once."""
+    table = F.from_json(F.lit(_entity_table()), "map<string,string>")
+
+    def number(reference: Column) -> Column:
+        digits = F.when(reference.rlike("^#[xX]"), F.substr(reference, F.lit(3))).otherwise(F.conv(F.substr(reference, F.lit(2)), 10, 16))
+        return F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+
+    def sign(reference: Column) -> Column:
+        named = F.try_element_at(table, reference)
+        return F.when(reference.startswith("#"), number(reference)).otherwise(F.coalesce(named, F.concat(F.lit("&"), reference, F.lit(";"))))
+
+    def decoded(text: Column) -> Column:
+        signs = F.concat(F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), 1), sign), F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.split(text, _REFERENCE, -1), signs, lambda a, b: F.concat(a, b)), "")
+
+    return F.when(value.contains("&"), decoded(value)).otherwise(value)
 
 
-def _decoded(target: Column) -> Column:
-    for name, sign in (("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        target = F.replace(target, F.lit(name), F.lit(sign))
-    return target
+@lru_cache(maxsize=1)
+def _entity_table() -> str:
+    """Python's table of named references as JSON: a constant of the plan."""
+    return json.dumps({name[:-1]: sign for name, sign in html5.items() if name.endswith(";")})
 
 
 def has_heading(html: Column) -> Column:

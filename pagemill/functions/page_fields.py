@@ -215,6 +215,35 @@ def variant_responses(nodes: Column) -> Column:
     return F.filter(F.flatten(F.filter(bodies, lambda b: b.isNotNull())), lambda b: b.isNotNull())
 
 
+def slot_prices(slots: Column) -> Column:
+    """What the markup inside each variant slot shows as its price: HTML in JSON in a script, parsed within the row."""
+    nested = H.shred_fragments(F.transform(slots, lambda s: s["markup"]))
+    return F.transform(nested, lambda n: blank_to_null(H.text_of(n, H.first_match(n, ".a-offscreen, .a-price"))))
+
+
+def script_objects(nodes: Column) -> Column:
+    """JSON objects handed to ``parseJSON`` in the scripts of a page."""
+    return F.flatten(F.transform(scripts(nodes), J.embedded_objects))
+
+
+def priced_variants(nodes: Column, slots: Column, shown_prices: Column, embedded: Column) -> Column:
+    """Variants of a product with the state their answer gives: ``array<struct<asin, label, price, availability>>``.
+
+    The swatches of the page, else the pairs ``embedded`` in its scripts; a variant without an answer has no state.
+    ``shown_prices`` and ``embedded`` come from Arrow steps, so they are columns of their own, made before this.
+    """
+
+    def joined(variants: Column, states: Column) -> Column:
+        return F.transform(variants, lambda v: let(F.try_element_at(states, v["asin"]), lambda s: F.struct(
+            v["asin"].alias("asin"), v["label"].alias("label"), s["price"].alias("price"), s["availability"].alias("availability")
+        )))
+
+    return let(
+        J.variant_states(slots, shown_prices),
+        lambda states: joined(first_filled(product_variants(nodes), embedded), states),
+    )
+
+
 def seller_fields(nodes: Column, url: Column) -> Column:
     """Seller page fields and its product cards."""
 
@@ -263,29 +292,56 @@ def explorer_fields(nodes: Column, resource_type: Column) -> Column:
     )
 
 
+# How many elements up the lines beside a result stand, and its address patterns with their kinds.
+SUBTITLE_UP = 4
+SEARCH_KINDS = (
+    (r"^https://www\.linkedin\.com/company/([^/]+)/?$", "company", "company"),
+    (r"^https://www\.linkedin\.com/in/([^/]+)/?$", "person", "profile"),
+    (r"^https://www\.linkedin\.com/jobs/view/(\d+)/?$", "job", "job"),
+    (r"^https://www\.linkedin\.com/feed/update/([^/]+)/?$", "post", "post"),
+)
+
+
+def ancestor(nodes: Column, node: Column, steps: int) -> Column:
+    """The element so many parents up, or the outermost one: one array access for each step."""
+    for _ in range(steps):
+        node = let(node, lambda n: F.coalesce(F.when(n["parent"] >= 0, F.get(nodes, n["parent"])), n))
+    return node
+
+
+def subtitle(nodes: Column, anchor: Column, title: Column) -> Column:
+    """The first line near a link that isn't its title."""
+
+    def first_other(box: Column) -> Column:
+        lines = F.flatten(F.transform(H.strings(nodes, box), lambda t: F.transform(F.split(t, r"\R"), strip)))
+        return F.try_element_at(F.filter(lines, lambda x: (x != "") & (x != title)), F.lit(1))
+
+    return F.coalesce(let(ancestor(nodes, anchor, SUBTITLE_UP), first_other), F.lit(""))
+
+
 def search_results(nodes: Column, limit: int | None = None) -> Column:
-    """People, companies, jobs and posts a search page lists: distinct addresses, all unless limited."""
-    kinds = (
-        (r"^https://www\.linkedin\.com/company/([^/]+)/?$", "company", "company"),
-        (r"^https://www\.linkedin\.com/in/([^/]+)/?$", "person", "profile"),
-        (r"^https://www\.linkedin\.com/jobs/view/(\d+)/?$", "job", "job"),
-        (r"^https://www\.linkedin\.com/feed/update/([^/]+)/?$", "post", "post"),
-    )
+    """People, companies, jobs and posts a search page lists, with the line beside them: distinct addresses, all unless limited."""
 
-    def row(a: Column) -> Column:
-        full = F.when(a["href"].startswith("/"), F.concat(F.lit("https://www.linkedin.com"), a["href"])).otherwise(a["href"])
+    def row(anchor: Column) -> Column:
+        href = strip(H.attribute(anchor, "href"))
+        full = F.when(href.startswith("/"), F.concat(F.lit("https://www.linkedin.com"), href)).otherwise(href)
         bare = F.concat(F.rtrim(U.without_query(full), F.lit("/")), F.lit("/"))
         entity, kind, own = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")
-        for pattern, name, resource in reversed(kinds):
+        for pattern, name, resource in reversed(SEARCH_KINDS):
             found = F.regexp_extract(bare, pattern, 1)
             entity = F.when(found != "", F.lit(name)).otherwise(entity)
             kind = F.when(found != "", F.lit(resource)).otherwise(kind)
             own = F.when(found != "", found).otherwise(own)
         return F.struct(
             bare.alias("canonical_url"), entity.alias("entity_type"), kind.alias("resource_type"), own.alias("identifier"),
-            a["text"].alias("title"),
+            H.text_of(nodes, anchor).alias("title"), anchor["pre"].alias("at"),
         )
 
-    rows = F.filter(F.transform(H.anchors(nodes), row), lambda r: r["entity_type"].isNotNull() & (r["title"] != ""))
+    def shown(r: Column) -> Column:
+        names = ("canonical_url", "entity_type", "resource_type", "identifier", "title")
+        return F.struct(*[r[n].alias(n) for n in names], let(F.get(nodes, r["at"]), lambda a: subtitle(nodes, a, r["title"])).alias("subtitle"))
+
+    links = F.filter(nodes, lambda n: (n["tag"] == "a") & (strip(H.attribute(n, "href")) != ""))
+    rows = F.filter(F.transform(links, row), lambda r: r["entity_type"].isNotNull() & (r["title"] != ""))
     found = first_occurrences(rows, lambda r, _: r["canonical_url"])
-    return found if limit is None else F.slice(found, 1, limit)
+    return F.transform(found if limit is None else F.slice(found, 1, limit), shown)

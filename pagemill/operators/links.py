@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions import html as H
+from pagemill.functions.html import bare_anchors  # noqa: F401
 from pagemill.functions import platform_urls as P
 from pagemill.functions import url as U
 from pagemill.functions.arrays import first_occurrences, let
@@ -60,13 +60,6 @@ def _links_from(
     return found if limit is None else F.slice(found, 1, max(limit, 0))
 
 
-def bare_anchors(html: Column) -> Column:
-    """Anchors by pattern, without link text and without parsing the page."""
-    return F.transform(
-        H.anchor_targets(html), lambda h: F.struct(h.alias("href"), F.lit(None).cast("string").alias("text"))
-    )
-
-
 def explode_links(pages: DataFrame, links: Column, url: str = "url") -> DataFrame:
     """Link candidates: one row per link with its parent, position and score."""
     rows = explode_once(pages.withColumn("_links", links), "_links", "position", "_link")

@@ -9,6 +9,8 @@ from pagemill.functions import page_fields as P
 from pagemill.functions import payloads as J
 from pagemill.functions import policy
 from pagemill.functions import url as U
+from pagemill.functions.arrays import let
+from pagemill.functions.platform_urls import normalize_network
 from pagemill.functions.text import doc_id
 from pagemill.operators import chunk as C
 from pagemill.operators import content as K
@@ -45,29 +47,40 @@ def classify(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_structured(nodes: Column, url: Column, platform: Column, kind: Column, css_schema: dict | None = None) -> Column:
+def page_structured(nodes: Column, url: Column, platform: Column, kind: Column, variants: Column, css_schema: dict | None = None) -> Column:
     """The platform's fields of a page as JSON text; other platforms give the page metadata.
 
-    With a CSS schema its values stand beside them under ``css``. Only the row's own branch is computed.
+    ``variants`` are a product's priced variants. With a CSS schema its values stand beside the fields under ``css``. Only
+    the row's own branch is computed.
     """
     found = (
         F.when((platform == "amazon") & (kind == "seller"), F.to_json(P.seller_fields(nodes, url)))
-        .when(platform == "amazon", F.to_json(P.product_fields(nodes, url)))
+        .when(platform == "amazon", F.to_json(let(P.product_fields(nodes, url), lambda p: p.withField("price", F.coalesce(p["price"], F.col("_price")))).withField("variants", variants)))
         .when(platform == "base", F.to_json(P.explorer_fields(nodes, kind)))
         .when((platform == "linkedin") & (kind == "search"), F.to_json(F.struct(P.search_results(nodes).alias("results"))))
         .otherwise(F.to_json(F.col("_meta")))
     )
     if css_schema is None:
         return found
-    css = F.to_json(P.css_fields(nodes, css_schema, url))
-    return F.concat(F.rtrim(found, F.lit("}")), F.when(found != "{}", F.lit(",")).otherwise(F.lit("")), F.lit('"css":'), css, F.lit("}"))
+    css = F.parse_json(F.to_json(P.css_fields(nodes, css_schema, url)))
+    own = F.map_filter(F.from_json(found, "map<string,variant>"), lambda k, _: k != "css")
+    return F.to_json(F.map_concat(own, F.create_map(F.lit("css"), css)))
 
 
 def from_html(pages: DataFrame, css_schema: dict | None = None) -> DataFrame:
     """HTML branch: main content, reduction, sections, metadata, structured fields."""
     parsed = K.extract_pages(pages, url="canonical_url")
     meta = P.page_meta(F.col("nodes"), F.col("canonical_url"))
-    fields = page_structured(F.col("nodes"), F.col("canonical_url"), F.col("platform"), F.col("resource_type"), css_schema)
+    # Only product pages have variant slots; the markup inside them is parsed in a step of its own, which others pass empty.
+    is_product = (F.col("platform") == "amazon") & (F.col("resource_type") != "seller")
+    none = F.array().cast(f"array<struct<{J.VARIANT_SLOT.replace(' string', ':string')}>>")
+    parsed = parsed.withColumn("_slots", F.when(is_product, J.variant_slots(P.variant_responses(F.col("nodes")))).otherwise(none))
+    parsed = parsed.withColumn("_objects", F.when(is_product, P.script_objects(F.col("nodes"))).otherwise(F.array().cast("array<string>")))
+    parsed = parsed.withColumns({
+        "_prices": P.slot_prices(F.col("_slots")), "_embedded": J.embedded_variants(F.col("_objects")), "_price": J.embedded_price(F.col("_objects"))
+    })
+    variants = P.priced_variants(F.col("nodes"), F.col("_slots"), F.col("_prices"), F.col("_embedded"))
+    fields = page_structured(F.col("nodes"), F.col("canonical_url"), F.col("platform"), F.col("resource_type"), variants, css_schema)
     return parsed.withColumn("_meta", meta).select(
         *[c for c in pages.columns], "doc_id", "plain_text", "markdown", "sections", "selector_used", "noise_removed",
         "content_ratio", F.col("_meta.title").alias("title"), F.col("_meta.description").alias("description"),
@@ -91,35 +104,42 @@ def _from_text(pages: DataFrame, title: Column, description: Column, plain: Colu
 
 
 def from_json(pages: DataFrame) -> DataFrame:
-    """JSON branch: encyclopedia and chain answers by their own rule, others as title, description, scalar fields."""
+    """JSON branch: encyclopedia, chain and network answers by their own rule, others as title, description, scalar fields."""
     payload, platform = F.col("json_data"), F.col("platform")
     article = (platform == "wikipedia") & J.at(payload, "$.query.pages").isNotNull()
     answer = (platform == "base") & J.at(payload, "$.result").isNotNull()
-    rows = pages.withColumns({"_g": J.generic_json(payload), "_w": J.encyclopedia_document(payload)})
+    entity = platform == "linkedin"
+    named = F.try_element_at(F.map_values(normalize_network(F.col("canonical_url"))["identity"]), F.lit(1))
+    rows = pages.withColumns({"_g": J.generic_json(payload), "_w": J.encyclopedia_document(payload), "_n": F.when(entity, J.network_document(payload, F.col("resource_type"), named))})
     fields = F.map_filter(J.as_map(payload), lambda k, _: ~k.isin("title", "name", "description", "summary", "data"))
     rows = rows.withColumn("_d", J.render_document(F.col("_g.title"), F.col("_g.description"), fields))
     result = J.at(payload, "$.result")
 
-    def routed(of_article: Column, of_answer: Column, other: Column) -> Column:
-        return F.when(article, of_article).when(answer, of_answer).otherwise(other)
+    def routed(of_article: Column, of_answer: Column, of_entity: Column, other: Column) -> Column:
+        return F.when(article, of_article).when(answer, of_answer).when(entity, of_entity).otherwise(other)
 
-    title = routed(F.col("_w.title"), F.col("resource_type"), F.col("_g.title"))
-    own = F.when(article | answer, F.concat(F.lit("legacy_platform:"), platform))
+    title = routed(F.col("_w.title"), F.col("resource_type"), F.col("_n.title"), F.col("_g.title"))
+    own = F.when(article | answer | entity, F.concat(F.lit("legacy_platform:"), platform))
     sources = F.when(own.isNull(), F.col("_g.field_sources")).otherwise(F.create_map(F.lit("title"), own, F.lit("description"), own))
     out = _from_text(
         rows, title,
-        routed(F.coalesce(F.nullif("_w.description", F.lit("")), "_w.plain_text"), result, F.col("_g.description")),
-        routed(F.col("_w.plain_text"), result, F.col("_d.plain_text")),
+        routed(F.coalesce(F.nullif("_w.description", F.lit("")), "_w.plain_text"), result, F.col("_n.plain_text"), F.col("_g.description")),
+        routed(F.col("_w.plain_text"), result, F.col("_n.plain_text"), F.col("_d.plain_text")),
         routed(
             F.concat(F.lit("# "), title, F.lit("\n\n"), F.col("_w.plain_text")), F.concat(F.lit("```json\n"), result, F.lit("\n```")),
-            F.col("_d.markdown"),
+            F.col("_n.markdown"), F.col("_d.markdown"),
         ),
         sources, "json_structured",
         routed(
-            F.to_json(F.struct("_w.categories", "_w.page_id")), F.to_json(F.struct(result.alias("rpc_result"))), F.to_json(fields)
+            F.to_json(F.struct("_w.categories", "_w.page_id")), F.to_json(F.struct(result.alias("rpc_result"))),
+            F.to_json(F.map_concat(
+                F.from_json(F.col("_n.structured"), "map<string,variant>"),
+                F.map_filter(F.from_json(F.to_json(F.struct("_n.entity_type", "_n.source_id", "_n.published_at")), "map<string,variant>"), lambda _, v: v.isNotNull()),
+            )),
+            F.to_json(fields),
         ),
     )
-    return out.drop("_g", "_d", "_w")
+    return out.drop("_g", "_d", "_w", "_n")
 
 
 def from_atom(pages: DataFrame) -> DataFrame:

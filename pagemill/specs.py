@@ -197,15 +197,9 @@ PLATFORM_ALIASES = {
 
 # --- Fixed values: HTML noise and main-content selectors -------------------------------------
 NOISE_TAGS = ("nav", "footer", "aside", "script", "style", "noscript", "iframe", "svg")
-NOISE_CLASS_WORDS = (
-    "nav", "menu", "sidebar", "footer", "header", "ad", "ads", "tracking", "cookie", "banner",
-    "popup", "modal", "overlay", "social-share", "share-bar", "breadcrumb", "pagination",
-    "related-posts", "comments", "comment-form",
-)
-NOISE_ID_WORDS = (
-    "nav", "menu", "sidebar", "footer", "header", "ad", "ads", "tracking", "cookie", "banner",
-    "popup", "modal", "overlay",
-)
+# The class and id patterns of page noise, as they must match.
+NOISE_CLASS = r"(^|\b)(nav|menu|sidebar|footer|header|ad|ads|tracking|cookie|banner|popup|modal|overlay|social-share|share-bar|breadcrumb|pagination|related-posts|comments|comment-form)(\b|$)"
+NOISE_ID = r"(^|\b)(nav|menu|sidebar|footer|header|ad|ads|tracking|cookie|banner|popup|modal|overlay)(\b|$)"
 NOISE_SELECTORS = {
     "linkedin": (
         ".global-nav", ".feed-identity-module", ".ad-banner-container", ".msg-overlay-list-bubble",

@@ -78,7 +78,8 @@ def test_embedded_product_json(spark):
     script = """x.parseJSON('{"a":[{"priceToPay":{"price":"$5"}}],"colorToAsin":{"Red":{"asin":"B1"},"Blue":"B2"}}') parseJSON('{bad}')"""
     objects = J.embedded_objects(F.lit(script))
     bodies = F.array(F.lit('{"ASIN":"B1","Value":{"content":{"twisterSlotJson":{"price":"9","isAvailable":false}}}}&&&{oops'))
-    rows = spark.range(1).select(objects.alias("o"), J.variant_states(bodies).alias("s"))
+    rows = spark.range(1).select(objects.alias("o"), J.variant_slots(bodies).alias("v")).withColumn("p", P.slot_prices(F.col("v")))
+    rows = rows.select("o", J.variant_states(F.col("v"), F.col("p")).alias("s"))
     row = rows.select(J.embedded_price("o").alias("p"), J.embedded_variants("o").alias("v"), "s").first()
     assert row.p == "$5" and [(v.asin, v.label) for v in row.v] == [("B1", "Red"), ("B2", "Blue")]
     assert (row.s["B1"].price, row.s["B1"].availability) == ("9", "Unavailable")
