@@ -66,7 +66,7 @@ def template_table(spark: SparkSession, base: dict[str, str], notices: dict[str,
 
 
 def scan(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[str, str] | None = None, share: float = SHARE) -> DataFrame:
-    """One row per document: doc_id, n_base, first_word, last_word, base_labels, labels, score and spans.
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and spans.
 
     n_base counts the places of base phrases, first_word and last_word are the smallest and largest of their start
     words (null without one). spans holds (template label, first word, stop word, share) of each verified span; labels
@@ -76,39 +76,49 @@ def scan(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[str,
     """
     base, notices = BASE if base is None else base, NOTICES if notices is None else notices
     # The templates are given as code, so their number has a fixed bound and a broadcast is safe.
-    templates = F.broadcast(template_table(docs.sparkSession, base, notices))
+    templates = template_table(docs.sparkSession, base, notices)
+    known = [r["gram"] for r in templates.select("gram").distinct().collect()]
+    of = ["doc_id", "text_hash"]
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    placed = keyed.select("doc_id", "text_hash", F.posexplode(grams(words(F.col("text")))).alias("word", "gram"))
-    hits = placed.join(templates, "gram").withColumn("diagonal", F.col("word") - F.col("at"))
+
+    def at_templates(ws: Column) -> Column:
+        """The places whose gram some template has; the others never leave their row."""
+        placed = F.transform(F.sequence(F.lit(0), F.size(ws) - 1), lambda i: F.struct(
+            i.alias("word"), F.xxhash64(*[F.get(ws, i + j) for j in range(K)]).alias("gram")
+        ))
+        own = F.when(F.size(ws) > 0, F.filter(placed, lambda p: p["gram"].isin(known)))
+        return own
+
+    hits = keyed.select(*of, F.explode(let(words(F.col("text")), at_templates)).alias("at")).select(*of, "at.word", "at.gram")
+    hits = hits.join(F.broadcast(templates), "gram").withColumn("diagonal", F.col("word") - F.col("at"))
     # Sets, so that equal rows of one document count once; each is at most as long as its template.
-    by_diagonal = hits.groupBy("doc_id", "text_hash", "template", "label", "is_base", "n_grams", "diagonal").agg(F.collect_set("at").alias("at"))
+    by_diagonal = hits.groupBy(*of, "template", "label", "is_base", "n_grams", "diagonal").agg(F.collect_set("at").alias("at"))
 
-    of = ["doc_id", "text_hash"]
-    whole = by_diagonal.where(F.col("is_base") & (F.size("at") == F.col("n_grams")))
-    base_found = whole.groupBy(*of).agg(
-        F.count("*").alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"), F.collect_set("label").alias("base_labels")
-    )
     # A template's diagonals in one document, however many: the window runs over them in order and keeps none.
     along = Window.partitionBy(*of, "template").orderBy("diagonal")
     far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > NEIGHBOURS, F.lit(True))
+    whole = F.when(F.col("is_base") & (F.size("at") == F.col("n_grams")), F.col("diagonal"))
     merged = by_diagonal.withColumn("span", F.sum(far.cast("int")).over(along)).groupBy(*of, "template", "label", "n_grams", "span").agg(
+        F.count(whole).alias("n_base"), F.min(whole).alias("first_word"), F.max(whole).alias("last_word"),
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("met"),
         F.min(F.col("diagonal") + F.array_min("at")).alias("first"), (F.max(F.col("diagonal") + F.array_max("at")) + K).alias("stop"),
     ).withColumn("share", F.col("met") / F.col("n_grams"))
-    verified = merged.where((F.col("share") >= share) & (F.col("stop") - F.col("first") <= STRETCH * (F.col("n_grams") + K - 1)))
-    spans_found = verified.groupBy(*of).agg(
-        F.sort_array(F.collect_list(F.struct("first", "stop", "label", "share"))).alias("spans"),
-        F.collect_set("label").alias("span_labels"), F.max("share").alias("score"),
-    )
-    found = base_found.join(spans_found, of, "full").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "n_base", "first_word", "last_word", "base_labels", "span_labels", "spans",
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
+    verified = (F.col("share") >= share) & (F.col("stop") - F.col("first") <= STRETCH * (F.col("n_grams") + K - 1))
+    found = merged.groupBy(*of).agg(
+        F.sum("n_base").alias("n_base"), F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"),
+        F.collect_set(F.when(F.col("n_base") > 0, F.col("label"))).alias("base_labels"),
+        F.sort_array(F.collect_list(F.when(verified, F.struct("first", "stop", "label", "share")))).alias("spans"),
+        F.collect_set(F.when(verified, F.col("label"))).alias("span_labels"), F.max(F.when(verified, F.col("share"))).alias("score"),
+    ).where("n_base > 0 or size(spans) > 0").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "n_base", "first_word", "last_word", "base_labels", "span_labels",
+        F.when(F.size("spans") > 0, F.col("spans")).alias("spans"), F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
     )
     none = F.array().cast("array<string>")
     base_labels, span_labels = F.coalesce("base_labels", none), F.coalesce("span_labels", none)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    return keyed.select(*of).join(found, same, "left").select(
-        "doc_id", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
+    counted = keyed.select(*of, F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    return counted.join(found, same, "left").select(
+        "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
         F.col("first_word").cast("long").alias("first_word"), F.col("last_word").cast("long").alias("last_word"),
         F.array_join(F.sort_array(base_labels), ",").alias("base_labels"),
         F.array_join(F.sort_array(F.array_union(base_labels, span_labels)), ",").alias("labels"),

@@ -77,7 +77,7 @@ merged AS (SELECT doc_id, template, label, n_grams, span, len(list_distinct(flat
   min(diagonal + list_min(at_words)) AS first, max(diagonal + list_max(at_words)) + {K} AS stop FROM numbered GROUP BY doc_id, template, label, n_grams, span),
 spans AS (SELECT doc_id, list(DISTINCT label) AS span_labels, max(share) AS score FROM merged
   WHERE share >= {SHARE} AND stop - first <= {STRETCH} * (n_grams + {K - 1}) GROUP BY 1)
-SELECT doc_id, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(list_sort(base_labels), ','), '') AS base_labels,
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(list_sort(base_labels), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(span_labels, [])))), ','), '') AS labels,
   CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0)::DOUBLE END AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN spans USING (doc_id)
