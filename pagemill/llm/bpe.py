@@ -7,7 +7,7 @@ same place. Encoding is decided between neighbouring tokens only, so what lies b
 window that reaches both ends is the whole text. Shorter texts are encoded in place.
 
 White space never stands within a token of this kind of vocabulary, so a text is encoded as the row of its words, and
-a worker encodes each word it meets once.
+an encoder does each word it meets once.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pagemill.llm.textops import buffers, steps
 PIECE = 32_768
 #: Characters on either side of a join that are encoded again at first.
 REACH = 64
-#: Words of which a worker keeps the encoding; it starts anew beyond that.
-KEPT_WORDS = 350_000
+#: Bytes of words of which an encoder keeps the encoding, about; it starts anew beyond that.
+KEPT_BYTES = 96 << 20
 
 
 @lru_cache(maxsize=4)
@@ -43,6 +43,13 @@ def tokenizer(path: str):
     return made
 
 
+@lru_cache(maxsize=4)
+def names(path: str) -> tuple[dict[int, bytes], set[int]]:
+    """The tokens by id, and which of them close a word."""
+    found = {i: t.encode() for t, i in tokenizer(path).get_vocab(with_added_tokens=True).items()}
+    return found, {i for i, t in found.items() if t.endswith(b"</w>")}
+
+
 _MARKS = b".,;:!?"
 
 
@@ -61,18 +68,18 @@ def stem(word: bytes) -> tuple[bytes, bytes]:
 class Encoder:
     """Encodes UTF-8 texts word by word; ids are little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, keep: int = KEPT_WORDS):
-        self.tokenizer, self.keep = tokenizer(path), keep
-        self.names = {i: t.encode() for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.closing = {i for i, t in self.names.items() if t.endswith(b"</w>")}
+    def __init__(self, path: str, keep: int = KEPT_BYTES):
+        self.tokenizer, self.keep, self.held = tokenizer(path), keep, 0
+        self.names, self.closing = names(path)
         self.ids: dict[bytes, bytes] = {}
         self.tokens: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.ids) > self.keep:
+        if self.held > self.keep:
             self.ids.clear()
             self.tokens.clear()
-        ids, tokens = self.ids, self.tokens
+            self.held = 0
+        ids, tokens, before = self.ids, self.tokens, len(self.ids)
         cut = {w: stem(w) for w in words if w not in ids}
         new = list({part for parts in cut.values() for part in parts if part and part not in ids})
         for at in range(0, len(new), 20_000):
@@ -85,6 +92,8 @@ class Encoder:
                 tokens[word] = b" ".join(filter(None, (tokens[base], tokens[marks])))
             elif word != base:
                 ids[word], tokens[word] = ids[base], tokens[base]
+        # Two table entries, a key and two values with their headers; long words add their own length.
+        self.held += 320 * (len(ids) - before) + sum(len(w) for w in cut if len(w) > 16)
 
     def _encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """The ids of each word. Words of letters alone are encoded as one text and told apart by their closing tokens."""
@@ -107,9 +116,9 @@ class Encoder:
         return [(b"".join(map(ids, words)), b" ".join(filter(None, map(tokens, words)))) for words in split]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """The worker's encoder."""
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """An encoder that the worker keeps for its next tasks."""
     return Encoder(path)
 
 
@@ -191,11 +200,12 @@ def tree(tok, parts: list[Part], reach: int = REACH) -> Part:
     return parts[0]
 
 
-def encode(docs: DataFrame, path: str, columns: list[str] | None = None, piece: int = PIECE) -> DataFrame:
+def encode(docs: DataFrame, path: str, columns: list[str] | None = None, piece: int = PIECE, keep_words: bool = True) -> DataFrame:
     """``docs`` (or the ``columns`` of it) with ids (binary, little-endian unsigned 32-bit) and decoded (string).
 
     A null or empty text has no ids and decodes to the empty text. Every row is encoded for itself, so repeated rows,
-    null ids and other columns don't matter; columns named ids or decoded are replaced. Only texts of more than ``piece`` characters are shuffled.
+    null ids and other columns don't matter; columns named ids or decoded are replaced. Only texts of more than ``piece`` characters are shuffled. Workers keep
+    words for their next tasks, unless ``keep_words`` is false: then each task starts empty and leaves nothing behind.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c not in ("ids", "decoded")]
     bound_batches(docs.sparkSession)
@@ -204,9 +214,10 @@ def encode(docs: DataFrame, path: str, columns: list[str] | None = None, piece:
     is_long = F.length("text") > piece
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_encoder(path) if keep_words else Encoder(path)
         for batch in batches:
             for step in steps(batch, "text"):
-                made = encoder(path).encode(rows_of(step.column(1)))
+                made = encoder.encode(rows_of(step.column(1)))
                 yield pa.RecordBatch.from_arrays(
                     [step.column(0), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1].decode() for m in made], pa.string())],
                     names=["row", "ids", "decoded"],

@@ -7,11 +7,11 @@ of words (the checkpoints from which lanes are decoded side by side) and ends wi
 the blocks, so that blocks can be read and decoded in parallel. Coding is vectorised over the lanes of many blocks.
 
     file   = magic, blocks, footer, footer offset (u64), magic
-    block  = n_docs, n_tokens (u32), ids (i64), lengths (u32), states (u64 x LANES), word counts (u32 x LANES),
+    block  = n_docs, n_tokens, n_null (u32), ids (i64), lengths (u32), states (u64 x LANES), word counts (u32 x LANES),
              words (u32, lane after lane), CRC-32 of all before (u32)
     footer = for each block: offset (u64), bytes (u64), n_tokens (u64)
 
-All numbers are little-endian. A null doc_id is written as the least 64-bit integer.
+All numbers are little-endian. The first n_null documents of a block have no doc_id; 0 is written for it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.bpe import encoder, rows_of, tokenizer
+from pagemill.llm.bpe import rows_of, tokenizer, worker_encoder
 from pagemill.llm.common import shared_folder, stored
 from pagemill.llm.textops import steps
 
@@ -35,7 +35,6 @@ MAGIC = b"PMRANS01"
 LANES = 32
 SCALE = 20
 LEAST = np.uint64(1 << 31)
-NO_ID = -(1 << 63)
 BLOCK_TOKENS = 1 << 16
 #: Blocks that are coded at once.
 GROUP = 64
@@ -123,28 +122,29 @@ def decode_blocks(table: Table, counts: np.ndarray, states: np.ndarray, lanes: l
     return [back[:, i].ravel()[:n] for i, n in enumerate(counts)]
 
 
-def pack_block(ids: list[int], docs: list[np.ndarray], states: np.ndarray, lanes: list[np.ndarray]) -> bytes:
+def pack_block(ids: list[int | None], docs: list[np.ndarray], states: np.ndarray, lanes: list[np.ndarray]) -> bytes:
     sizes = [len(d) for d in docs]
     body = b"".join([
-        struct.pack("<II", len(ids), sum(sizes)), np.array(ids, "<i8").tobytes(), np.array(sizes, "<u4").tobytes(),
+        struct.pack("<III", len(ids), sum(sizes), ids.count(None)), np.array([i or 0 for i in ids], "<i8").tobytes(), np.array(sizes, "<u4").tobytes(),
         states.astype("<u8").tobytes(), np.array([len(x) for x in lanes], "<u4").tobytes(), *(x.astype("<u4").tobytes() for x in lanes),
     ])
     return body + struct.pack("<I", zlib.crc32(body))
 
 
-def unpack_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def unpack_block(block: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Document ids, their lengths, states and lane words; a damaged block is an error."""
     body, (crc,) = block[:-4], struct.unpack("<I", block[-4:])
     if zlib.crc32(body) != crc:
         raise ValueError("token block is damaged: its checksum differs")
-    n_docs, _ = struct.unpack_from("<II", body)
-    at = 8
+    n_docs, _, n_null = struct.unpack_from("<III", body)
+    at = 12
     out = []
     for kind, n in (("<i8", n_docs), ("<u4", n_docs), ("<u8", LANES), ("<u4", LANES)):
         out.append(np.frombuffer(body, kind, n, at))
         at += out[-1].nbytes
     words = np.frombuffer(body, "<u4", offset=at)
-    return out[0], out[1].astype(np.int64), out[2], np.split(words, np.cumsum(out[3].astype(np.int64))[:-1])
+    ids = pa.array(out[0], mask=np.arange(n_docs) < n_null)
+    return ids, out[1].astype(np.int64), out[2], np.split(words, np.cumsum(out[3].astype(np.int64))[:-1])
 
 
 def _filesystem(uri: str):
@@ -159,9 +159,10 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], dtype=width).tobytes()
+        encoder = worker_encoder(path)
         for batch in batches:
             for step in steps(batch, "text"):
-                made = encoder(path).encode(rows_of(step.column(1)))
+                made = encoder.encode(rows_of(step.column(1)))
                 ids = [np.frombuffer(m[0], "<u4").astype(width).tobytes() + end for m in made]
                 yield pa.RecordBatch.from_arrays([step.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -205,7 +206,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int, file
         name = f"part-{part:06d}.rans"
         system, at = _filesystem(folder)
         whole, rows, offset = f"{at}/.{name}.{uuid.uuid4().hex}", [], len(MAGIC)
-        pending: list[tuple[list[int], list[np.ndarray]]] = [([], [])]
+        pending: list[tuple[list[int | None], list[np.ndarray]]] = [([], [])]
         with system.open_output_stream(whole) as out:
             out.write(MAGIC)
 
@@ -225,7 +226,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int, file
             filled = 0
             for batch in batches:
                 for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    pending[-1][0].append(NO_ID if doc_id is None else doc_id)
+                    pending[-1][0].append(doc_id)
                     pending[-1][1].append(np.frombuffer(ids, width).astype(np.int64))
                     filled += len(pending[-1][1][-1])
                     if filled >= BLOCK_TOKENS:
@@ -275,11 +276,13 @@ def read_token_files(blocks: DataFrame, table: Table, folder: str) -> DataFrame:
                     ends = np.cumsum(sizes)
                     raw = tokens.astype("<u4").tobytes()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, mask=ids == NO_ID), pa.array(row["start"] + ends - sizes), pa.array([raw[4 * (e - n) : 4 * e] for e, n in zip(ends, sizes)], pa.binary())],
+                        [ids, pa.array(row["start"] + ends - sizes), pa.array([raw[4 * (e - n) : 4 * e] for e, n in zip(ends, sizes)], pa.binary())],
                         names=["doc_id", "start", "ids"],
                     )
 
-    return placed.mapInArrow(run, "doc_id long, start long, ids binary")
+    # Blocks are spread by a given number, which adaptive execution keeps: their rows are tiny, what they stand for is not.
+    tasks = max(1, -(-blocks.count() // GROUP))
+    return placed.repartition(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, "doc_id long, start long, ids binary")
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:

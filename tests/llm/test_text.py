@@ -68,17 +68,19 @@ def test_token_files(spark, docs, rows, none, tmp_path, monkeypatch):
     assert [r.start for r in got] == (np.cumsum([len(i) // 4 for _, i in want]) - [len(i) // 4 for _, i in want]).tolist()
     assert len(list((tmp_path / "tokens").glob("part-*.rans"))) > 1
     assert token_files.round_trip(none, PATH).count() == 0
-    null = spark.createDataFrame([(None, "b"), (1, None)], "doc_id long, text string")
-    assert sorted((r.doc_id or 0, len(r.ids)) for r in token_files.round_trip(null, PATH).collect()) == [(0, 8), (1, 4)]
+    least = -(1 << 63)
+    null = spark.createDataFrame([(None, "b"), (1, None), (least, "b")], "doc_id long, text string")
+    got = [(r.doc_id, len(r.ids)) for r in token_files.round_trip(null, PATH).orderBy("start").collect()]
+    assert got == [(None, 8), (least, 8), (1, 4)]
 
 
 def test_damaged_block():
     table = token_files.Table(np.array([5, 0, 3, 1]))
     tokens = np.array([0, 2, 3, 0, 0, 2, 0])
     states, lanes = token_files.encode_blocks(table, [tokens, tokens[:0]])
-    block = token_files.pack_block([4, 5], [tokens[:3], tokens[3:]], states[0], lanes[: token_files.LANES])
+    block = token_files.pack_block([None, 5], [tokens[:3], tokens[3:]], states[0], lanes[: token_files.LANES])
     ids, sizes, state, words = token_files.unpack_block(block)
-    assert ids.tolist() == [4, 5] and sizes.tolist() == [3, 4]
+    assert ids.to_pylist() == [None, 5] and sizes.tolist() == [3, 4]
     assert token_files.decode_blocks(table, np.array([7]), state[None], words)[0].tolist() == tokens.tolist()
     for at in (0, 30, len(block) - 1):
         with pytest.raises(ValueError, match="damaged"):
@@ -262,6 +264,7 @@ def test_license_scan(spark, docs, rows, none):
         words = ALNUM.findall((texts[r.doc_id] or "").translate(LOW))
         places = [(j, label) for p, label in BASE.items() for j in range(len(words)) if words[j : j + len(p.split())] == p.split()]
         at = [j for j, _ in places]
+        assert r.n_words == len(words)
         assert (r.n_base, r.first_word, r.last_word) == (len(at), min(at, default=None), max(at, default=None))
         assert r.base_labels == ",".join(sorted({label for _, label in places}))
         assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) or not r.base_labels
