@@ -36,7 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the ids of every text and the text that they decode to."""
-    return encode(docs, tokenizer_path())
+    return encode(docs, tokenizer_path(), keep_words=False)
 
 
 STAGES = [

@@ -31,14 +31,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept by the worker, grown by doubling."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept by the worker for a step of usual size, grown by doubling."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(STEP_BYTES + 1, 1 << (n - 1).bit_length())
-        have = np.ones(size, dtype=np.uint64)
+        have = np.ones(max(1 << 12, 1 << (n - 1).bit_length()) if n <= 2 * STEP_BYTES else n, dtype=np.uint64)
         have[1:] = np.uint64(base)
         np.multiply.accumulate(have, out=have)
-        _powers[base] = have
+        if n <= 2 * STEP_BYTES:
+            _powers[base] = have
     return have[:n]
 
 
