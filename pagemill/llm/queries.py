@@ -125,7 +125,9 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two vocabularies meet in every document, and how common its pairs of ids are."""
-    return alignment(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_LEVEL), tokenizer_path(PIECES))
+    import public_tokenizers
+
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_LEVEL), tokenizer_path(PIECES), public_tokenizers.PATTERN)
 
 
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

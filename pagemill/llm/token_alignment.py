@@ -14,6 +14,8 @@ own, and a task does each unit it meets once. A text with a unit that doesn't co
 from __future__ import annotations
 
 import hashlib
+import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,7 +48,7 @@ def byte_of_character() -> dict[str, int]:
 class Tokenizers:
     """Both tokenizers, and the bytes that each of their ids stands for."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, pattern: str | None = None):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -65,16 +67,46 @@ class Tokenizers:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-
-    def encode(self, spaced: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
+        every = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.written, self.written_bar, self.written_semicolon, self.written_bare = (np.array([f"{i}{sign}" for i in every], dtype=object) for sign in (",", "|", ";", ""))
+
+        self.ranks = self._as_ranks(json.loads(self.a.to_str())["model"], pattern)
+
+    def _as_ranks(self, model: dict, pattern: str | None):
+        """The first tokenizer's merges as ranks, where ids ascend in the order of the merges; encodes long
+        ASCII several times faster. Other text stays with its own library, whose character classes may be of another Unicode version."""
+        merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", [])]
+        order = [model["vocab"][m] for m in merged]
+        if pattern is None or order != sorted(set(order)) or len(order) + 256 + len(self.a.get_added_tokens_decoder()) != len(self.bytes_a):
+            return None
+        import tiktoken
+
+        special = set(self.a.get_added_tokens_decoder())
+        ranks = {raw: i for i, raw in enumerate(self.bytes_a) if i not in special}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def first(self, spaced: list[str]) -> list[bytes]:
+        """The first tokenizer's ids, packed. ASCII units are strung together and cut apart at their bytes, which only works
+        where none ends in white space."""
+        joined = [self.ranks is not None and s.isascii() and not s[-1:].isspace() for s in spaced]
+        own = [s for s, j in zip(spaced, joined) if j]
+        flat = np.array(self.ranks.encode_ordinary("".join(own)) if own else [], dtype="<i4")
+        ends = np.searchsorted(np.cumsum(self.sizes_a[flat]), np.cumsum([len(s) for s in own])) + 1
+        raw, starts = flat.tobytes(), [0, *ends[:-1].tolist()]
+        cut = iter([raw[4 * a : 4 * b] for a, b in zip(starts, ends.tolist())])
+        made = self.a.encode_batch_fast([s for s, j in zip(spaced, joined) if not j], add_special_tokens=False)
+        other = iter([struct.pack(f"<{len(one.ids)}i", *one.ids) for one in made])
+        return [next(cut) if j else next(other) for j in joined]
+
+    def encode(self, spaced: list[str]) -> Iterator[tuple[bytes, list[int]]]:
         """Ids of both of texts with a space before them, which the second tokenizer adds by itself."""
-        made = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        return zip((one.ids for one in made), self.b.encode([s[1:] for s in spaced], num_threads=1))
+        return zip(self.first(spaced), self.b.encode([s[1:] for s in spaced], num_threads=1))
 
 
 @lru_cache(maxsize=1)
-def tokenizers(path_a: str, path_b: str) -> Tokenizers:
-    return Tokenizers(path_a, path_b)
+def tokenizers(path_a: str, path_b: str, pattern: str | None = None) -> Tokenizers:
+    return Tokenizers(path_a, path_b, pattern)
 
 
 def units(text: str) -> list[str]:
@@ -91,40 +123,24 @@ def units(text: str) -> list[str]:
     return out
 
 
-def align(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> tuple[list[str], list[tuple[int, int]]]:
-    """The groups between places where tokens of both end, as written, and all overlapping pairs in order."""
-    groups, links = [], []
-    i = j = end_a = end_b = first_a = first_b = 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        stop_a, stop_b = end_a + len(bytes_a[a[i]]), end_b + len(bytes_b[b[j]])
-        if stop_a <= stop_b:
-            i, end_a = i + 1, stop_a
-        if stop_b <= stop_a:
-            j, end_b = j + 1, stop_b
-        if stop_a == stop_b:
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            first_a, first_b = i, j
-    return groups, links
-
-
 class Aligner:
-    """Aligns texts unit by unit; each unit it meets is done once."""
+    """Tokenises texts unit by unit, each unit it meets once, and aligns the texts of a step together."""
 
-    def __init__(self, path_a: str, path_b: str, keep: int = KEPT_BYTES):
-        self.of, self.keep = tokenizers(path_a, path_b), keep
+    def __init__(self, path_a: str, path_b: str, pattern: str | None = None, keep: int = KEPT_BYTES):
+        self.of, self.keep = tokenizers(path_a, path_b, pattern), keep
         self.width = self.of.b.get_piece_size()
-        self.known: dict[str, tuple[int, int, int, int, str, bytes] | None] = {}
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
         self.held = 0
 
-    def _one(self, spaced: str, a: list[int], b: list[int]) -> tuple[int, int, int, int, str, bytes] | None:
-        """Sizes, groups and pair keys; None where the tokens don't join to the text."""
+    def _checked(self, spaced: str, a: bytes, b: list[int]) -> tuple[bytes, bytes] | None:
+        """Both id lists, packed; None where the tokens don't join to the text. ASCII always comes back from byte-level
+        tokens, so there only the second list is looked at."""
         of, raw = self.of, spaced.encode()
-        if b"".join([of.bytes_a[i] for i in a]) != raw or b"".join([of.bytes_b[i] for i in b]) != raw:
+        if b"".join([of.bytes_b[i] for i in b]) != raw:
+            return None
+        if len(raw) != len(spaced) and b"".join([of.bytes_a[i] for i in memoryview(a).cast("i")]) != raw:
             return None
-        groups, links = align(a, b, of.bytes_a, of.bytes_b)
-        keys = np.array([x * self.width + y for x, y in links], dtype=np.int64).tobytes()
-        return len(a), len(b), len(groups), len(links), ";".join(groups), keys
+        return a, struct.pack(f"<{len(b)}i", *b)
 
     def learn(self, new: set[str]) -> None:
         if self.held > self.keep:
@@ -134,24 +150,70 @@ class Aligner:
         for low in range(0, len(todo), 10_000):
             part = todo[low : low + 10_000]
             for unit, (a, b) in zip(part, self.of.encode(part)):
-                made = self.known[unit] = self._one(unit, a, b)
-                self.held += 300 + 2 * len(unit) + (len(made[4]) + len(made[5]) if made else 0)
+                self.known[unit] = self._checked(unit, a, b)
+                self.held += 300 + 2 * len(unit) + len(a) + 4 * len(b)
 
-    def measure(self, texts: list[str]) -> Iterator[tuple[tuple[int, ...], bytes, np.ndarray, np.ndarray]]:
-        """For each text its COUNTS, the digest of its groups (empty without tokens), and its pairs with their links."""
+    def ids(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Both id lists of each text; None where it has no tokens."""
         cut = [units(t) if t else [] for t in texts]
         self.learn(set().union(*cut))
-        none = np.zeros(0, np.int64)
+        out: list[tuple[bytes, bytes] | None] = []
         for text, own in zip(texts, cut):
             parts = [self.known[u] for u in own]
             if None in parts:
-                parts = [self._one(f" {text}", *next(iter(self.of.encode([f" {text}"]))))]
-            if not parts or None in parts:
-                yield (0, 0, 0, 0), b"", none, none
-                continue
-            counts = tuple(sum(p[i] for p in parts) for i in range(4))
-            digest = hashlib.sha256(";".join([p[4] for p in parts]).encode()).digest()
-            yield counts, digest, *np.unique(np.frombuffer(b"".join([p[5] for p in parts]), np.int64), return_counts=True)
+                parts = [self._checked(f" {text}", *next(iter(self.of.encode([f" {text}"]))))]
+            out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])) if parts and None not in parts else None)
+        return out
+
+    def measure(self, texts: list[str]) -> Iterator[tuple[tuple[int, ...], bytes, np.ndarray, np.ndarray]]:
+        """For each text its COUNTS, the digest of its groups (empty without tokens), and its pairs with their links."""
+        found = self.ids(texts)
+        with_tokens = [f for f in found if f is not None]
+        aligned = iter(aligned_texts(with_tokens, self.of, self.width))
+        none = np.zeros(0, np.int64)
+        for f in found:
+            yield ((0, 0, 0, 0), b"", none, none) if f is None else next(aligned)
+
+
+def aligned_texts(texts: list[tuple[bytes, bytes]], of: Tokenizers, width: int) -> Iterator[tuple[tuple[int, ...], bytes, np.ndarray, np.ndarray]]:
+    """Texts by their ids, aligned at once: the ends of both sides' tokens cut the bytes into segments, each within one
+    token of either side. So there is a link for each segment, and a group ends where a token of both does."""
+    if not texts:
+        return
+    a, b = (np.frombuffer(b"".join([t[i] for t in texts]), "<i4") for i in (0, 1))
+    last_a, last_b = (np.cumsum([len(t[i]) // 4 for t in texts]) for i in (0, 1))
+    end_a, end_b = np.cumsum(of.sizes_a[a]), np.cumsum(of.sizes_b[b])
+    both = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+    shared = both[1:] == both[:-1]
+    cuts, ends = both[np.append(True, ~shared)], both[1:][shared]
+    keys = a[np.searchsorted(end_a, cuts)].astype(np.int64) * width + b[np.searchsorted(end_b, cuts)]
+    # Where each text stops among segments and groups; a text's end is the end of a group.
+    stop = end_a[last_a - 1]
+    last_cut, last_group = np.searchsorted(cuts, stop) + 1, np.searchsorted(ends, stop) + 1
+    shown = _groups_text(a, b, end_a, end_b, ends, stop, of)
+    pieces = last_a + last_b
+    first_a = first_b = first_cut = first_group = first_piece = 0
+    for i in range(len(texts)):
+        counts = (int(last_a[i] - first_a), int(last_b[i] - first_b), int(last_group[i] - first_group), int(last_cut[i] - first_cut))
+        digest = hashlib.sha256("".join(shown[first_piece : pieces[i]]).encode()).digest()
+        yield counts, digest, *np.unique(keys[first_cut : last_cut[i]], return_counts=True)
+        first_a, first_b, first_cut, first_group, first_piece = last_a[i], last_b[i], last_cut[i], last_group[i], pieces[i]
+
+
+def _groups_text(a, b, end_a, end_b, ends, stop, of: Tokenizers) -> list[str]:
+    """Every token as written among its group: all ids of one side, then all of the other, with the sign that follows."""
+    group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+    in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+    out = np.empty(len(a) + len(b), dtype=object)
+    at_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
+    at_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
+    out[at_a], out[at_b] = of.written[a], of.written[b]
+    closes_a, closes_b = end_a == ends[group_a], end_b == ends[group_b]
+    out[at_a[closes_a]] = of.written_bar[a[closes_a]]
+    out[at_b[closes_b]] = of.written_semicolon[b[closes_b]]
+    last = np.flatnonzero(np.isin(end_b, stop, assume_unique=True))
+    out[at_b[last]] = of.written_bare[b[last]]
+    return out.tolist()
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -164,12 +226,12 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _blocks(texts: DataFrame, path_a: str, path_b: str, block_pairs: int) -> DataFrame:
+def _blocks(texts: DataFrame, path_a: str, path_b: str, pattern: str | None, block_pairs: int) -> DataFrame:
     """Texts (text, digest, n) as blocks: their measures, their pairs as places in ``need``, and for each pair of
     ``need`` how many documents of the block hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, part, made = Aligner(path_a, path_b), TaskContext.get().partitionId(), 0
+        aligner, part, made = Aligner(path_a, path_b, pattern), TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
         def block() -> pa.RecordBatch:
@@ -208,10 +270,11 @@ def _blocks(texts: DataFrame, path_a: str, path_b: str, block_pairs: int) -> Dat
     return stored(texts.select("text", "digest", "n").mapInArrow(run, f"block long, {binary}need array<long>, weight array<long>"))
 
 
-def alignment(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+def alignment(docs: DataFrame, path_a: str, path_b: str, pattern: str | None = None, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """One row per row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256.
 
-    A space and the text are encoded by both tokenizers without special tokens. Places where tokens of both end cut them
+    A space and the text are encoded by both tokenizers without special tokens; ``pattern`` is the first one's splitting
+    pattern, with which ASCII is encoded by its merges as ranks (without it by its own library, with the same ids). Places where tokens of both end cut them
     into groups; links are the pairs of tokens whose bytes overlap. The count of an id pair is the number of rows that hold
     it; count_sum adds it over a row's links, n_best counts links of which it is the highest of the first id (ties
     included). Texts that are null, empty or don't come back as their bytes have no tokens: zeros and an empty
@@ -221,7 +284,7 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = BLOC
     bound_batches(docs.sparkSession)
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
     texts = docs.where("text <> ''").groupBy("text").agg(F.count("*").alias("n")).select("text", digest, "n")
-    blocks = _blocks(texts, path_a, path_b, block_pairs)
+    blocks = _blocks(texts, path_a, path_b, pattern, block_pairs)
     width = tokenizers(path_a, path_b).b.get_piece_size()
 
     asked = blocks.select(F.col("block").alias("asker"), F.explode(F.arrays_zip("need", "weight")).alias("of")).select("asker", F.col("of.need").alias("pair"), F.col("of.weight").alias("weight"))

@@ -95,7 +95,7 @@ def brute_alignment(rows):
 
 @pytest.mark.parametrize("block_pairs", [2_000, token_alignment.BLOCK_PAIRS])
 def test_alignment_equals_brute_force(hostile, block_pairs):
-    got = token_alignment.alignment(hostile, A, B, block_pairs)
+    got = token_alignment.alignment(hostile, A, B, public_tokenizers.PATTERN, block_pairs)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     want = brute_alignment([(r.doc_id, r.text) for r in hostile.collect()])
     assert sorted(map(tuple, got.collect()), key=repr) == want
@@ -103,7 +103,8 @@ def test_alignment_equals_brute_force(hostile, block_pairs):
 
 
 def test_alignment_of_units_equals_that_of_whole_texts():
-    aligner = token_alignment.Aligner(A, B, keep=10_000)
+    aligner = token_alignment.Aligner(A, B, public_tokenizers.PATTERN, keep=10_000)
+    assert aligner.of.ranks is not None
     for text in strange(1, 3_000):
         counts, digest, pairs, links = next(aligner.measure([text]))
         want = brute_tokens(text)
@@ -115,6 +116,17 @@ def test_alignment_of_units_equals_that_of_whole_texts():
             assert dict(zip(pairs.tolist(), links.tolist())) == Counter(a * aligner.width + b for a, b in want[3])
 
 
+def test_ranks_encode_ascii_as_the_library_does():
+    of, r = token_alignment.tokenizers(A, B, public_tokenizers.PATTERN), random.Random(8)
+    every = [chr(c) for c in range(128)] + ["the", "ing", "'s", "'ll", "  ", "<|endoftext|>", "0x"]
+    texts = ["".join(r.choice(every) for _ in range(r.randint(0, 25))) for _ in range(8_000)]
+    texts += [f" {t}" for t in texts] + list(strange(9, 3_000))
+    want = [e.ids for e in of.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [of.ranks.encode_ordinary(t) for t in texts if t.isascii()] == [w for t, w in zip(texts, want) if t.isascii()]
+    spaced = [(u, w) for t in texts for u in token_alignment.units(t) for w in [of.a.encode(u, add_special_tokens=False).ids]]
+    assert [memoryview(x).cast("i").tolist() for x in of.first([u for u, _ in spaced])] == [w for _, w in spaced]
+
+
 def test_alignment_empty_table(none):
     assert token_alignment.alignment(none, A, B).count() == 0
 
