@@ -236,3 +236,65 @@ def merged_fields(spark, sf_dir):
         F.col("o_custkey").alias("doc_id"), "o_orderkey", F.create_map("o_orderstatus", "o_orderpriority").alias("values")
     )
     return E.merge_fields(rows, "o_orderkey")
+
+
+@query(
+    """SELECT doc_id, text IN (SELECT text FROM documents WHERE doc_id % 2 = 0) AS reused, 'success' AS status,
+         CAST(length('Field group: summaries' || chr(10) || 'Source fields:' || chr(10) || '  plain_text: ' || text || chr(10) || '  title: t' || chr(10) || chr(10)
+           || 'Return a JSON object with the enriched fields based on the source data above.') AS VARCHAR) AS summary FROM documents"""
+)
+def enrich_cached(spark, sf_dir):
+    """Two batches over one cache: the second asks the model only for texts that the first one hasn't answered."""
+    import uuid
+
+    from pagemill.plans.enrich import enrich_cached as run
+    from pagemill.session import shared_folder
+
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.create_map(F.lit("plain_text"), F.col("text"), F.lit("title"), F.lit("t")).alias("fields"), F.array(F.lit("summaries")).alias("field_groups")
+    )
+    folder, registry = f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}", E.builtin_groups(spark)
+    answer = lambda prompts: prompts.map(lambda p: '{"summary": "%d"}' % len(p))
+    run(docs.where("doc_id % 2 = 0"), registry, folder, "1", answer)
+    second = run(docs, registry, folder, "2", answer)
+    return second.select("doc_id", "reused", "status", F.element_at(F.map_values("values"), 1).alias("summary"))
+
+
+@query(
+    """WITH d AS (SELECT doc_id, n_chars, sum(n_chars) OVER w AS before, count(*) OVER w AS c FROM documents WHERE doc_id % 3 <> 1 WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+         broken AS (SELECT min(doc_id) AS first FROM d WHERE c > 0 AND before + greatest(1, before // c) > (SELECT sum(n_chars) // 4 FROM documents))
+       SELECT doc_id, g AS field_group, CASE WHEN doc_id >= coalesce((SELECT first FROM broken), 9223372036854775807) THEN 'skipped' WHEN g = 'code' THEN 'success' ELSE 'pending_agent' END AS status,
+         CASE WHEN doc_id >= coalesce((SELECT first FROM broken), 9223372036854775807) THEN 'token budget exceeded' END AS error
+       FROM d, (VALUES ('code'), ('summaries')) v(g) WHERE g = 'code' OR doc_id < coalesce((SELECT first FROM broken), 9223372036854775807)"""
+)
+def enrich_budget(spark, sf_dir):
+    """Enrichment under a token budget: documents beyond it get one skipped result, for the first group they asked for."""
+    from pagemill.plans.enrich import enrich_within_budget
+
+    docs = table(spark, sf_dir, "documents")
+    budget = docs.agg(F.expr("sum(n_chars) div 4")).first()[0]
+    asked = docs.where("doc_id % 3 <> 1").select(
+        "doc_id", "n_chars", F.create_map(F.lit("plain_text"), F.col("text"), F.lit("language"), F.coalesce("lang", F.lit("x"))).alias("fields"),
+        F.array(F.lit("code"), F.lit("summaries")).alias("field_groups"),
+    )
+    return enrich_within_budget(asked, E.builtin_groups(spark), ["doc_id"], "n_chars", budget).select("doc_id", "field_group", "status", "error")
+
+
+@query(
+    """SELECT doc_id, 'summaries' AS field_group, 'Sum up ' || source || ':' || chr(10) || '* plain_text = ' || text || chr(10) || '* title = ' || source || chr(10) || '* headline = CHIEF_' || source AS head, NULL AS evidence FROM documents
+       UNION ALL SELECT doc_id, 'code', NULL, 'passthrough|source_field:language' FROM documents
+       UNION ALL SELECT doc_id, 'standardized_job_title', NULL, 'lookup|lookup:Chief ' || source FROM documents"""
+)
+def group_templates(spark, sf_dir):
+    """Field groups with a prompt template of their own, given as data, and the evidence of those answered without a model."""
+    fields = F.create_map(F.lit("plain_text"), F.col("text"), F.lit("title"), F.col("source"), F.lit("language"), F.lit("x"), F.lit("headline"), F.concat(F.lit("CHIEF_"), F.col("source")))
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select("doc_id", fields.alias("fields"), F.array(*[F.lit(g) for g in ("summaries", "code", "standardized_job_title")]).alias("field_groups"))
+    template = "Sum up {{ source_fields.get('title') }}:\n{% for k, v in source_fields.items() %}* {{ k }} = {{ v }}\n{% endfor %}"
+    titles = docs.select("source").distinct().select(
+        F.concat(F.lit("Chief "), F.col("source")).alias("key"), F.xxhash64("source").alias("ord"), F.create_map(F.lit("value"), F.col("source")).alias("values")
+    )
+    out = E.run_groups(asked, E.with_templates(E.builtin_groups(spark), {"summaries": template}), titles)
+    return out.select("doc_id", "field_group", F.col("agent_prompt").alias("head"), F.concat_ws("|", "source_type", F.array_join("evidence", ",")).alias("e")).select(
+        "doc_id", "field_group", "head", F.when(F.col("e") != "", F.col("e")).alias("evidence")
+    )

@@ -160,3 +160,35 @@ def budget_gate(spark, sf_dir):
         "doc_id", T.token_estimate(F.col("text")).alias("used")
     )
     return R.budget_gate(docs, ["doc_id"], "used", BUDGET).select("doc_id", "admitted")
+
+
+@query(
+    """WITH e AS (SELECT event_id, event_id % 7 AS k, [429, 401, 403, 404, 500 + event_id % 100, 418, 200][event_id % 7 + 1] AS status,
+           CASE WHEN event_id % 3 = 0 THEN 'http_status' WHEN event_id % 11 = 1 THEN 'timeout' WHEN event_id % 11 = 2 THEN 'connect' WHEN event_id % 11 = 3 THEN 'ValueError' END AS exc, event_type AS detail FROM events),
+         c AS (SELECT *, CASE WHEN exc = 'http_status' AND status = 429 THEN 'RATE_LIMITED' WHEN exc = 'http_status' AND status IN (401, 403) THEN 'AUTH_EXPIRED' WHEN exc = 'http_status' AND status = 404 THEN 'PAGE_NOT_FOUND'
+           WHEN exc = 'http_status' AND status BETWEEN 500 AND 599 THEN 'SERVER_ERROR' WHEN exc IN ('timeout', 'connect') THEN 'NETWORK_ERROR' WHEN exc IS NOT NULL THEN 'UNKNOWN_ERROR'
+           WHEN event_id % 2 = 0 THEN 'CONTENT_EMPTY' END AS code FROM e)
+       SELECT event_id, code AS error_code, CASE code WHEN 'AUTH_EXPIRED' THEN 'Auth failed (' || status || ')' WHEN 'SERVER_ERROR' THEN 'Server error (' || status || ')' WHEN 'RATE_LIMITED' THEN 'Rate limit hit'
+           WHEN 'PAGE_NOT_FOUND' THEN 'Page not found' WHEN 'NETWORK_ERROR' THEN CASE exc WHEN 'timeout' THEN 'Request timed out' ELSE 'Connection failed' END
+           WHEN 'UNKNOWN_ERROR' THEN detail WHEN 'CONTENT_EMPTY' THEN 'Page body is empty or too short' END AS message,
+         CASE WHEN event_id % 13 = 0 THEN 'CAPTCHA: ' || detail WHEN event_id % 2 = 0 AND exc = 'http_status' AND status IN (401, 403) THEN 'AUTH_EXPIRED: ' || detail END AS sign_in,
+         ['WIKIPEDIA_FETCH_FAILED', 'AMAZON_FETCH_FAILED', 'GENERIC_FETCH_FAILED'][event_id % 3 + 1] || '/' || coalesce(exc, 'none') || '/' || detail AS normalised FROM c"""
+)
+def normalised_errors(spark, sf_dir):
+    """Failures by one ordered list of rules over what was thrown, status, page and session; and in their platform's terms."""
+    from pagemill.functions import errors as R
+
+    key = F.col("event_id")
+    pick = lambda values, n: F.element_at(F.array(*[v if not isinstance(v, (str, int)) else F.lit(v) for v in values]), (key % n + 1).cast("int"))
+    thrown = F.when(key % 3 == 0, "http_status").when(key % 11 == 1, "timeout").when(key % 11 == 2, "connect").when(key % 11 == 3, "ValueError")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", thrown.alias("exc"), pick([429, 401, 403, 404, (key % 100 + 500).cast("int"), 418, 200], 7).cast("int").alias("status"), F.col("event_type").alias("detail"),
+        F.when(key % 2 == 0, F.lit("")).otherwise(F.repeat(F.lit("fine page "), 30)).alias("html"), pick(["wikipedia", "amazon", "else"], 3).alias("platform"),
+    )
+    own = F.struct(*[F.lit(v).cast(t).alias(n) for n, v, t in (("error_code", "CAPTCHA", "string"), ("agent_hint", "x", "string"), ("message", "m", "string"), ("retryable", False, "boolean"), ("status_code", None, "int"))])
+    rows = rows.select(
+        "*", R.classify(F.col("exc"), F.col("status"), F.col("detail"), F.col("html"), F.lit("http://x")).alias("e"),
+        R.auth_failure(F.when(key % 13 == 0, "CAPTCHA"), own, F.col("exc"), F.col("status"), key % 2 == 0, F.col("detail")).alias("s"),
+        R.normalised_error(F.col("platform"), F.lit("page"), F.lit("fetch"), F.coalesce("exc", F.lit("none")), F.col("detail")).alias("n"),
+    )
+    return rows.select("event_id", "e.error_code", "e.message", F.when(F.col("s").isNotNull(), F.concat_ws(": ", "s.error_code", "s.message")).alias("sign_in"), F.concat_ws("/", "n.normalized_code", "n.error_type", "n.message").alias("normalised"))

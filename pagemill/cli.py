@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from pagemill.operators import enrich as E
 from pagemill.operators import export as X
 from pagemill.operators.alias import candidates
 from pagemill.operators.frontier import MAX_DEPTH, crawl
+from pagemill.operators.traverse import traverse
+from pagemill.plans.batch import joined_with_pages
 from pagemill.plans.crawl import crawl_records
 from pagemill.plans.enrich import enrich_records, fill
 from pagemill.session import build_session
@@ -24,7 +28,8 @@ def parser() -> argparse.ArgumentParser:
         sub = commands.add_parser(name)
         sub.add_argument("--input", required=True)
         sub.add_argument("--output", required=True)
-        sub.add_argument("--pages", help="table of fetched pages (parquet)")
+        sub.add_argument("--pages", help="table of fetched pages (parquet); the input is then records (JSON lines)")
+        sub.add_argument("--css-schema", help="fields by CSS selector (JSON)")
         sub.add_argument("--done", help="addresses completed before (parquet)")
         sub.add_argument("--registry", help="field-group registry (JSON lines)")
         sub.add_argument("--dictionary", help="title dictionary (JSON lines)")
@@ -44,7 +49,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     if args.command in ("crawl", "run"):
         done = spark.read.parquet(args.done) if args.done else None
-        results = crawl_records(spark.read.parquet(args.pages or args.input), done).persist()
+        schema = json.loads(Path(args.css_schema).read_text()) if args.css_schema else None
+        if args.pages:
+            found, errors = joined_with_pages(S.read_records(spark, args.input), spark.read.parquet(args.pages), done)
+            results = crawl_records(found, css_schema=schema).unionByName(errors, allowMissingColumns=True)
+        else:
+            results = crawl_records(spark.read.parquet(args.input), done, css_schema=schema)
+        results = results.persist()
         write_run(results, args.output)
         failures = results.filter(F.col("status") == "failed").count()
         if args.command == "run":
@@ -63,7 +74,12 @@ def main(argv: list[str] | None = None) -> int:
         seeds = given.filter(F.col("error").isNull()).select(
             "platform", "canonical_url", F.col("score").alias("priority"), F.monotonically_increasing_id().alias("ord")
         )
-        records, errors = crawl(seeds, spark.read.parquet(args.pages), args.max_depth, args.max_pages)
+        pages = spark.read.parquet(args.pages)
+        if "platform" in pages.columns and args.max_pages is None:
+            kinds = given.select("platform", "canonical_url", "resource_type").dropDuplicates(["platform", "canonical_url"])
+            records, errors = traverse(seeds.join(kinds, ["platform", "canonical_url"]), pages, args.max_depth)
+        else:
+            records, errors = crawl(seeds, pages, args.max_depth, args.max_pages)
         write_jsonl(records, f"{args.output}/records.jsonl")
         errors = errors.unionByName(refused, allowMissingColumns=True)
         write_jsonl(errors, f"{args.output}/errors.jsonl")

@@ -11,6 +11,7 @@ from pagemill import specs
 from pagemill.functions.arrays import let
 from pagemill.functions.text import strip, unfence
 from pagemill.functions.values import first_text, overlay
+from pagemill.operators.replay import budget_gate
 
 LOOP = re.compile(
     r"\{%\s*for\s+(\w+)\s*,\s*(\w+)\s+in\s+source_fields\.items\(\)\s*%\}(.*?)\{%\s*endfor\s*%\}", re.S
@@ -205,6 +206,62 @@ def _loop(held: Column, key_name: str, value_name: str, body: str) -> Column:
     return F.array_join(F.transform(held, line), "")
 
 
+PART = "struct<kind:string,text:string,key:string,value:string>"
+
+
+def template_parts(template: str) -> list[tuple[str, str, str | None, str | None]]:
+    """A template as rows: fixed text, ``source_fields.get`` references, and loops with their two names and body."""
+    out, at = [], 0
+
+    def plain(text: str) -> None:
+        for i, piece in enumerate(REFERENCE.split(text)):
+            if piece or i % 2:
+                out.append(("field" if i % 2 else "text", piece, None, None))
+
+    for match in LOOP.finditer(template):
+        plain(template[at : match.start()])
+        key, value, body = match.groups()
+        out.append(("loop", body, "{{ " + key + " }}", "{{ " + value + " }}"))
+        at = match.end()
+    plain(template[at:])
+    return out
+
+
+def with_templates(registry: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """A registry whose groups have their own prompt template, as data: ``template`` holds its parts, null without one."""
+    rows = [(group, template_parts(text)) for group, text in templates.items()]
+    made = registry.sparkSession.createDataFrame(rows, f"field_group string, template array<{PART}>")
+    return registry.join(F.broadcast(made), "field_group", "left")
+
+
+def render_parts(parts: Column, held: Column) -> Column:
+    """Prompt from the parts of a template that may differ by row."""
+
+    def shown(part: Column) -> Column:
+        line = lambda e: F.replace(F.replace(part["text"], part["key"], e["key"]), part["value"], e["value"])
+        found = F.try_element_at(F.filter(held, lambda e: e["key"] == part["text"]), F.lit(1))["value"]
+        return (
+            F.when(part["kind"] == "text", part["text"]).when(part["kind"] == "field", F.coalesce(found, F.lit("")))
+            .otherwise(F.array_join(F.transform(held, line), ""))
+        )
+
+    return strip(F.array_join(F.transform(parts, shown), ""))
+
+
+def within_budget(docs: DataFrame, order: list[str], tokens: str, budget: int) -> tuple[DataFrame, DataFrame]:
+    """(documents that still run, results of those that don't) under a token budget, in the order of ``order``.
+
+    The rule looks at keys and counts only, so texts stay where they are; a document beyond the budget gets one ``skipped``
+    result, for the first group it asked for. ``order`` must name one document each, and its columns may not be null.
+    """
+    gate = budget_gate(docs.select(*order, tokens), order, tokens, budget).select(*order, "admitted")
+    marked = docs.join(gate, order)
+    refused = marked.where("not admitted and size(field_groups) > 0").select(
+        "doc_id", F.element_at("field_groups", 1).alias("field_group"), F.lit("skipped").alias("status"), F.lit("token budget exceeded").alias("error")
+    )
+    return marked.where("admitted").drop("admitted"), refused
+
+
 def run_groups(
     docs: DataFrame, registry: DataFrame, dictionary: DataFrame | None = None, vision: bool = False,
     fields: str = "fields", groups: str = "field_groups",
@@ -295,12 +352,18 @@ def run_groups(
         )
     )
     pending = F.col("status") == "pending_agent"
+    found_any = F.col("status").isin("success", "partial")
+    own_prompt = prompt(F.col("field_group"), F.col("held"))
+    if "template" in registry.columns:
+        own_prompt = F.when(F.col("template").isNotNull(), render_parts(F.col("template"), F.col("held"))).otherwise(own_prompt)
     return done.select(
         "doc_id", "field_group", "status", "error",
         F.when(F.col("status").isin("success", "partial"), outputs).alias("values"),
         F.when(F.col("status").isin("success", "partial"), F.when(strategy == "passthrough", F.lit(0.6)).otherwise(F.col("_confidence"))).alias("confidence"),
-        F.when(pending, prompt(F.col("field_group"), F.col("held"))).alias("agent_prompt"),
+        F.when(pending, own_prompt).alias("agent_prompt"),
         F.when(pending, F.col("outputs")).alias("output_fields"),
+        F.when(found_any, F.when(strategy == "passthrough", F.lit("passthrough")).when(F.col("extractor") == "lookup", F.lit("lookup")).otherwise(F.lit("extractive"))).alias("source_type"),
+        F.when(found_any, F.when(strategy == "passthrough", F.array(F.concat(F.lit("source_field:"), F.element_at(passed, 1)))).when(regex, F.col("_patterns.evidence")).otherwise(F.array(F.concat(F.lit("lookup:"), F.col("match_key"))))).alias("evidence"),
     )
 
 

@@ -43,6 +43,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it; a scratch folder in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.getCheckpointDir() is None:
+            cut_lineage(spark.range(1))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a costly per-row step one task per core when the input has fewer files than cores.
 
