@@ -261,3 +261,35 @@ def search_results(spark, sf_dir):
     rows = rows.select("c_custkey", P.search_results(F.col("nodes")).alias("r"))
     shown = F.transform("r", lambda r: F.concat_ws("|", r["canonical_url"], r["entity_type"], r["title"]))
     return rows.select("c_custkey", F.array_join(shown, ";").alias("results"))
+
+
+@query(
+    """WITH RECURSIVE x AS (SELECT doc_id, str_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+         l AS MATERIALIZED (SELECT doc_id, i, 1 + (i * i + doc_id) % 4 AS lv, i || ' ' || md5(a[i + 1]) AS body, len(a) AS n FROM (SELECT doc_id, a, unnest(range(0, len(a))) AS i FROM x)),
+         up AS MATERIALIZED (SELECT a.doc_id, a.i, max(b.i) FILTER (b.i < a.i AND b.lv < a.lv) AS parent, coalesce(min(b.i) FILTER (b.i > a.i AND b.lv <= a.lv), any_value(a.n)) AS stop
+           FROM l a JOIN l b USING (doc_id) GROUP BY a.doc_id, a.i),
+         path(doc_id, i, spot, names) AS (SELECT doc_id, i, i, 'S ' || i FROM up
+           UNION ALL SELECT path.doc_id, path.i, up.parent, 'S ' || up.parent || ' > ' || names FROM path JOIN up ON up.doc_id = path.doc_id AND up.i = path.spot WHERE up.parent IS NOT NULL),
+         whole AS (SELECT doc_id, i, arg_min(names, spot) AS section_path FROM path GROUP BY doc_id, i),
+         texts AS (SELECT up.doc_id, up.i, string_agg(CASE WHEN l.i = up.i THEN body ELSE 'S ' || l.i || chr(10) || body END, chr(10) ORDER BY l.i) AS text FROM up JOIN l ON l.doc_id = up.doc_id AND l.i >= up.i AND l.i < up.stop GROUP BY up.doc_id, up.i),
+         starts AS (SELECT doc_id, i, lv, coalesce(sum(length('S ' || i || ' ' || body) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS begin_at FROM l)
+       SELECT doc_id, CAST(i AS INT) AS nth, 'S ' || i AS heading, CAST(lv AS INT) AS heading_level, section_path, md5(text) AS digest, begin_at AS char_offset_start,
+         CAST(begin_at + length('S ' || i) + length(text) AS INT) AS char_offset_end FROM whole JOIN texts USING (doc_id, i) JOIN starts USING (doc_id, i)"""
+)
+def nested_sections(spark, sf_dir):
+    """Every line of a document under a heading of its own, one to four levels deep: whole section texts, paths and offsets."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    number = lambda i: i.cast("string")
+
+    def part(line, i):
+        level = number((i * i + F.col("doc_id")) % 4 + 1)
+        return F.concat(F.lit("<h"), level, F.lit(">S "), number(i), F.lit("</h"), level, F.lit("><p>"), number(i), F.lit(" "), F.md5(line.cast("binary")), F.lit("</p>"))
+
+    html = F.concat(F.lit("<html><body><article>"), F.array_join(F.transform(lines, part), ""), F.lit("</article></body></html>"))
+    pages = spread(table(spark, sf_dir, "documents")).select("doc_id", F.concat(F.lit("http://s.example.com/"), F.col("doc_id").cast("string")).alias("url"), html.alias("html"))
+    found = K.extract_pages(pages.withColumnRenamed("doc_id", "number"), reduce=False).select("number", "sections")
+    rows = explode_once(found, "sections", "nth", "s")
+    return rows.select(
+        F.col("number").alias("doc_id"), "nth", F.col("s.heading_text").alias("heading"), "s.heading_level", F.array_join("s.section_path", " > ").alias("section_path"),
+        F.md5(F.col("s.text").cast("binary")).alias("digest"), "s.char_offset_start", "s.char_offset_end",
+    )

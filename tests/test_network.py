@@ -179,3 +179,23 @@ def test_expansion_follows_five_searches(spark):
     got = sorted((r.place, r.url, r.bucket) for r in urls.collect())
     assert [u for _, u, b in got if b == "company"] == [f"https://www.linkedin.com/company/c{i}/" for i in range(5)]
     assert [b for _, _, b in got].count("job") == 7 and got[0][1] == found[0]
+
+
+def test_lengths_of_subtrees_are_differences(spark):
+    r = random.Random(9)
+
+    def markup(depth):
+        inner = "".join(markup(depth + 1) if depth < 6 and r.random() < 0.6 else f" text {r.randint(0, 9)}  " for _ in range(r.randint(1, 4)))
+        tag = r.choice(["div", "p", "section", "nav", "span", "script"])
+        return f"<{tag} id=n{depth}>{inner}</{tag}>"
+
+    for html in ["".join(markup(0) for _ in range(8)), "", "<div>a", "<nav><div>x</div></nav><div>y</div>"]:
+        rows = H.shred_one(html, "")
+        for pre, stop, *_, dropped, size, text_sum, size_sum in rows:
+            inside = rows[pre + 1 : stop]
+            assert rows[stop - 1][11] - text_sum == sum(len(x[5].strip()) for x in inside if x[5] is not None and not x[9])
+            if not dropped:
+                assert rows[stop - 1][12] - size_sum + size == sum(x[10] for x in rows[pre:stop] if not x[9])
+    deep = "<div>" * 3_000 + "word " * 40 + "</div>" * 3_000
+    nodes = spark.createDataFrame([(deep,)], "h string").select(H.shred("h", F.lit("")).alias("n"))
+    assert nodes.select(H.main_span(F.col("n")).alias("s")).first().s.selector == "density_analysis"
