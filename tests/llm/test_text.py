@@ -1,6 +1,7 @@
 """Tokens, language ID, perplexity, decontamination, licenses and quotes against brute force."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -12,7 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from pagemill.llm import bpe, token_files
+from pagemill.llm import bpe, language_id, token_files
 from pagemill.llm.decontamination import contamination, drop_contaminated, item_windows, search, build_index
 from pagemill.llm.language_id import codewords, held_out, identify, train
 from pagemill.llm.license_scan import BASE, scan
@@ -110,6 +111,50 @@ def test_language_id(spark, sf_dir, docs, none):
     assert {r.lang_pred for r in untrained} == {"und"}
 
 
+def test_language_id_equals_direct_counting(spark):
+    """Margins, losses and choices once more, trigram by trigram."""
+    r = random.Random(11)
+    alphabets = {"aa": "abcde ", "bb": "defgh ", "cc": "ghijé "}
+    rows = [(i, "".join(r.choice(alphabets[lang]) for _ in range(r.randint(0, 60))), lang) for i in range(60) for lang in alphabets]
+    rows += [(1000, None, "aa"), (None, "abc", None), (1001, "12 !", "bb"), (1002, "Ab ab", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    mask = (1 << 64) - 1
+
+    def grams(text):
+        shown = f" {(text or '').lower()} "
+        points = [ord(c) if c.isalpha() else 0 for c in shown]
+        out = []
+        for i, p in enumerate(points):
+            if p:
+                h = (points[i - 1] * 0x9E3779B97F4A7C15 + p * 0xC2B2AE3D27D4EB4F + points[i + 1] * 0x165667B19E3779F9) & mask
+                h ^= h >> 29
+                out.append((h * 0xBF58476D1CE4E5B9 & mask) >> 64 - 15)
+        return out
+
+    counts = {lang: Counter(g for _, t, x in rows if x == lang for g in grams(t)) for lang in alphabets}
+    totals = {lang: sum(c.values()) + 0.1 * language_id.BUCKETS for lang, c in counts.items()}
+    rate = lambda lang, g: (counts[lang][g] + 0.1) / totals[lang]
+    names, code = sorted(alphabets), codewords(3)
+    every = range(language_id.BUCKETS)
+    weights, trust = [], []
+    for bit in range(code.shape[1]):
+        ones, others = ([n for n, w in zip(names, code[:, bit]) if (w > 0) == side] for side in (True, False))
+        weights.append([math.log(sum(rate(n, g) for n in ones) / len(ones)) - math.log(sum(rate(n, g) for n in others) / len(others)) for g in every])
+        trust.append(max(0.05, min(sum(rate(n, g) * weights[-1][g] for g in every) * w for n, w in zip(names, code[:, bit]))))
+    trust = [t * len(trust) / sum(trust) for t in trust]
+    for got in identify(table, train(table)).collect():
+        own = grams(got.text)
+        if not own:
+            assert (got.lang_pred, got.score, got.ambiguous) == ("und", 0, True)
+            continue
+        margins = [sum(w[g] for g in own) / len(own) * min(len(own), language_id.EVIDENCE) for w in weights]
+        losses = [sum(math.log1p(math.exp(-b * m)) * t for b, m, t in zip(word, margins, trust)) for word in code.tolist()]
+        shares = [math.exp(min(losses) - x) for x in losses]
+        score = max(shares) / sum(shares)
+        assert got.lang_pred == names[losses.index(min(losses))]
+        assert abs(got.score - score) < 1e-3 and (got.ambiguous == (score < language_id.CLEAR) or abs(score - language_id.CLEAR) < 1e-3)
+
+
 def test_base_rules_and_bands(docs, rows, none):
     got = {r.doc_id: r for r in judge(docs).collect()}
     for r in rows:
