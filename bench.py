@@ -19,6 +19,8 @@ HEADLINES = (
     "title_lookup", "field_groups", "fill_pending", "alias_coalesce", "submission_projection", "run_summary",
     "pacing_replay", "breaker_replay", "budget_gate", "bfs_depth3", "frontier_spawn", "crawl_graph", "product_page",
     "entity_graph", "atom_paper", "css_fields", "page_meta", "long_pages", "flatten_deep", "crawl_structured",
+    "merged_payloads", "network_documents", "crawl_three_levels", "expand_entities", "variant_prices", "json_pointer",
+    "search_subtitles", "normalised_errors", "enrich_budget",
 )
 
 

@@ -339,3 +339,32 @@ def crawl_structured(spark, sf_dir):
         J.at(F.col("structured"), "$.categories[0]").alias("category"), J.at(F.col("structured"), "$.page_id").alias("page_id"),
         J.at(F.col("structured"), "$.rpc_result").alias("rpc_result"), J.at(F.col("structured"), "$.k").alias("k"), "status",
     )
+
+
+@query(
+    """SELECT c_custkey, CASE c_custkey % 6
+         WHEN 0 THEN '{"page_id":"' || c_custkey || '","summary":"' || c_mktsegment || '","title":"' || c_name || '"}'
+         WHEN 1 THEN '{"abstract":"From ' || c_mktsegment || '","arxiv_id":"' || c_custkey || '"}'
+         WHEN 2 THEN '{"asin":"' || c_custkey || '","price":"$' || c_nationkey || '","tags":["' || c_mktsegment || '"],"title":"' || c_name || '"}'
+         WHEN 3 THEN '{"identifier":"' || c_custkey || '","title":"' || c_name || '"}'
+         WHEN 4 THEN '{"headline":"' || c_mktsegment || '","public_identifier":"own","title":"' || c_name || '"}'
+         ELSE '{"source_url":"http://x/' || c_custkey || '","title":"' || c_name || '"}' END AS fields FROM customer"""
+)
+def normalised_records(spark, sf_dir):
+    """Records of six platforms in one table, each normalised by its platform's rule."""
+    from pagemill.functions.hooks import normalised
+
+    key, kind = text("c_custkey"), F.col("c_custkey") % 6
+    platform = F.element_at(F.array(*[F.lit(p) for p in ("wikipedia", "arxiv", "amazon", "base", "linkedin", "other")]), (kind + 1).cast("int"))
+    fields = F.create_map(F.when(kind == 1, "arxiv_id").when(kind == 2, "asin").when(kind == 4, "public_identifier").otherwise("address"), key)
+    metadata = F.create_map(
+        F.lit("title"), F.when(kind != 0, F.col("c_name")), F.lit("page_id"), key, F.lit("source_url"), F.concat(F.lit("http://x/"), key), F.lit("description"), F.lit("")
+    )
+    structured = (
+        F.when(kind == 1, F.concat(F.lit('{"abstract_plain_text":"From '), F.col("c_mktsegment"), F.lit('"}')))
+        .when(kind == 2, F.concat(F.lit('{"title":"no","price":"$'), text("c_nationkey"), F.lit('","tags":["'), F.col("c_mktsegment"), F.lit('"],"none":[],"blank":"","null":null}')))
+        .when(kind == 4, F.concat(F.lit('{"public_identifier":"own","headline":"'), F.col("c_mktsegment"), F.lit('"}'))).otherwise("not JSON")
+    )
+    plain = F.concat(F.col("c_mktsegment"), F.lit("\nsecond line"))
+    record = F.create_map(F.lit("title"), F.col("c_name"))
+    return table(spark, sf_dir, "customer").select("c_custkey", normalised(platform, record, fields, metadata, plain, structured).alias("fields"))
