@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill.functions.arrays import let
-from pagemill.functions.values import first_text, overlay
+from pagemill.functions.values import first_text, last_wins, overlay
 
 _VARIANTS = "map<string,variant>"
 
@@ -20,8 +20,8 @@ def _texts(**values: Column) -> Column:
 
 def _filled(structured: Column) -> Column:
     """An object's filled values; anything else has none."""
-    parsed = F.coalesce(F.from_json(structured, _VARIANTS), F.map_from_entries(F.array().cast("array<struct<key:string,value:variant>>")))
-    return F.map_filter(parsed, lambda _, v: F.coalesce(~F.to_json(v).isin("null", '""', "[]", "{}"), F.lit(False)))
+    entries = F.coalesce(F.map_entries(F.from_json(structured, _VARIANTS)), F.array().cast("array<struct<key:string,value:variant>>"))
+    return F.map_filter(last_wins(entries), lambda _, v: F.coalesce(~F.to_json(v).isin("null", '""', "[]", "{}"), F.lit(False)))
 
 
 def _first_line(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagemill.functions.arrays import first_occurrences, let
+
 
 def blank_to_null(value: Column) -> Column:
     """NULL for the empty string, otherwise the value."""
@@ -34,6 +36,16 @@ def overlay(base: Column, override: Column) -> Column:
     return F.map_concat(kept, override)
 
 
+def last_wins(entries: Column) -> Column:
+    """Map of entries (key, value) whatever the session's rule for repeated keys; the last entry of a key counts."""
+
+    def kept(latest: Column) -> Column:
+        places = F.transform(latest, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i")))
+        return F.transform(first_occurrences(places, lambda p, _: p["key"]), lambda p: F.get(latest, p["i"]))
+
+    return F.map_from_entries(F.reverse(let(F.reverse(entries), kept)))
+
+
 def pick(mapping: Column, names: Iterable[str]) -> Column:
     """First non-empty value of a string map under the given key names."""
     return first_text(*[F.try_element_at(mapping, F.lit(n)) for n in names])

@@ -12,6 +12,7 @@ from pagemill.functions import url as U
 from pagemill.functions.arrays import let
 from pagemill.functions.platform_urls import normalize_network
 from pagemill.functions.text import doc_id
+from pagemill.functions.values import overlay
 from pagemill.operators import chunk as C
 from pagemill.operators import content as K
 from pagemill.operators.keyed import keep_first, without_keys
@@ -132,7 +133,7 @@ def from_json(pages: DataFrame) -> DataFrame:
         sources, "json_structured",
         routed(
             F.to_json(F.struct("_w.categories", "_w.page_id")), F.to_json(F.struct(result.alias("rpc_result"))),
-            F.to_json(F.map_concat(
+            F.to_json(overlay(
                 F.from_json(F.col("_n.structured"), "map<string,variant>"),
                 F.map_filter(F.from_json(F.to_json(F.struct("_n.entity_type", "_n.source_id", "_n.published_at")), "map<string,variant>"), lambda _, v: v.isNotNull()),
             )),

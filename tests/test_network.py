@@ -199,3 +199,31 @@ def test_lengths_of_subtrees_are_differences(spark):
     deep = "<div>" * 3_000 + "word " * 40 + "</div>" * 3_000
     nodes = spark.createDataFrame([(deep,)], "h string").select(H.shred("h", F.lit("")).alias("n"))
     assert nodes.select(H.main_span(F.col("n")).alias("s")).first().s.selector == "density_analysis"
+
+
+@pytest.fixture()
+def strict_maps(spark):
+    """The session default of Spark: a repeated map key is an error."""
+    before = spark.conf.get("spark.sql.mapKeyDedupPolicy")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    yield
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", before)
+
+
+def test_records_do_not_need_the_last_win_setting(spark, strict_maps):
+    from pagemill.functions.hooks import normalised
+    from pagemill.plans.crawl import crawl_records
+
+    payload = json.dumps({"included": [{"$type": "x.JobPosting", "entityUrn": "urn:j:5", "title": "T", "description": "D", "listedAt": 1700000000000}]})
+    rows = [("https://www.linkedin.com/jobs/view/5/", "", "linkedin", "job", payload)]
+    pages = spark.createDataFrame(rows, "url string, html string, platform string, resource_type string, json_data string")
+    held = json.loads(crawl_records(pages, formats=("json",)).first().structured)
+    assert (held["source_id"], held["published_at"], held["entity_type"]) == ("5", "2023-11-14T22:13:20Z", "job")
+
+    slots = spark.createDataFrame([([("A", "1", "true", ""), ("B", "2", "true", ""), ("A", "3", "false", "")], [None] * 3)], "s array<struct<asin:string,price:string,available:string,markup:string>>, p array<string>")
+    states = slots.select(J.variant_states(F.col("s"), F.col("p")).alias("m")).first().m
+    assert {k: tuple(v) for k, v in states.items()} == {"A": ("3", "Unavailable"), "B": ("2", "In Stock")}
+
+    empty = F.create_map().cast("map<string,string>")
+    twice = spark.createDataFrame([('{"a": 1, "b": 2, "a": 3}',)], "s string")
+    assert twice.select(normalised(F.lit("amazon"), empty, empty, empty, F.lit(""), F.col("s")).alias("n")).first().n == '{"a":3,"b":2}'
