@@ -14,13 +14,14 @@ from functools import lru_cache
 from html.entities import html5
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import specs
 from pagemill.functions.arrays import let
+from pagemill.functions.batches import bounds, list_pieces, text_pieces
 from pagemill.functions.text import strip
 
 NODE = T.StructType(
@@ -154,19 +155,38 @@ def shred_one(html: str | None, platform: str | None = "") -> list[tuple]:
     return out
 
 
-@F.pandas_udf(T.ArrayType(NODE))
-def shred(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Markup and platform -> node array (Arrow batches)."""
+_INT, _STRING, _ATTRS = pa.int32(), pa.string(), pa.map_(pa.string(), pa.string())
+_COLUMNS = (_INT, _INT, _INT, _STRING, _ATTRS, _STRING, _INT, _STRING, _STRING, pa.bool_(), _INT, _INT, _INT)
+
+
+def _node_lists(pages: list[list[tuple]]) -> pa.ListArray:
+    """Node rows of pages as one Arrow array, column by column."""
+    columns = []
+    for kind, values in zip(_COLUMNS, list(zip(*(row for page in pages for row in page))) or [()] * len(_COLUMNS)):
+        if kind == _ATTRS:
+            keys, held = [k for v in values for k in v], [x for v in values for x in v.values()]
+            columns.append(pa.MapArray.from_arrays(bounds([len(v) for v in values]), pa.array(keys, _STRING), pa.array(held, _STRING)))
+        else:
+            columns.append(pa.array(values, kind))
+    nodes = pa.StructArray.from_arrays(columns, fields=[pa.field(n, c.type) for n, c in zip(NODE.names, columns)])
+    return pa.ListArray.from_arrays(bounds([len(page) for page in pages]), nodes)
+
+
+@F.arrow_udf(T.ArrayType(NODE))
+def shred(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Markup and platform -> node array, a few pages at a time."""
     for html, platform in batches:
-        yield pd.Series(
-            [[dict(zip(NODE.names, row)) for row in shred_one(h, p)] for h, p in zip(html, platform)]
-        )
+        for first, n in text_pieces(html):
+            yield _node_lists([shred_one(h, p) for h, p in zip(html.slice(first, n).to_pylist(), platform.slice(first, n).to_pylist())])
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(NODE)))
-def shred_fragments(fragments: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(T.ArrayType(NODE)))
+def shred_fragments(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Pieces of markup of a row -> a node array each, so that markup nested in a page's data stays in the page's row."""
-    return fragments.map(lambda own: [[dict(zip(NODE.names, row)) for row in shred_one(h, "generic")] for h in (own if own is not None else [])])
+    for fragments in batches:
+        for first, n in list_pieces(fragments):
+            own = [f or [] for f in fragments.slice(first, n).to_pylist()]
+            yield pa.ListArray.from_arrays(bounds([len(f) for f in own]), _node_lists([shred_one(h, "generic") for f in own for h in f]))
 
 
 # --- selectors ------------------------------------------------------------------------------

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.functions.arrays import let
+from pagemill.functions.batches import bounds, text_pieces
 
 #: ``path`` has the keys and list indexes that lead to a value, ``place`` the positions among siblings: places in ascending
 #: order are the document's order, with each object before what it holds.
@@ -42,10 +43,17 @@ def _walk(text: str, scalars: bool, lists: frozenset[str]) -> Iterator[tuple[lis
 
 
 def _rows(scalars: bool, lists: frozenset[str]):
-    @F.pandas_udf(_ROW)
-    def run(texts: pd.Series) -> pd.Series:
-        names = ("path", "place", "kind", "value")
-        return texts.map(lambda t: [dict(zip(names, r)) for r in _walk(t, scalars, lists)] if t else [])
+    names = ("path", "place", "kind", "value")
+    kinds = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.string(), pa.string())
+
+    @F.arrow_udf(_ROW)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for first, n in text_pieces(texts):
+                found = [list(_walk(t, scalars, lists)) if t else [] for t in texts.slice(first, n).to_pylist()]
+                columns = list(zip(*(row for rows in found for row in rows))) or [()] * len(names)
+                rows = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(names))
+                yield pa.ListArray.from_arrays(bounds([len(rows) for rows in found]), rows)
 
     return run
 

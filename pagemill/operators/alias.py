@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill import specs
 from pagemill.functions import url as U
+from pagemill.functions.batches import bounds, text_pieces
 from pagemill.functions.text import doc_id, strip
 from pagemill.functions.values import first_text, overlay, pick
 
@@ -102,29 +104,33 @@ NOT_FIELDS = (
 )
 
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def flatten_json(value: pd.Series) -> pd.Series:
+def _flat(text: str | None) -> dict[str, str]:
+    try:
+        top = json.loads(text) if text else None
+    except ValueError:
+        top = None
+    out: dict[str, str] = {}
+    open_objects = [iter(top.items())] if isinstance(top, dict) else []
+    while open_objects:
+        key, held = next(open_objects[-1], (None, None))
+        if key is None:
+            open_objects.pop()
+            continue
+        if key not in out and held not in (None, "", [], {}):
+            out[key] = held if isinstance(held, str) else json.dumps(held, ensure_ascii=False, separators=(",", ":"))
+        if isinstance(held, dict):
+            open_objects.append(iter(held.items()))
+    return out
+
+
+@F.arrow_udf(T.MapType(T.StringType(), T.StringType()))
+def flatten_json(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """JSON object text as a string map of every key at every level; the first filled one in document order wins."""
-
-    def flat(text):
-        try:
-            top = json.loads(text) if text else None
-        except ValueError:
-            top = None
-        out: dict[str, str] = {}
-        open_objects = [iter(top.items())] if isinstance(top, dict) else []
-        while open_objects:
-            key, held = next(open_objects[-1], (None, None))
-            if key is None:
-                open_objects.pop()
-                continue
-            if key not in out and held not in (None, "", [], {}):
-                out[key] = held if isinstance(held, str) else json.dumps(held, ensure_ascii=False, separators=(",", ":"))
-            if isinstance(held, dict):
-                open_objects.append(iter(held.items()))
-        return out
-
-    return value.map(flat, na_action=None)
+    for texts in batches:
+        for first, n in text_pieces(texts):
+            flat = [_flat(t) for t in texts.slice(first, n).to_pylist()]
+            keys, held = [k for f in flat for k in f], [v for f in flat for v in f.values()]
+            yield pa.MapArray.from_arrays(bounds([len(f) for f in flat]), pa.array(keys, pa.string()), pa.array(held, pa.string()))
 
 
 #: Keys that only the record itself fills.

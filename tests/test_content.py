@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from pagemill.functions import html as H
@@ -161,3 +163,25 @@ def test_section_offsets_leave_two_characters(spark):
     s = F.array(R.section(F.lit("x"), F.lit("alpha\n\n# beta")), R.section(F.lit("y"), F.lit("Sign in")), R.section(F.lit("z"), F.lit("gamma")))
     out = spark.range(1).select(R.reduce_sections(s).alias("s")).first().s
     assert [(r.text, r.char_offset_start, r.char_offset_end) for r in out] == [("alpha\nbeta", 0, 10), ("gamma", 12, 17)]
+
+
+def test_results_of_a_batch_are_handed_back_in_pieces():
+    import pyarrow as pa
+
+    from pagemill.functions import json_rows as R
+    from pagemill.functions.batches import PIECE_BYTES
+    from pagemill.operators.alias import flatten_json
+
+    page = "<p>x</p>" * (PIECE_BYTES // 32)
+    pages = pa.array([page] * 9 + [None, page * 9, ""])
+    made = list(H.shred.func(iter([(pages, pa.array(["generic"] * 12))])))
+    assert [len(a) for a in made] == [4, 4, 2, 1, 1]
+    assert [len(rows) for a in made for rows in a.to_pylist()] == [len(H.shred_one(h, "generic")) for h in pages.to_pylist()]
+    nested = pa.array([[page], None, [page, page], [], ["", None]] * 3)
+    made = list(H.shred_fragments.func(iter([nested])))
+    assert len(made) > 2 and sum(map(len, made)) == 15
+    assert [[len(f) for f in own] for a in made for own in a.to_pylist()] == [[len(H.shred_one(h, "generic")) for h in own or []] for own in nested.to_pylist()]
+    texts = pa.array([json.dumps({"a": {"b": "x" * (PIECE_BYTES // 2 - 30)}}), None, "no"] * 4)
+    assert sum(1 for _ in flatten_json.func(iter([texts]))) == 2
+    assert [dict(m).keys() for a in flatten_json.func(iter([texts])) for m in a.to_pylist()] == [{"a": 0, "b": 0}.keys(), set(), set()] * 4
+    assert [len(a) for a in R._rows(True, frozenset()).func(iter([texts]))] == [6, 6]
