@@ -2,14 +2,14 @@
 
 Symbols are lower-cased characters (12-bit classes: exact below U+1000, folded beyond), n-grams have ORDER of them and
 belong to the text's language. Tasks count what they read, Spark sums the counts, derives continuation counts,
-discounts and interpolated probabilities by joins, and the model is stored as sorted arrays of hashes. A language's
-documents are rejected where their log-perplexity lies below or above its band, the quartiles widened by LOW_FENCE and
+discounts and interpolated probabilities by joins. Tasks are sent the most frequent entries as sorted arrays, all of
+them in most corpora; what a task doesn't find in a model that is not whole, Spark looks up by joins, so every text gets
+its exact value. A language's documents are rejected where their log-perplexity lies below or above its band, the quartiles widened by LOW_FENCE and
 HIGH_FENCE times their distance; for short texts the deviation counts in proportion to what they tell.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +22,8 @@ from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, prefix, shingle
 
 ORDER = 4
 SYMBOL_BITS = 12
-#: Keys of the stored model: at most 2 ** HASH_BITS entries of 8 bytes, whatever the corpus and the languages.
-HASH_BITS = 25
+#: Entries that tasks hold in memory, 12 bytes each; Spark joins the rarer ones.
+MODEL_ENTRIES = 1 << 23
 #: Bands reach so many quartile distances below the first and above the third quartile.
 LOW_FENCE = 2.0
 HIGH_FENCE = 2.0
@@ -78,7 +78,8 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
 
 
 def _discounted(counts: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, gram, context, part): discounted relative counts; (lang, context, spare): the mass left to lower orders."""
+    """(lang, gram, context, n, part): discounted relative counts; (lang, context, whole, spare): the mass left to lower
+    orders."""
     of = lambda k: F.sum((F.col("n") == k).cast("long"))
     met = counts.groupBy("lang").agg(*[of(k).alias(f"n{k}") for k in (1, 2, 3, 4)])
     y = F.try_divide(F.col("n1").cast("double"), F.col("n1") + 2 * F.col("n2"))
@@ -93,25 +94,21 @@ def _discounted(counts: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
     off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     counts = counts.withColumn("off", F.least(off, F.col("n").cast("double")))
     context = counts.groupBy("lang", "context").agg(F.sum("n").alias("whole"), F.sum("off").alias("off"))
-    parts = counts.select("lang", "gram", "context", (F.col("n") - F.col("off")).alias("left")).join(
+    parts = counts.select("lang", "gram", "context", "n", (F.col("n") - F.col("off")).alias("left")).join(
         context.select("lang", "context", "whole"), ["lang", "context"]
-    ).select("lang", "gram", "context", (F.col("left") / F.col("whole")).alias("part"))
-    return parts, context.select("lang", "context", (F.col("off") / F.col("whole")).alias("spare"))
-
-
-def _key(order: Column | int, lang: Column, gram: Column) -> Column:
-    return F.pmod(F.xxhash64(lang, F.lit(order) if isinstance(order, int) else order, gram), F.lit(1 << HASH_BITS))
+    ).select("lang", "gram", "context", "n", (F.col("left") / F.col("whole")).alias("part"))
+    return parts, context.select("lang", "context", "whole", (F.col("off") / F.col("whole")).alias("spare"))
 
 
 def model_table(docs: DataFrame) -> DataFrame:
-    """(kind, lang, gram, value): log probabilities of n-grams (kind 1..ORDER), log of the spare mass of contexts
-    (kind 10 + order), and the log probability of an unknown symbol (kind 0)."""
+    """(kind, lang, gram, value, n): log probabilities of n-grams (kind 1..ORDER), log of the spare mass of contexts
+    (kind 10 + order), and the log probability of an unknown symbol (kind 0); n says how often each was met."""
     counts = [stored(ngram_counts(docs))]
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND((1 << SYMBOL_BITS * order) - 1)
         counts.insert(0, counts[0].select("lang", suffix.alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n")))
     size = counts[0].groupBy("lang").agg((1.0 / (F.count("*") + 1)).alias("p"))
-    out = [size.select(F.lit(0).alias("kind"), "lang", F.lit(0).cast("long").alias("gram"), F.log("p").alias("value"))]
+    out = [size.select(F.lit(0).alias("kind"), "lang", F.lit(0).cast("long").alias("gram"), F.log("p").alias("value"), F.lit((1 << 63) - 1).alias("n"))]
     lower = None
     for order in range(1, ORDER + 1):
         parts, spare = _discounted(counts[order - 1], order)
@@ -121,9 +118,10 @@ def model_table(docs: DataFrame) -> DataFrame:
         else:
             suffix = F.col("gram").bitwiseAND((1 << SYMBOL_BITS * (order - 1)) - 1)
             parts = parts.withColumn("suffix", suffix).join(lower, ["lang", "suffix"])
-        lower = stored(parts.select("lang", F.col("gram").alias("suffix"), (F.col("part") + F.col("spare") * F.col("p")).alias("p")))
-        out.append(lower.select(F.lit(order).alias("kind"), "lang", F.col("suffix").alias("gram"), F.log("p").alias("value")))
-        out.append(spare.select(F.lit(10 + order).alias("kind"), "lang", F.col("context").alias("gram"), F.log("spare").alias("value")))
+        lower = stored(parts.select("lang", F.col("gram").alias("suffix"), "n", (F.col("part") + F.col("spare") * F.col("p")).alias("p")))
+        out.append(lower.select(F.lit(order).alias("kind"), "lang", F.col("suffix").alias("gram"), F.log("p").alias("value"), "n"))
+        out.append(spare.select(F.lit(10 + order).alias("kind"), "lang", F.col("context").alias("gram"), F.log("spare").alias("value"), F.col("whole").alias("n")))
+        lower = lower.drop("n")
     made = out[0]
     for one in out[1:]:
         made = made.union(one)
@@ -131,22 +129,19 @@ def model_table(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Sorted hash arrays: keys (kind, language and n-gram by hash) and values."""
+    """Sorted arrays of n-grams and their values by language and kind; ``rest`` is the table of all entries where these
+    are not all of them, else None."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, salts: dict[str, dict[int, int]]):
-        self.keys, self.values, self.salts = keys, values, salts
-
-    @staticmethod
-    def hashed(salt: int, grams: np.ndarray) -> np.ndarray:
-        return (mix(grams.astype(np.uint64) + np.uint64(salt)) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+    def __init__(self, held: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]], rest: DataFrame | None = None):
+        self.held, self.rest = held, rest
 
     def find(self, lang: str, kind: int, grams: np.ndarray) -> np.ndarray:
         """The values of n-grams, NaN where there is none."""
-        if lang not in self.salts or not len(self.keys):
+        keys, values = self.held.get((lang, kind), ((), ()))
+        if not len(keys):
             return np.full(len(grams), np.nan, dtype=np.float32)
-        wanted = self.hashed(self.salts[lang][kind], grams)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.values[at], np.float32(np.nan))
+        at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+        return np.where(keys[at] == grams, values[at], np.float32(np.nan))
 
     def log_probabilities(self, lang: str, grams: np.ndarray) -> np.ndarray:
         """Log probability of the last symbol of each n-gram: its own, or the spare mass times the next lower order's."""
@@ -170,31 +165,48 @@ class Model:
         return out
 
 
-def _salts(lang: str) -> dict[int, int]:
-    seed = int.from_bytes(hashlib.md5(lang.encode()).digest()[:8], "little")
-    return {kind: (seed + kind * 0x9E3779B97F4A7C15) % 2**64 for kind in (0, *range(1, ORDER + 1), *range(11, 11 + ORDER))}
-
-
-def build_model(docs: DataFrame) -> Model:
-    """The model of all documents. Hashing bounds what reaches the driver to 2 ** HASH_BITS entries."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kind, lang = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), dtype=str)
-            gram, value = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            keys = np.zeros(len(kind), dtype=np.int32)
-            for name in np.unique(lang):
-                for k, salt in _salts(name).items():
-                    own = (lang == name) & (kind == k)
-                    keys[own] = Model.hashed(salt, gram[own])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(value.astype(np.float32)), batch.column(1)], names=["key", "value", "lang"])
-
-    made = stored(model_table(docs).mapInArrow(run, "key int, value float, lang string"))
-    entries = made.groupBy("key").agg(F.max("value").alias("value")).toArrow()
-    langs = [r.lang for r in made.select("lang").distinct().collect()]
-    keys, values = entries["key"].to_numpy(), entries["value"].to_numpy()
-    order = np.argsort(keys)
-    return Model(keys[order], values[order], {name: _salts(name) for name in langs})
+def _least_count(entries: DataFrame, limit: int) -> int:
+    """The least power of two so that at most ``limit`` entries were met so often."""
+    above, least = 0, 1 << 62
+    for row in entries.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect():
+        above += row["count"]
+        if above > limit:
+            return least
+        least = 1 << min(row.power, 62)
+    return 1
+
+
+def build_model(docs: DataFrame, limit: int = MODEL_ENTRIES) -> Model:
+    """The model of all documents. At most ``limit`` entries, the most frequent ones, reach the driver and the tasks."""
+    made = stored(model_table(docs))
+    least = _least_count(made, limit)
+    entries = made.where(F.col("n") >= least).select("kind", "lang", "gram", F.col("value").cast("float")).toArrow()
+    kind, gram, value = (entries[c].to_numpy() for c in ("kind", "gram", "value"))
+    coded = entries["lang"].combine_chunks().dictionary_encode()
+    lang = coded.indices.to_numpy()
+    order = np.lexsort((gram, kind, lang))
+    kind, lang, gram, value = kind[order], lang[order], gram[order], value[order]
+    cut = np.flatnonzero(np.append(True, (kind[1:] != kind[:-1]) | (lang[1:] != lang[:-1]))[: len(kind)])
+    names = coded.dictionary.to_pylist()
+    held = {(names[lang[a]], int(kind[a])): (gram[a:b], value[a:b]) for a, b in zip(cut, np.append(cut[1:], len(kind)))}
+    return Model(held, made if least > 1 else None)
+
+
+def looked_up(missed: DataFrame, table: DataFrame) -> DataFrame:
+    """(lang, gram, value): log probabilities of distinct n-grams from the whole table, by joins: as Model.log_probabilities."""
+    wanted = missed.select("lang", "gram").distinct()
+    found, added = F.lit(None).cast("double"), F.lit(0.0)
+    for order in range(ORDER, 0, -1):
+        low = F.col("gram").bitwiseAND((1 << SYMBOL_BITS * order) - 1)
+        own = table.where(F.col("kind") == order).select("lang", F.col("gram").alias(f"_low{order}"), F.col("value").alias(f"_own{order}"))
+        spare = table.where(F.col("kind") == 10 + order).select("lang", F.col("gram").alias(f"_context{order}"), F.col("value").alias(f"_spare{order}"))
+        wanted = wanted.withColumns({f"_low{order}": low, f"_context{order}": F.shiftright(low, SYMBOL_BITS)})
+        wanted = wanted.join(own, ["lang", f"_low{order}"], "left").join(spare, ["lang", f"_context{order}"], "left")
+        found = F.coalesce(found, added + F.col(f"_own{order}"))
+        added = added + F.coalesce(f"_spare{order}", F.lit(0.0))
+    zero = table.where("kind = 0").select("lang", F.col("value").alias("_zero"))
+    unknown = F.coalesce("_zero", F.lit(float(-np.log(1 << SYMBOL_BITS))))
+    return wanted.join(zero, "lang", "left").select("lang", "gram", F.coalesce(found, added + unknown).alias("value"))
 
 
 def _repeats(own: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +255,8 @@ def measures(column: pa.Array) -> dict[str, np.ndarray]:
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang, the base counts, n_chars_scored and log_perplexity (null for an empty text) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, rest = docs.sparkSession.sparkContext.broadcast(Model(model.held)), model.rest
+    partly = rest is not None
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,27 +268,38 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
                 p = np.zeros(len(grams), dtype=np.float64)
                 for name in np.unique(langs):
                     own = (langs == name)[row]
-                    p[own] = shared.value.log_probabilities(str(name), grams[own])
+                    known = shared.value
+                    p[own] = known.find(str(name), ORDER, grams[own]) if partly else known.log_probabilities(str(name), grams[own])
+                left = np.isnan(p)
+                p[left] = 0
+                ends = np.append(0, np.cumsum(np.bincount(row[left], minlength=step.num_rows)))
                 n = np.bincount(row, minlength=step.num_rows)
                 total = np.bincount(row, p, step.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [step.column(0), step.column(1), *[pa.array(base[k].astype(np.int64)) for k in names], pa.array(n),
-                     pa.array(-total / np.maximum(n, 1), mask=n == 0)],
-                    names=["doc_id", "lang", *names, "n_scored", "log_perplexity"],
+                     pa.array(total, mask=n == 0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams[left]))],
+                    names=["doc_id", "lang", *names, "n_scored", "total", "missed"],
                 )
 
     read = docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     fields = ", ".join(f"{k} long" for k in names)
-    return read.mapInArrow(run, f"doc_id long, lang string, {fields}, n_scored long, log_perplexity double")
+    made = read.mapInArrow(run, f"doc_id long, lang string, {fields}, n_scored long, total double, missed array<long>")
+    if partly:
+        made = stored(made.withColumn("_row", F.monotonically_increasing_id()))
+        missed = made.select("_row", "lang", F.explode("missed").alias("gram")).groupBy("_row", "lang", "gram").agg(F.count("*").alias("n"))
+        missed = stored(missed)
+        more = missed.join(looked_up(missed, rest), ["lang", "gram"]).groupBy("_row").agg(F.sum(F.col("n") * F.col("value")).alias("more"))
+        made = made.join(more, "_row", "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0.0)))
+    return made.select("doc_id", "lang", *names, "n_scored", (-F.col("total") / F.greatest("n_scored", F.lit(1))).alias("log_perplexity"))
 
 
-def judge(docs: DataFrame, low: float = LOW_FENCE, high: float = HIGH_FENCE) -> DataFrame:
+def judge(docs: DataFrame, low: float = LOW_FENCE, high: float = HIGH_FENCE, limit: int = MODEL_ENTRIES) -> DataFrame:
     """One row per document: doc_id, lang, the base counts, base_failed, log_perplexity, the band and kept.
 
     A null text is an empty text: no words, so base_failed. A null lang is the language ``und``. Repeated rows are
     judged alike, other columns are ignored, an empty table gives an empty result.
     """
-    found = stored(scores(docs, build_model(docs)))
+    found = stored(scores(docs, build_model(docs, limit)))
     quarter = F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
     bands = found.where("log_perplexity is not null").groupBy("lang").agg(quarter.alias("q")).select(
         "lang", F.col("q")[1].alias("middle"),

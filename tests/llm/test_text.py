@@ -354,3 +354,42 @@ def test_digest_helpers():
     assert zlib.crc32(np.array([2], "<u4").tobytes()) == zlib.crc32(b"\x02\0\0\0")
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
     assert bpe.rows_of(pa.array(["a", None, "é"])) == [b"a", b"", "é".encode()]
+
+
+def test_perplexity_is_exact_beyond_the_entries_held_in_memory(spark):
+    """Rare entries come by joins: every text has the value of the whole table, seen by the model or not."""
+    import math
+
+    from pagemill.llm.perplexity import ORDER, SYMBOL_BITS, looked_up, model_table, scores
+
+    words = [f"w{i * i % 97}x{i % 13}" for i in range(400)]
+    rows = [(i, " ".join(words[i * 7 : i * 7 + 30]), ("xx", "yy", None)[i % 3]) for i in range(50)] + [(99, "", "xx"), (98, None, "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = {(r.kind, r.lang, r.gram): r.value for r in model_table(docs).collect()}
+    assert len(table) > 500
+
+    def value(lang, gram):
+        added = 0.0
+        for order in range(ORDER, 0, -1):
+            low = gram & (1 << SYMBOL_BITS * order) - 1
+            if (order, lang, low) in table:
+                return added + table[order, lang, low]
+            added += table.get((10 + order, lang, low >> SYMBOL_BITS), 0.0)
+        return added + table.get((0, lang, 0), -math.log(1 << SYMBOL_BITS))
+
+    def of(text, lang):
+        points = [ord(c) for c in " " * (ORDER - 1) + text]
+        grams = [sum(points[i - b] << SYMBOL_BITS * b for b in range(ORDER)) for i in range(ORDER - 1, len(points))]
+        return -sum(value(lang, g) for g in grams) / len(grams) if grams else None
+
+    unseen = spark.createDataFrame([(1, "q#w9x1 zzz", "xx"), (2, "w4", "nn")], "doc_id long, text string, lang string")
+    for limit in (40, 1 << 20):
+        model = build_model(docs, limit)
+        assert sum(len(k) for k, _ in model.held.values()) <= limit and (model.rest is None) == (limit > 40)
+        for given in (docs, unseen):
+            for r, got in zip(sorted(given.collect(), key=lambda r: r.doc_id), sorted(scores(given, model).collect(), key=lambda r: r.doc_id)):
+                wanted = of(r.text or "", r.lang or "und")
+                assert got.log_perplexity is wanted is None or math.isclose(got.log_perplexity, wanted, rel_tol=1e-6)
+    assert judge(docs, limit=40).count() == len(rows)
+    some = spark.createDataFrame([("xx", 0), ("nn", 5)], "lang string, gram long")
+    assert {(r.lang, r.gram): round(r.value, 6) for r in looked_up(some, model_table(docs)).collect()} == {(l, g): round(value(l, g), 6) for l, g in (("xx", 0), ("nn", 5))}
