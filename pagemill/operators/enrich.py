@@ -19,6 +19,8 @@ LOOP = re.compile(
 REFERENCE = re.compile(r"\{\{\s*source_fields\.get\([\"'](\w+)[\"']\)\s*\}\}")
 #: Fixed value: shortest overlap that counts as a prefix match.
 SHORTEST_PREFIX = 4
+#: Rows of one looked-up value that are joined in one part.
+PART_ROWS = 5_000
 SKIP_VISION = "requires_vision=True but model lacks vision capability"
 
 
@@ -63,8 +65,9 @@ def normalize_key(value: Column) -> Column:
     return F.translate(F.lower(strip(value)), "-_", "  ")
 
 
-def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", order: str = "ord") -> DataFrame:
-    """Add ``match_key, confidence`` from a dictionary ``(key, ord, ...)``.
+def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", order: str = "ord", entry: dict[str, str] | None = None) -> DataFrame:
+    """Add ``match_key, confidence`` from a dictionary ``(key, ord, ...)``, and the matched key's columns that ``entry``
+    renames.
 
     Exact match 1.0, normalised match 0.85, else the longest dictionary key that is a prefix of
     the value or has it as a prefix (at least four characters, earliest key on a tie). All three
@@ -77,7 +80,9 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
     normal = entries.groupBy("_norm").agg(
         F.max_by("match_key", "_ord").alias("match_key"), F.min("_ord").alias("_ord")
     )
-    values = df.select(F.col(value).alias("_value")).filter(strip(F.col(value)) != "").distinct()
+    values = df.select(F.col(value).alias("_value")).filter(strip(F.col(value)) != "").groupBy("_value").agg(F.count("*").alias("_rows"))
+    often = values.filter(F.col("_rows") > PART_ROWS).select("_value", F.ceil(F.col("_rows") / PART_ROWS).cast("int").alias("_parts"))
+    values = values.select("_value")
     values = values.withColumns({"_raw": strip(F.col("_value")), "_q": normalize_key(F.col("_value"))})
     exact = (entries.select(F.col("match_key").alias("_raw"), F.col("match_key").alias("_exact")))
     near = (normal.select(F.col("_norm").alias("_q"), F.col("match_key").alias("_near")))
@@ -117,9 +122,18 @@ def lookup(df: DataFrame, value: str, dictionary: DataFrame, key: str = "key", o
             F.least(F.col("_n") / F.greatest(F.length("_q"), F.lit(1)) * 0.8, F.lit(0.75)).alias("confidence"),
         )
     )
-    # Adaptive execution broadcasts the answers when they turn out small.
     resolved = settled.unionByName(picked)
-    out = df.join(resolved, df[value] == resolved["_value"], "left").drop("_value")
+    if entry:
+        resolved = resolved.join(dictionary.select(F.col(key).alias("match_key"), *[F.col(c).alias(n) for c, n in entry.items()]), "match_key", "left")
+    # A frequent value's answer is joined in as many parts as its rows need: no value fills a task. There are at most a
+    # PART_ROWS-th as many frequent values as rows. Rows are dealt to parts by what they hold.
+    resolved = resolved.join(F.broadcast(often), "_value", "left")
+    resolved = resolved.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    held = [F.col(f"`{n}`") for n, t in df.dtypes if t.split("<")[0] not in ("map", "variant", "array", "struct")]
+    named = often.select(F.col("_value").alias("_often"), "_parts")
+    dealt = df.join(F.broadcast(named), df[value] == named["_often"], "left").drop("_often")
+    dealt = dealt.withColumn("_deal", F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*held), F.col("_parts").cast("long"))).otherwise(F.lit(0)).cast("int")).drop("_parts")
+    out = dealt.join(resolved, (dealt[value] == resolved["_value"]) & (dealt["_deal"] == resolved["_part"]), "left").drop("_value", "_part", "_deal")
     return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
@@ -273,7 +287,8 @@ def run_groups(
     that are not in the registry are skipped. ``dictionary`` has ``key, ord, values`` (a map).
     """
     asked = docs.select("doc_id", fields, F.explode(groups).alias("field_group"))
-    rows = asked.join((registry), "field_group", "left")
+    # The registry is a table of settings; a shuffle by group would send all texts of a group to one task.
+    rows = asked.join(F.broadcast(registry), "field_group", "left")
     f = F.col(fields)
     held = source_fields(f, F.coalesce("required", F.array().cast("array<string>")))
     rows = rows.withColumn("held", held)
@@ -294,9 +309,7 @@ def run_groups(
         rows = rows.withColumns(missed)
     else:
         # Only rows with something to look up take part in the joins; texts of the others stay put.
-        asking = lookup(rows.filter(F.col("_lookup_text").isNotNull()), "_lookup_text", dictionary)
-        values = (dictionary.select(F.col("key").alias("match_key"), F.col("values").alias("_entry")))
-        asking = asking.join(values, "match_key", "left")
+        asking = lookup(rows.filter(F.col("_lookup_text").isNotNull()), "_lookup_text", dictionary, entry={"values": "_entry"})
         rows = rows.filter(F.col("_lookup_text").isNull()).withColumns(missed).unionByName(asking)
     nothing = "struct<matched:boolean,items:array<string>,categories:array<string>,evidence:array<string>,confidence:double>"
     patterns = F.when(F.col("_pattern_text").isNotNull(), match_patterns(F.col("_pattern_text"))).otherwise(F.lit(None).cast(nothing))

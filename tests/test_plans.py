@@ -213,3 +213,20 @@ def test_command_line(spark, fetched, tmp_path):
     seeds.write_text('{"platform":"generic","resource_type":"page","url":"http://e.example/a?x=1"}\n', encoding="utf-8")
     assert cli.main(["discover-crawl", "--input", str(seeds), "--pages", pages, "--output", str(tmp_path / "d")]) == 0
     assert spark.read.json(str(tmp_path / "d/records.jsonl")).count() == 1
+
+
+def test_frequent_lookups_are_joined_in_parts(spark, monkeypatch):
+    """The rows of a frequent value and the texts of a group don't meet in one task, and none is lost."""
+    from pagemill.operators import enrich as E
+
+    monkeypatch.setattr(E, "PART_ROWS", 7)
+    rows = spark.createDataFrame([(i, "Boss" if i % 10 else f"boss-{i}" if i % 20 else None, {"k": "v"}) for i in range(200)], "i long, v string, m map<string,string>")
+    words = spark.createDataFrame([("Boss", 1, "x"), ("none", 2, "y")], "key string, ord int, more string")
+    out = E.lookup(rows, "v", words, entry={"more": "held"})
+    got = {r.i: (r.match_key, r.held, r.confidence) for r in out.collect()}
+    assert out.count() == 200 and all(got[i] == ("Boss", "x", 1.0) for i in range(200) if i % 10)
+    assert got[0] == (None, None, 0.0) and got[10][:2] == ("Boss", "x")
+    assert "_part" in out._jdf.queryExecution().optimizedPlan().toString()
+    docs = rows.select(F.col("i").alias("doc_id"), F.create_map(F.lit("headline"), F.col("v")).alias("fields"), F.array(F.lit("code"), F.lit("nope")).alias("field_groups"))
+    plan = E.run_groups(docs, E.builtin_groups(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
