@@ -74,12 +74,22 @@ def filled_lines(value: Column) -> Column:
     return F.filter(F.transform(lines(value), strip), lambda x: x != "")
 
 
+def _ideographs(value: Column) -> Column:
+    # Text of one byte a character has none.
+    return F.when(F.octet_length(value) == F.length(value), F.lit(0)).otherwise(F.length(F.regexp_replace(value, NOT_IDEOGRAPH, "")))
+
+
+def word_tokens(word: Column) -> Column:
+    """The token estimate of a word: non-empty text without white space."""
+    return (F.lit(1) + _ideographs(word)).cast("int")
+
+
 def token_estimate(value: Column) -> Column:
     """Words plus ideographs; any non-empty text counts at least one."""
     # Splitting is several times faster in the JVM than counting matches of a negated class.
     bare = strip(value)
     words = F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, SPACE, -1)))
-    ideographs = F.length(F.regexp_replace(value, NOT_IDEOGRAPH, ""))
+    ideographs = _ideographs(value)
     return (
         F.when(value.isNull() | (value == ""), F.lit(0))
         .otherwise(F.greatest(F.lit(1), words + ideographs))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.arrays import joined, let, pack_ranges
-from pagemill.functions.text import SPACE, filled_lines, strip, token_estimate
+from pagemill.functions.text import SPACE, filled_lines, strip, token_estimate, word_tokens
 
 # Estimated tokens per chunk.
 MAX_TOKENS = 512
@@ -23,11 +23,11 @@ PIECES = (
 def word_segments(text: Column, max_tokens: int = MAX_TOKENS) -> Column:
     """Text cut between words into segments of at most ``max_tokens``."""
     words = F.filter(F.split(text, SPACE, -1), lambda w: w != "")
-    return let(words, lambda w: _groups(w, max_tokens, 0, " "))
+    return let(words, lambda w: _groups(w, max_tokens, 0, " ", word_tokens))
 
 
-def _groups(parts: Column, max_tokens: int, overlap: int, separator: str) -> Column:
-    spans = pack_ranges(F.transform(parts, token_estimate), max_tokens, overlap)
+def _groups(parts: Column, max_tokens: int, overlap: int, separator: str, weight=token_estimate) -> Column:
+    spans = pack_ranges(F.transform(parts, weight), max_tokens, overlap)
     return F.transform(spans, lambda r: joined(parts, r, separator))
 
 

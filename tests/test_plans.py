@@ -230,3 +230,12 @@ def test_frequent_lookups_are_joined_in_parts(spark, monkeypatch):
     docs = rows.select(F.col("i").alias("doc_id"), F.create_map(F.lit("headline"), F.col("v")).alias("fields"), F.array(F.lit("code"), F.lit("nope")).alias("field_groups"))
     plan = E.run_groups(docs, E.builtin_groups(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in plan
+
+
+def test_words_are_weighed_as_texts_are(spark):
+    from pagemill.functions import text as T
+
+    texts = ["go GO Rust, x", "\u4e00\u4e8c kotlin\u3000a", "", " \t", "caf\u00e9 \u4e00x \u3005 \U00020000"]
+    words = spark.createDataFrame([(t,) for t in texts], "t string").select(F.explode(F.filter(F.split("t", T.SPACE, -1), lambda w: w != "")).alias("w"))
+    assert all(r.a == r.b for r in words.select(T.token_estimate(F.col("w")).alias("a"), T.word_tokens(F.col("w")).alias("b")).collect())
+    assert [r.n for r in words.where("w = '\u4e00\u4e8c'").select(T.word_tokens(F.col("w")).alias("n")).collect()] == [3]
