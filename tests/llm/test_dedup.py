@@ -4,9 +4,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from pagemill.llm import families, suffix_dedup
+from pagemill.llm import families, suffix_dedup, textops
 from pagemill.llm.jaccard_join import jaccard_join, keep_first, signatures, slack
 from pagemill.llm.paragraph_dedup import drop_repeated_paragraphs, paragraph_clusters, tune_bands
 from pagemill.llm.passages import repeated_passages
@@ -248,3 +249,36 @@ def test_suffix_order():
     for d, order in suffix_order(key, [r[p:] for r, p in zip(raw, reach)], text, base + reach, reach):
         want = sorted((int(key[i]), raw[i][reach[i] - d :], i) for i in range(len(raw)) if reach[i] >= d)
         assert [(int(key[i]), raw[i][reach[i] - d :]) for i in order] == [w[:2] for w in want]
+
+
+def test_long_chunks_make_their_powers_once(monkeypatch):
+    """The tables of powers of texts beyond a step aren't kept, so they must not be made for each byte of depth."""
+    monkeypatch.setattr(textops, "STEP_BYTES", 64)
+    monkeypatch.setattr(textops, "_powers", {})
+    made, accumulated = textops.powers, []
+    monkeypatch.setattr(textops, "powers", lambda base, n: accumulated.append(n) or made(base, n))
+    rng = np.random.default_rng(5)
+    raw = rng.integers(97, 100, 600, dtype=np.uint8).tobytes()
+    found = list(suffix_dedup._factors([(1, 0, b"x", 0, 201, 200, raw), (1, 1, b"y", 0, 201, 200, raw)], 400))
+    assert sorted(found) == [(b"x", 0, 200, 0), (b"y", 0, 200, 1)]
+    assert len(accumulated) <= 2
+
+
+def test_hot_anchor_joins_stretches_not_strings(spark):
+    text = np.random.default_rng(7).integers(97, 123, 1000, dtype=np.uint8).tobytes().decode()
+    docs = spark.createDataFrame([(i, f"{text} {i}") for i in range(6)], "doc_id long, text string")
+    every = np.full(suffix_dedup.hash_filter(spark.range(1), "id").shape, 2**64 - 1, dtype=np.uint64)
+    shipped = suffix_dedup._shipped(docs, every, every, 400, 200).collect()
+    strings = 6 * (1002 - 400 + 1)
+    assert sum(r.n for r in shipped) == strings and all(len(r.ones) == len(r.twos) == r.n for r in shipped)
+    assert len(shipped) < strings / 10
+
+
+def test_blocks_are_compared_side_against_side():
+    """Links between two blocks only, and none within a part; the blocks are not multiplied with themselves."""
+    sets = [[1, 2, 3, 4], [1, 2, 3, 4, 5], [1, 2, 3, 4], [7, 8, 9, 10], [7, 8, 9, 10]]
+    tokens = pa.array(sets, pa.list_(pa.int64()))
+    own, node, part = np.array([0, 0, 1, 1, 1]), np.arange(5), np.arange(5)
+    assert families._joining(own, node, part, tokens, 80) == [(0, 2), (1, 2)]
+    assert families._joining(np.zeros(5, int), node, part, tokens, 80) == [(0, 1), (0, 2), (3, 4)]
+    assert families._joining(own, node, np.array([0, 0, 0, 3, 4]), tokens, 80) == []
