@@ -98,22 +98,23 @@ def _joining(own: np.ndarray, node: np.ndarray, part: np.ndarray, tokens: pa.Lis
     small 0/1 matrices over the tokens that occur twice."""
     sizes = np.diff(tokens.offsets.to_numpy())
     _, column, count = np.unique(tokens.flatten().to_numpy(), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(node)), sizes)
+    row = np.repeat(np.arange(len(node), dtype=np.int32), sizes)
     keep = count[column] > 1
-    row, column = row[keep], (np.cumsum(count > 1) - 1)[column[keep]]
-    shared = np.zeros((len(node), len(node)), dtype=np.float32)
+    row, column = row[keep], (np.cumsum(count > 1, dtype=np.int32) - 1)[column[keep]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
+    # The rows of one block stand against those of the other; a block alone, against itself.
+    left = np.flatnonzero(own == own.min(initial=own.max(initial=0)))
+    right = np.flatnonzero(own == own.max(initial=0))
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
     for low in range(0, int(column.max(initial=-1)) + 1, 2048):
         a, b = np.searchsorted(column, [low, low + 2048])
         some = np.zeros((len(node), 2048), dtype=np.float32)
         some[row[a:b], column[a:b] - low] = 1
-        used = np.unique(row[a:b])
-        shared[np.ix_(used, used)] += some[used] @ some[used].T
-    union = sizes[:, None] + sizes[None] - shared
-    near = (100 * shared >= percent * union) & (part[:, None] < part[None])
-    if own.min(initial=0) != own.max(initial=0):
-        near &= own[:, None] != own[None]
+        used = np.zeros(len(node), dtype=bool)
+        used[row[a:b]] = True
+        x, y = np.flatnonzero(used[left]), np.flatnonzero(used[right])
+        shared[np.ix_(x, y)] += some[left[x]] @ some[right[y]].T
     root = {int(p): int(p) for p in part}
 
     def find(p: int) -> int:
@@ -122,11 +123,13 @@ def _joining(own: np.ndarray, node: np.ndarray, part: np.ndarray, tokens: pa.Lis
         return p
 
     out = []
-    for x, y in zip(*np.nonzero(near)):
-        p, q = find(int(part[x])), find(int(part[y]))
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            out.append((int(node[x]), int(node[y])))
+    for at, x in enumerate(left):
+        near = right[(100 * shared[at] >= percent * (sizes[x] + sizes[right] - shared[at])) & (part[right] != part[x])]
+        for y in near:
+            p, q = find(int(part[x])), find(int(part[y]))
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((int(node[x]), int(node[y])))
     return out
 
 

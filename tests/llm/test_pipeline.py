@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force, each on its own input."""
 
+import time
 from collections import Counter
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from pagemill.llm import bpe
+from pagemill.llm.common import stored
 from pagemill.llm.queries import tokenizer_path
 from tests.llm.test_dedup import brute_components, brute_paragraphs, shingle_set, word_list
 from tests.llm.test_text import brute_contamination
@@ -62,3 +64,18 @@ def test_run_and_empty_table(spark, folder, none, benchmark, tmp_path):
     none.write.parquet(f"{tmp_path}/documents.parquet")
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_finished_steps_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: sum("shuffle_" in disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+    stored(spark.range(1))
+    time.sleep(2)
+    before = files()
+    stored(spark.range(1000).repartition(4, "id"))
+    assert files() > before
+    stored(spark.range(1))
+    until = time.time() + 20
+    while files() > before and time.time() < until:
+        time.sleep(0.2)
+    assert files() <= before
