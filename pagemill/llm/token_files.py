@@ -159,11 +159,11 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], dtype=width).tobytes()
-        encoder = worker_encoder(path)
+        encoder = worker_encoder(path, decoded=False)
         for batch in batches:
             for step in steps(batch, "text"):
-                made = encoder.encode(rows_of(step.column(1)))
-                ids = [np.frombuffer(m[0], "<u4").astype(width).tobytes() + end for m in made]
+                made = encoder.id_bytes(step.column(1))
+                ids = [np.frombuffer(m, "<u4").astype(width).tobytes() + end for m in made]
                 yield pa.RecordBatch.from_arrays([step.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")), width

@@ -393,3 +393,13 @@ def test_perplexity_is_exact_beyond_the_entries_held_in_memory(spark):
     assert judge(docs, limit=40).count() == len(rows)
     some = spark.createDataFrame([("xx", 0), ("nn", 5)], "lang string, gram long")
     assert {(r.lang, r.gram): round(r.value, 6) for r in looked_up(some, model_table(docs)).collect()} == {(l, g): round(value(l, g), 6) for l, g in (("xx", 0), ("nn", 5))}
+
+
+def test_encoder_of_ids_keeps_no_tokens():
+    texts = ["Straße élan, ÉLAN. İstanbul ΑΣ", "don't 10.5 x.. a1b Hello,World!", "", None, " \n\t ", "hello hello. HELLO! 日本語。"]
+    encoder = bpe.Encoder(PATH, decoded=False)
+    made = encoder.id_bytes(pa.array(texts))
+    want = [bpe.tokenizer(PATH).encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == want
+    assert encoder.ids and not encoder.tokens
+    assert bpe.lean(PATH) is not bpe.tokenizer(PATH)
