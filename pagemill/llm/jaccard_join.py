@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import hash_filter, in_filter, stored
-from pagemill.llm.families import family_components, listed, listed_nodes
+from pagemill.llm.families import family_components, listed, sketch
 from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, shingles, steps
 
 #: A token in the heads of more documents than this belongs to the frequent class.
@@ -105,22 +105,24 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
 
 
 def shingle_sets(docs: DataFrame, k: int, head: float = HEAD) -> DataFrame:
-    """doc_id, n_shingles, node (128-bit digest of the set; null if empty) and the head of each set."""
+    """doc_id, n_shingles, node (128-bit digest of the set; null if empty), the sketch and the head of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, nodes, heads = batch.column(0), [], [], []
+            ids, sizes, nodes, sketches, heads = batch.column(0), [], [], [], []
             for _, tokens in _sets(batch, k):
                 sizes.append(len(tokens))
                 nodes.append(_node(tokens) if len(tokens) else None)
+                sketches.append(sketch(tokens))
                 heads.append(tokens[: int(len(tokens) * head) + 4 if len(tokens) > 1 else 0])
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array([x and _short(x) for x in nodes], pa.int64()), _lists(heads)],
-                names=["doc_id", "n_shingles", "node", "short", "head"],
+                [ids, pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array([x and _short(x) for x in nodes], pa.int64()),
+                 _lists(sketches), _lists(heads)],
+                names=["doc_id", "n_shingles", "node", "short", "sketch", "head"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node binary, short long, head array<long>"
+        run, "doc_id long, n_shingles long, node binary, short long, sketch array<long>, head array<long>"
     )
 
 
@@ -183,10 +185,16 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     lists = stored(listed(_indexed(docs, k, percent, bits)))
 
     # The candidate stage names a set by 64 bits; each 128-bit digest stands for itself from here on.
-    first_of = made.where("node is not null and doc_id is not null").groupBy("node", "short").agg(F.min("doc_id").alias("least"))
-    touched = first_of.join(listed_nodes(lists).withColumnRenamed("node", "short"), "short", "left_semi")
-    sets = stored(_tokens_of(docs, touched.select(F.col("least").alias("doc_id"), "short"), k))
-    joined = family_components(lists, percent, sets)
+    first_of = stored(
+        made.where("node is not null and doc_id is not null").groupBy("node", "short")
+        .agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    )
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        needed = first_of.join(nodes.withColumnRenamed("node", "short"), "short", "left_semi")
+        return _tokens_of(docs, needed.select(F.col("least").alias("doc_id"), "short"), k)
+
+    joined = family_components(lists, percent, first_of.select(F.col("short").alias("node"), "n", "sketch"), sets_of)
 
     part = first_of.join(joined.withColumnRenamed("node", "short"), "short", "left").select(
         "node", "least", F.coalesce("component", "short").alias("part")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import hash_filter, in_filter, stored
-from pagemill.llm.families import family_components, listed, listed_nodes
+from pagemill.llm.families import family_components, listed, listed_nodes, sketch
 from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, powers, shingles, steps
 
 SHINGLE = 5
@@ -129,7 +129,7 @@ def _distinct(p: _Paragraphs) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
-    """(node, tokens) of the needed nodes, and of the few others that share a bit with one."""
+    """(node, n, sketch, tokens) of the needed nodes, and of the few others that share a bit with one."""
     shared = docs.sparkSession.sparkContext.broadcast(hash_filter(needed, "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,14 +139,18 @@ def _sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
                 _, at = np.unique(p.key, return_index=True)
                 at = at[in_filter(shared.value, p.key[at].view(np.int64))]
                 tokens = [np.unique(p.shingles[p.bounds[i] : p.bounds[i + 1]]) for i in at]
-                ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-                flat = np.concatenate([*tokens, np.zeros(0, np.uint64)]).astype(np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(p.key[at].view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["node", "tokens"],
+                    [pa.array(p.key[at].view(np.int64)), pa.array([len(t) for t in tokens], pa.int64()), _lists([sketch(t) for t in tokens]), _lists(tokens)],
+                    names=["node", "n", "sketch", "tokens"],
                 )
 
-    return docs.select("text").mapInArrow(run, "node long, tokens array<long>").dropDuplicates(["node"])
+    return docs.select("text").mapInArrow(run, "node long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["node"])
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    flat = np.concatenate([*(a.view(np.int64) for a in arrays), np.zeros(0, np.int64)])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def paragraph_clusters(
@@ -164,7 +168,9 @@ def paragraph_clusters(
     found = stored(paragraphs(docs, k))
     lists = stored(listed(_banded(docs, k, bands, rows)))
     sets = stored(_sets(docs, listed_nodes(lists), k))
-    joined = family_components(lists, percent, sets)
+    joined = family_components(
+        lists, percent, sets.select("node", "n", "sketch"), lambda nodes: sets.select("node", "tokens").join(nodes, "node", "left_semi")
+    )
 
     place = F.struct("doc_id", "text_hash", "line")
     once = found.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"))

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from pagemill.llm import families, suffix_dedup, textops
+from pagemill.llm import jaccard_join as joining
 from pagemill.llm.jaccard_join import jaccard_join, keep_first, signatures, slack
 from pagemill.llm.paragraph_dedup import drop_repeated_paragraphs, paragraph_clusters, tune_bands
 from pagemill.llm.passages import repeated_passages
@@ -86,6 +87,54 @@ def test_linked_sets_share_a_signature(percent):
         assert np.intersect1d(signatures(x, common(x), percent), signatures(y, common(y), percent)).size
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_lose_no_link(spark, percent):
+    rng = np.random.default_rng(11)
+    sets = []
+    for n in [1, 2, 3, 9, 60, 64, 65, 100, 127, 128, 129, 300, 513, 700] * 3:
+        x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        keep = x[rng.permutation(n)[: n - rng.integers(0, slack(n, percent) + 2)]]
+        more = rng.integers(0, 2**63, rng.integers(0, slack(n, percent) + 2), dtype=np.uint64)
+        sets += [x, np.unique(np.concatenate([keep, more]))]
+    links = set(brute_links(sets, percent))
+    assert len(links) > 10
+    sketches = [families.sketch(x) for x in sets]
+    marks = spark.createDataFrame([(i, len(x), s.tolist()) for i, (x, s) in enumerate(zip(sets, sketches))], "node long, n long, sketch array<long>")
+    pairs = spark.createDataFrame([(i, j) for j in range(len(sets)) for i in range(j)], "a long, b long")
+    left = {(r.a, r.b) for r in families.possible_pairs(pairs, marks, percent).collect()}
+    assert links <= left and len(left) < 4 * len(sets)
+    n, at = np.array([len(x) for x in sets]), np.arange(len(sets))
+    words = pa.array([s.tolist() for s in sketches], pa.list_(pa.int64()))
+    for own in (np.zeros(len(sets), int), at % 2):
+        met = families._possible(own, at, n, words, percent)
+        want = {x for p in links for x in p if len(set(own)) == 1 or own[p[0]] != own[p[1]]}
+        assert want <= set(at[met]) and not met.all()
+        assert not families._possible(own, at * 0, n, words, percent).any()
+
+
+def brute_links(sets, percent):
+    for j, y in enumerate(sets):
+        for i, x in enumerate(sets[:j]):
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                yield i, j
+
+
+def test_tokens_are_made_for_possible_links_only(spark, monkeypatch):
+    """Sets that share a passage and signatures, but can't reach the threshold, don't have their tokens moved."""
+    r = np.random.default_rng(5)
+    words = lambda n: " ".join(f"w{x}" for x in r.integers(0, 10**9, n))
+    passage, near = words(30), words(60)
+    texts = [f"{words(60)} {passage} {words(50)}" for _ in range(40)] + [near, f"{near} end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    every, asked, made = np.full(joining.hash_filter(spark.range(1), "id").shape, 2**64 - 1, dtype=np.uint64), set(), joining._tokens_of
+    monkeypatch.setattr(joining, "hash_filter", lambda *_: every)  # as full as over very many documents
+    monkeypatch.setattr(joining, "_tokens_of", lambda d, needed, k: asked.update(x.doc_id for x in needed.collect()) or made(d, needed, k))
+    got = {x.doc_id: x.component_id for x in jaccard_join(docs, 3, 90).collect()}
+    assert got == {**{i: i for i in range(41)}, 41: 40}
+    assert asked == {40, 41}
+
+
 def brute_paragraphs(rows, k=5, percent=80, min_run=30):
     found = {}
     for r in {(r[0], r[1]) for r in rows if r[0] is not None}:
