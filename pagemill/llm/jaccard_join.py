@@ -11,10 +11,11 @@ other's tokens, so a prefix in that order needs ``slack + 1`` tokens. It is inde
   tokens), which keeps combinations in proportion to the prefix; a document is indexed for every size level in
   which a partner may lie.
 
-Which tokens count as frequent is known from counts over all documents, held in a bit map of fixed size. A false
-positive only means that a rare token is indexed by combinations, so no link is lost however full the map is.
+Which tokens count as frequent is known from the distinct sets that hold them, so copies of a document don't make its
+tokens frequent; it is held in a bit map of fixed size. A false positive only means that a rare token is indexed by
+combinations, so no link is lost however full the map is.
 
-Documents with equal sets are one node. Nodes that share a signature are paired along the signature's list,
+Documents with equal sets are one node, indexed by the first of them. Nodes that share a signature are paired along the signature's list,
 ordered by set size: with the first and with the one before. Verified pairs are joined into components, and only
 lists that still hold different components are paired in full, between those components. A family of copies
 therefore costs a number of pairs in proportion to its size, and no link between different components is lost.
@@ -34,7 +35,7 @@ from pagemill.llm.common import hash_filter, in_filter, stored
 from pagemill.llm.families import family_components, listed, sketch
 from pagemill.llm.textops import NOT_SPACE, Words, buffers, mix, shingles, steps
 
-#: A token in the heads of more documents than this belongs to the frequent class.
+#: A token in the heads of more distinct sets than this belongs to the frequent class.
 FREQUENT_AFTER = 1
 #: Share of a set, lowest hashes first, in which frequent tokens are counted.
 HEAD = 0.2
@@ -126,20 +127,30 @@ def shingle_sets(docs: DataFrame, k: int, head: float = HEAD) -> DataFrame:
     )
 
 
-def _indexed(docs: DataFrame, k: int, percent: int, bits: np.ndarray) -> DataFrame:
-    """(signature, node, n) of every document; copies met by the same task are indexed once."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+def _frequent(made: DataFrame) -> np.ndarray:
+    """Filter of the tokens of the frequent class. The sets of a token are told apart by 64 places; two that share one
+    leave it in the rare class, which costs work and no link."""
+    place = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("short", F.lit(64)).cast("int"))
+    held = made.select(F.explode("head").alias("token"), place.alias("place")).groupBy("token").agg(F.bit_or("place").alias("sets"))
+    return hash_filter(held.where(F.bit_count("sets") > FREQUENT_AFTER), "token")
+
+
+def _indexed(docs: DataFrame, k: int, percent: int, bits: np.ndarray, firsts: np.ndarray) -> DataFrame:
+    """(signature, node, n) of every node, by its first document: one in ``firsts``."""
+    shared = docs.sparkSession.sparkContext.broadcast((bits, firsts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        bits, firsts = shared.value
         for batch in batches:
+            batch = batch.filter(pa.array(in_filter(firsts, batch.column(0).to_numpy(zero_copy_only=False))))
             keys, nodes, sizes = [], [], []
             for _, tokens in _sets(batch, k):
                 node = _node(tokens)
                 if len(tokens) < 2 or node in seen:
                     continue
                 seen.add(node)
-                made = signatures(tokens, in_filter(shared.value, tokens), percent)
+                made = signatures(tokens, in_filter(bits, tokens), percent)
                 keys.append(made)
                 nodes.append(np.full(len(made), _short(node)))
                 sizes.append(np.full(len(made), len(tokens), dtype=np.int32))
@@ -149,7 +160,8 @@ def _indexed(docs: DataFrame, k: int, percent: int, bits: np.ndarray) -> DataFra
                     names=["signature", "node", "n"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "signature long, node long, n int")
+    read = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    return read.mapInArrow(run, "signature long, node long, n int")
 
 
 def _tokens_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
@@ -180,16 +192,15 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     ``text`` are ignored. An empty table gives an empty result.
     """
     made = stored(shingle_sets(docs, k))
-    counted = made.select(F.explode("head").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    bits = hash_filter(counted.where(F.col("n") > FREQUENT_AFTER), "token")
-    lists = stored(listed(_indexed(docs, k, percent, bits)))
-
     # The candidate stage names a set by 64 bits; each 128-bit digest stands for itself from here on.
     first_of = stored(
         made.where("node is not null and doc_id is not null").groupBy("node", "short")
         .agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
 
+    bits, firsts = _frequent(made), hash_filter(first_of, "least")
+    lists = stored(listed(_indexed(docs, k, percent, bits, firsts)))
+
     def sets_of(nodes: DataFrame) -> DataFrame:
         needed = first_of.join(nodes.withColumnRenamed("node", "short"), "short", "left_semi")
         return _tokens_of(docs, needed.select(F.col("least").alias("doc_id"), "short"), k)

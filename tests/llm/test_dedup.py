@@ -135,6 +135,17 @@ def test_tokens_are_made_for_possible_links_only(spark, monkeypatch):
     assert asked == {40, 41}
 
 
+def test_copies_are_indexed_once(spark, monkeypatch):
+    """Copies in many tasks give the signatures of one set, and don't make its tokens frequent."""
+    r = np.random.default_rng(6)
+    text, other = (" ".join(f"w{x}" for x in r.integers(0, 10**9, 102)) for _ in range(2))
+    docs = spark.createDataFrame([(i, text) for i in range(12)] + [(None, other), (12, other)], "doc_id long, text string").repartition(7)
+    given, made = [], joining._indexed
+    monkeypatch.setattr(joining, "_indexed", lambda *args: given.append(made(*args)) or given[0])
+    assert {x.doc_id: x.component_id for x in jaccard_join(docs, 3, 90).collect()} == {None: None, 12: 12, **dict.fromkeys(range(12), 0)}
+    assert [x["count"] for x in given[0].groupBy("node").count().collect()] == [slack(100, 90) + 1] * 2
+
+
 def brute_paragraphs(rows, k=5, percent=80, min_run=30):
     found = {}
     for r in {(r[0], r[1]) for r in rows if r[0] is not None}:
