@@ -141,26 +141,70 @@ def headings(nodes: Column, span: Column) -> Column:
     return F.aggregate(read, zero, step, lambda acc: acc["out"])
 
 
-def sections(nodes: Column, span: Column, kept: Column, full_text: Column, heads: Column) -> Column:
-    """Sections by heading: what follows among its siblings up to one of the same or a higher level."""
+def _following(heads: Column) -> Column:
+    """For every heading, in order, where the next one below the same parent and of the same or a higher level starts;
+    null without one. In order of parent and start it is the next neighbour among those of its level and above."""
+    placed = F.transform(
+        heads,
+        lambda h, i: F.struct(h["parent"].alias("parent"), h["pre"].alias("pre"), h["level"].alias("level"), i.alias("i")),
+    )
 
-    def body(head: Column) -> Column:
-        next_head = F.array_min(
-            F.transform(
-                F.filter(
-                    heads,
-                    lambda o: (o["pre"] > head["pre"]) & (o["parent"] == head["parent"]) & (o["level"] <= head["level"]),
-                ),
-                lambda o: o["pre"],
-            )
+    def of_level(some: Column, level: int) -> Column:
+        pairs = F.arrays_zip(some.alias("own"), F.slice(some, 2, F.size(some)).alias("next"))
+        return F.transform(
+            F.filter(pairs, lambda p: p["own"]["level"] == level),
+            lambda p: F.struct(
+                p["own"]["i"].alias("i"), F.when(p["own"]["parent"] == p["next"]["parent"], p["next"]["pre"]).alias("pre")
+            ),
+        )
+
+    def all_levels(ordered: Column) -> Column:
+        found = [
+            let(F.filter(ordered, lambda h: h["level"] <= level), lambda some: of_level(some, level))  # noqa: B023
+            for level in range(1, 7)
+        ]
+        return F.transform(F.sort_array(F.concat(*found)), lambda f: f["pre"])
+
+    return let(F.sort_array(placed), all_levels)
+
+
+def _kept_before(nodes: Column, kept: Column) -> Column:
+    """For every place of a page, its end included, how many kept strings stand before it."""
+
+    def counted(starts: Column) -> Column:
+        gaps = F.transform(
+            starts, lambda pre, i: F.array_repeat(i, pre - F.when(i > 0, F.get(starts, i - 1)).otherwise(F.lit(-1)))
         )
+        rest = F.size(nodes) - F.coalesce(F.get(starts, F.size(starts) - 1), F.lit(-1))
+        return F.flatten(F.concat(gaps, F.array(F.array_repeat(F.size(starts), rest))))
+
+    return let(F.transform(kept, lambda n: n["pre"]), counted)
+
+
+def _bodies(nodes: Column, span: Column, kept: Column, heads: Column) -> Column:
+    """Which kept strings belong to each heading: ``array<struct<first, n>>``, in time in proportion to the page."""
+
+    def body(head: Column, following: Column, before: Column) -> Column:
         parent_end = F.when(
             head["parent"] >= 0, F.element_at(nodes, F.greatest(head["parent"] + 1, F.lit(1)))["stop"]
         ).otherwise(span["stop"])
-        end = F.least(F.coalesce(next_head, parent_end), span["stop"])
-        return F.filter(kept, lambda n: (n["pre"] >= head["stop"]) & (n["pre"] < end))
+        end = F.least(F.coalesce(following, parent_end), span["stop"])
+        first = F.get(before, head["stop"])
+        return F.struct(first.alias("first"), F.greatest(F.get(before, end) - first, F.lit(0)).alias("n"))
+
+    return let(
+        _following(heads),
+        lambda following: let(
+            _kept_before(nodes, kept),
+            lambda before: F.zip_with(heads, following, lambda h, f: body(h, f, before)),
+        ),
+    )
+
+
+def sections(nodes: Column, span: Column, kept: Column, full_text: Column, heads: Column) -> Column:
+    """Sections by heading: what follows among its siblings up to one of the same or a higher level."""
 
-    def from_heading(head: Column) -> Column:
+    def from_heading(head: Column, body: Column) -> Column:
         def build(own: Column) -> Column:
             text = as_text(own)
             start = F.greatest(F.instr(full_text, head["text"]) - 1, F.lit(0))
@@ -169,7 +213,7 @@ def sections(nodes: Column, span: Column, kept: Column, full_text: Column, heads
             stop = F.least(start + F.length(head["text"]) + F.length(text), F.length(full_text))
             return section(text, markdown, head["text"], head["level"], head["path"], start, stop)
 
-        return let(body(head), build)
+        return let(F.slice(kept, body["first"] + 1, body["n"]), build)
 
     first_head = F.element_at(heads, 1)["pre"]
     preamble = F.when(F.size(heads) > 0, F.filter(kept, lambda n: n["pre"] < first_head)).otherwise(kept)
@@ -177,7 +221,7 @@ def sections(nodes: Column, span: Column, kept: Column, full_text: Column, heads
         F.array(let(preamble, lambda own: section(as_text(own), as_markdown(own)))),
         lambda s: (s["text"] != "") | (F.size(heads) == 0),
     )
-    return F.concat(opening, F.transform(heads, from_heading))
+    return F.concat(opening, F.zip_with(heads, _bodies(nodes, span, kept, heads), from_heading))
 
 
 def extract_pages(pages: DataFrame, html: str = "html", url: str = "url", reduce: bool = True) -> DataFrame:

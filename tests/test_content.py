@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -185,3 +187,56 @@ def test_results_of_a_batch_are_handed_back_in_pieces():
     assert sum(1 for _ in flatten_json.func(iter([texts]))) == 2
     assert [dict(m).keys() for a in flatten_json.func(iter([texts])) for m in a.to_pylist()] == [{"a": 0, "b": 0}.keys(), set(), set()] * 4
     assert [len(a) for a in R._rows(True, frozenset()).func(iter([texts]))] == [6, 6]
+
+
+def brute_sections(html):
+    """(heading, text, start) of every section below the article, straight from the node rows."""
+    rows = H.shred_one(html)
+    article = next(r for r in rows if r[3] == "article")
+    kept = [r for r in rows[article[0] + 1 : article[1]] if r[5] is not None and not r[9] and r[5].strip()]
+    heads = [r for r in rows[article[0] + 1 : article[1]] if r[3] and r[3][0] == "h" and r[3][1:].isdigit() and not r[9]]
+    whole, out = "\n".join(r[5].strip() for r in kept), []
+    for h in heads:
+        later = [o[0] for o in heads if o[0] > h[0] and o[2] == h[2] and o[3] <= h[3]]
+        end = min([*later, rows[h[2]][1] if h[2] >= 0 else article[1]][0], article[1])
+        title = "".join(r[5].strip() for r in rows[h[0] + 1 : h[1]] if r[5] is not None and not r[9])
+        text = "\n".join(r[5].strip() for r in kept if h[1] <= r[0] < end)
+        out.append((title, text, max(whole.find(title), 0)))
+    return out
+
+
+def test_sections_of_headings_below_several_parents(spark):
+    r, pages = random.Random(4), ["<article><h2></h2></article>", "<article><div><h1>a</div><p>b", f"<article>{'word ' * 30}</article>"]
+    for _ in range(25):
+        body, open_ = [], 0
+        for i in range(r.randint(1, 60)):
+            kind = r.random()
+            if kind < 0.2:
+                body.append("<div>")
+                open_ += 1
+            elif kind < 0.35 and open_:
+                body.append("</div>")
+                open_ -= 1
+            elif kind < 0.7:
+                level = r.randint(1, 6)
+                body.append(f"<h{level}>H <b>{i}</b></h{level}>" if r.random() < 0.5 else f"<h{level}>H {i % 7}</h{level}>")
+            else:
+                body.append(f"<p>text {i} <i>more</i></p>" if r.random() < 0.8 else "loose ")
+        pages.append(f"<html><body><p>before</p><article><p>{'opening ' * 9}</p>{''.join(body)}</article><h1>after</h1></body></html>")
+    rows = spark.createDataFrame([(i, "http://e.example/p", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {x.page_id: x for x in K.extract_pages(rows, reduce=False).select("page_id", "sections", "selector_used").collect()}
+    for i, page in enumerate(pages[2:], 2):
+        assert got[i].selector_used == "fallback:semantic:article"
+        found = [(s.heading_text, s.text, s.char_offset_start) for s in got[i].sections if s.heading_text is not None]
+        assert found == brute_sections(page)
+    assert len(got) == len(pages)
+
+
+def test_sections_take_time_in_proportion_to_the_page(spark):
+    """Thousands of headings: with the end of a section searched for each of its strings this took many minutes."""
+    lines = 2000
+    html = "".join(f"<h{1 + i % 2}>S {i}</h{1 + i % 2}><p>line {i}</p>" for i in range(lines))
+    began = time.monotonic()
+    found = extract(spark, f"<html><body><article>{html}</article></body></html>").sections
+    assert time.monotonic() - began < 90
+    assert [(s.heading_text, s.text) for s in found[:2]] == [("S 0", "line 0\nS 1\nline 1"), ("S 1", "line 1")] and len(found) == lines
